@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterable, Mapping, Sequence
 from typing import NamedTuple
 
@@ -147,7 +146,4 @@ def standard_error(c: Column | str) -> Column:
 def aic(n: Column | str, rss: Column | str, n_params: Column | str) -> Column:
     """Akaike's criterion from a residual sum of squares; smaller is better."""
     n = _col(n).cast("double")
-    return n * F.log(_col(rss) / n) + 2.0 * _col(n_params)
-
-
-LOG_2PI = math.log(2.0 * math.pi)
+    return F.when(n > 0, n * F.log(_col(rss) / n) + 2.0 * _col(n_params))

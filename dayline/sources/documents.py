@@ -59,17 +59,31 @@ def _plain(cell: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(cell, r"<[^>]*>", ""), r"&nbsp;", " "))
 
 
-def html_rows(pages: DataFrame, html: str = "html",
-              row_re: str = r"(?is)<tr\b[^>]*>(.*?)</tr\s*>",
-              cell_re: str = r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]\s*>",
-              within_re: str | None = r"(?is)<table\b[^>]*>(.*?)</table\s*>") -> DataFrame:
-    """One row per row element of the first enclosing element: its position and cell texts."""
+def _cells(row: Column, cell_re: str) -> Column:
+    return F.transform(F.regexp_extract_all(row, F.lit(cell_re), F.lit(1)), _plain)
+
+
+# The elements of an HTML table.
+TABLE = r"(?is)<table\b[^>]*>(.*?)</table\s*>"
+TABLE_ROW = r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"
+TABLE_CELL = r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]\s*>"
+
+
+def html_rows(pages: DataFrame, html: str = "html", row_re: str = TABLE_ROW,
+              cell_re: str = TABLE_CELL, within_re: str | None = TABLE,
+              header_row: int | None = None) -> DataFrame:
+    """One row per row element of the first enclosing element: its position and cell texts.
+
+    With ``header_row`` the texts of that row come along as ``header``.
+    """
     kept = [c for c in pages.columns if c != html]
     body = F.col(html) if within_re is None else F.regexp_extract(F.col(html), within_re, 1)
-    rows = pages.select(*kept, F.posexplode(
-        F.regexp_extract_all(body, F.lit(row_re), F.lit(1))).alias("row", "_row"))
-    cells = F.transform(F.regexp_extract_all("_row", F.lit(cell_re), F.lit(1)), _plain)
-    return rows.select(*kept, "row", cells.alias("cells"))
+    found = pages.select(*kept, F.regexp_extract_all(body, F.lit(row_re), F.lit(1)).alias("_rows"))
+    head = []
+    if header_row is not None:
+        head = [_cells(F.get("_rows", F.lit(header_row)), cell_re).alias("header")]
+    rows = found.select(*kept, *head, F.posexplode("_rows").alias("row", "_row"))
+    return rows.withColumn("cells", _cells(F.col("_row"), cell_re)).drop("_row")
 
 
 def station_days(pages: DataFrame, key: str = "station_id", html: str = "html",
@@ -77,18 +91,18 @@ def station_days(pages: DataFrame, key: str = "station_id", html: str = "html",
                  first_data_row: int = 4, width: int = 12) -> DataFrame:
     """Daily readings of landed station pages.
 
-    The header row names the cells; the same name is looked up per page, so a page may order
-    or leave out measures. Rows need a date and at least one reading.
+    The header row names the cells, so a page may order or leave out measures. Rows need a date
+    and at least one reading.
     """
-    rows = html_rows(pages.select(key, html), html)
-    names = (rows.filter(F.col("row") == header_row)
-             .select(key, F.slice("cells", 1, width).alias("_names")))
-    data = rows.filter(F.col("row") >= first_data_row).join(names, [key])
+    rows = html_rows(pages.select(key, html), html, header_row=header_row)
+    rows = rows.filter(F.col("row") >= first_data_row)
+    names = F.slice("header", 1, width)
 
     def named(name: str) -> Column:
-        return F.get(F.col("cells"), F.array_position("_names", F.lit(name)).cast("int") - 1)
+        at = F.array_position(names, F.lit(name)).cast("int")
+        return F.when(at > 0, F.get(F.col("cells"), at - 1))
 
-    out = data.select(key, parse_timestamp(named("Date"), *STATION_STAMP).cast("date").alias("date"),
+    out = rows.select(key, parse_timestamp(named("Date"), *STATION_STAMP).cast("date").alias("date"),
                       *[named(n).try_cast("double").alias(c) for n, c in columns.items()])
     measures = list(columns.values())
     return out.filter(F.col("date").isNotNull() & F.coalesce(*measures).isNotNull())

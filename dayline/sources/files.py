@@ -9,9 +9,8 @@ from dayline.schemas import SCHEMAS, conform
 
 
 def scan_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """Headed CSV; columns are matched by name, values that do not fit become NULL."""
-    return (spark.read.schema(schema).option("header", True).option("enforceSchema", False)
-            .option("mode", "PERMISSIVE").csv(path))
+    """Headed CSV made to fit ``schema`` by column name; values that do not fit become NULL."""
+    return conform(spark.read.option("header", True).csv(path), schema)
 
 
 def scan_json_records(spark: SparkSession, path: str, schema: StructType | str,
