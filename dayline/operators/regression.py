@@ -6,7 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dayline.operators.joins import attach_lookup
@@ -14,28 +14,24 @@ from dayline.operators.joins import attach_lookup
 
 def sums_of_products(df: DataFrame, keys: Sequence[str], y: str, xs: Sequence[str],
                      intercept: bool = True) -> DataFrame:
-    """``(keys, n, gram, moment, yy, ybar)``: all a regression needs, combined on the map side.
+    """``(keys, n, gram, moment, yy, means)``: all a regression needs, in one pass.
 
-    Values are taken relative to the group's means so that large levels do not drown the rest;
-    rows with a NULL anywhere do not count.
+    With an intercept these are sums around the group's means (covariances merge stably on the
+    map side, whatever the level of the data). Rows with a NULL anywhere do not count.
     """
-    keys, cols = list(keys), [y, *xs]
+    cols = [y, *xs]
     rows = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in cols]).dropna(subset=cols)
-    centre = rows.groupBy(*keys).agg(*[F.avg(c).alias(f"_m_{c}") for c in cols])
-    if intercept:
-        rows = attach_lookup(rows, centre, keys, [f"_m_{c}" for c in cols])
-        rows = rows.select(*keys, *[(F.col(c) - F.col(f"_m_{c}")).alias(c) for c in cols],
-                           *[f"_m_{c}" for c in cols])
-        means = [F.first(f"_m_{c}") for c in cols]
-    else:
-        means = [F.lit(0.0) for _ in cols]
-    products = [F.sum(F.col(a) * F.col(b)) for i, a in enumerate(xs) for b in xs[:i + 1]]
+    n = F.count(F.lit(1))
+
+    def product(a: str, b: str) -> Column:
+        return F.covar_pop(a, b) * n if intercept else F.sum(F.col(a) * F.col(b))
+
     return rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.array(*products).alias("gram") if products else F.array().cast("array<double>").alias("gram"),
-        F.array(*[F.sum(F.col(x) * F.col(y)) for x in xs]).cast("array<double>").alias("moment"),
-        F.sum(F.col(y) * F.col(y)).alias("yy"),
-        F.array(*means).alias("means"))
+        n.alias("n"),
+        F.array(*[product(a, b) for i, a in enumerate(xs) for b in xs[:i + 1]]).alias("gram"),
+        F.array(*[product(x, y) for x in xs]).alias("moment"),
+        product(y, y).alias("yy"),
+        F.array(*[F.avg(c) for c in cols]).alias("means"))
 
 
 def ols(df: DataFrame, keys: Sequence[str], y: str, xs: Sequence[str],

@@ -104,17 +104,21 @@ RENAMES = {
     "weather_station": {"id": "station_id", "nome": "name"},
 }
 
-SCHEMAS: dict[str, StructType] = {name: StructType.fromDDL(ddl) for name, ddl in _DDL.items()}
+ENTITIES = tuple(_DDL)
+
+
+def schema_of(entity: str) -> StructType:
+    return StructType.fromDDL(_DDL[entity])
 
 
 def empty_table(spark, entity: str) -> DataFrame:
     """An entity table before its first load."""
-    return spark.createDataFrame([], SCHEMAS[entity])
+    return spark.createDataFrame([], schema_of(entity))
 
 
 def conform(df: DataFrame, schema: StructType | str) -> DataFrame:
     """Exactly the columns of ``schema``: cast, NaN made NULL, absent ones NULL, others gone."""
-    schema = SCHEMAS[schema] if isinstance(schema, str) else schema
+    schema = schema_of(schema) if isinstance(schema, str) else schema
     have = dict(df.dtypes)
     out = []
     for field in schema.fields:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from dayline.schemas import SCHEMAS, conform
+from dayline.schemas import conform
 
 
 def scan_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
@@ -30,4 +30,4 @@ def scan_documents(spark: SparkSession, path: str) -> DataFrame:
 def scan(spark: SparkSession, path: str, entity: str | None = None) -> DataFrame:
     """A stored table, made to fit its entity schema when one is named."""
     df = spark.read.parquet(path)
-    return conform(df, SCHEMAS[entity]) if entity else df
+    return conform(df, entity) if entity else df
