@@ -39,6 +39,17 @@ def _group(df: DataFrame, by: Sequence[str]):
     return df.groupBy(*by) if by else df.groupBy(F.lit(0))
 
 
+def _blocks(df: DataFrame, keys: Sequence[str], n_blocks: int) -> DataFrame:
+    """Every series once per block of configurations, spread by series and block.
+
+    The rows are few and the work on them is not, so the number of tasks is asked for: adaptive
+    execution would merge such small partitions into one.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))
+    return df.withColumn("block", blocks).repartition(tasks, *keys, "block")
+
+
 def _arrays(pdf: pd.DataFrame, n_x: int) -> tuple[pd.DataFrame, np.ndarray, np.ndarray]:
     pdf = pdf.sort_values("date")
     return pdf, pdf["y"].to_numpy(float), pdf[[f"x{j}" for j in range(n_x)]].to_numpy(float)
@@ -183,13 +194,12 @@ def fold_forecasts(df: DataFrame, keys: Sequence[str], date: str, y: str, x: Seq
     """
     n_x, configs = len(x), list(configs)
     n_blocks = (len(configs) + block - 1) // block
-    rows = _prepared(df, keys, date, y, x, kind) \
-        .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
+    rows = _blocks(_prepared(df, keys, date, y, x, kind), keys, n_blocks)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf, yy, xx = _arrays(pdf, n_x)
         at = int(pdf["block"].iloc[0]) * block
-        found = []
+        labels, actual, predicted = [], [], []
         for fold, (train, test) in enumerate(fold_bounds(len(yy), n_splits, max_test)):
             noise: dict = {}
             past, past_x, coming = yy[:train], xx[:train], xx[train:train + test]
@@ -198,13 +208,12 @@ def fold_forecasts(df: DataFrame, keys: Sequence[str], date: str, y: str, x: Seq
                 if done is None:
                     continue
                 mean, _ = forecast_series(configs[cfg_id], done, past, past_x, coming)
-                found.append(pd.DataFrame({
-                    "cfg_id": cfg_id, "fold": fold, "step": np.arange(1, test + 1),
-                    "actual": yy[train:train + test], "predicted": mean}))
-        if not found:
-            return pd.DataFrame({c: [] for c in [*keys, "cfg_id", "fold", "step", "actual",
-                                                 "predicted"]})
-        out = pd.concat(found, ignore_index=True)
+                labels += [(cfg_id, fold, step) for step in range(1, test + 1)]
+                actual.append(yy[train:train + test])
+                predicted.append(mean)
+        out = pd.DataFrame(labels, columns=["cfg_id", "fold", "step"])
+        out["actual"] = np.concatenate(actual or [np.zeros(0)])
+        out["predicted"] = np.concatenate(predicted or [np.zeros(0)])
         for k in keys:
             out[k] = pdf[k].iloc[0]
         return out
@@ -238,8 +247,7 @@ def aic_scores(df: DataFrame, keys: Sequence[str], date: str, y: str, x: Sequenc
     """``(keys, cfg_id, score_mean, score_se)`` from whole-series fits, without folds."""
     n_x, configs = len(x), list(configs)
     n_blocks = (len(configs) + block - 1) // block
-    rows = _prepared(df, keys, date, y, x, kind) \
-        .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
+    rows = _blocks(_prepared(df, keys, date, y, x, kind), keys, n_blocks)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf, yy, xx = _arrays(pdf, n_x)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,13 +28,9 @@ class Entity(NamedTuple):
 
 
 def stored(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
-    """The stored table, or an empty one before the first load."""
-    try:
-        return spark.read.schema(like.schema).parquet(path)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        return like.limit(0)
+    """The stored table, created empty if it is not there yet."""
+    like.limit(0).write.mode("ignore").parquet(path)
+    return spark.read.schema(like.schema).parquet(path)
 
 
 def update_entity(spark: SparkSession, entity: Entity) -> int:

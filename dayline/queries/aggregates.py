@@ -136,13 +136,13 @@ def available_measures(spark, sf_dir):
 
 
 @query("""
-    SELECT l_suppkey, round(avg(l_quantity), 6) AS quantity_mean,
+    SELECT l_suppkey, round(avg(l_quantity), 9) AS quantity_mean,
            round(stddev_samp(l_quantity) / sqrt(count(*)), 6) AS quantity_se
     FROM lineitem GROUP BY 1""")
 def mean_and_standard_error(spark, sf_dir):
     out = mean_se(table(spark, sf_dir, "lineitem").withColumnRenamed("l_quantity", "quantity"),
                   "quantity", ["l_suppkey"])
-    return out.select("l_suppkey", F.round("quantity_mean", 6).alias("quantity_mean"),
+    return out.select("l_suppkey", F.round("quantity_mean", 9).alias("quantity_mean"),
                       F.round("quantity_se", 6).alias("quantity_se"))
 
 

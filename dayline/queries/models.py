@@ -58,7 +58,7 @@ def seasonal_autoregression_fit(spark, sf_dir):
     h AS (SELECT {KEY}, last + 1 AS date, i + s * y0 AS forecast, sqrt(v) AS se FROM line
           UNION ALL SELECT {KEY}, last + 2, i + s * (i + s * y0), sqrt(v * (1 + s * s)) FROM line
           UNION ALL SELECT {KEY}, last + 3, i + s * (i + s * (i + s * y0)),
-                           sqrt(v * (1 + s * s + s ** 4)) FROM b)
+                           sqrt(v * (1 + s * s + s ** 4)) FROM line)
     SELECT {KEY}, date, round(forecast, 5) AS forecast, round(se, 5) AS se,
            round(forecast - 1.959964 * se, 5) AS lower_ci, round(forecast + 1.959964 * se, 5) AS upper_ci
     FROM h""")
