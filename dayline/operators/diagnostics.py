@@ -7,7 +7,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dayline.functions.columns import normal_quantile
@@ -16,30 +16,37 @@ from dayline.operators.aggregates import histogram
 from dayline.operators.windows import moving_trend, series_window, whole_series
 
 
-def _autocovariances(df: DataFrame, keys: Sequence[str], date: str, col: str,
-                     max_lag: int) -> DataFrame:
-    """``(keys, n, c)`` with the sums of lagged products around the mean, lags 0 to ``max_lag``."""
-    w = series_window(keys, date)
-    centred = (df.filter(F.col(col).isNotNull())
-               .select(*keys, date, (F.col(col).cast("double")
-                                     - F.avg(col).over(whole_series(keys))).alias("_x")))
-    lagged = centred.withColumns({f"_l{k}": F.lag("_x", k).over(w) for k in range(1, max_lag + 1)})
+def _lagged_products(df: DataFrame, keys: Sequence[str], date: str, col: str, max_lag: int,
+                     **more: Column) -> DataFrame:
+    """``(keys, n, c)`` with the sums of lagged products around the mean, lags 0 to ``max_lag``.
+
+    ``more`` adds aggregates over the value ``_raw``, its distance to the mean ``_x``, its
+    position ``_pos`` (from 1) and the series' length ``_n``.
+    """
+    w, every = series_window(keys, date), whole_series(keys)
+    raw = F.col(col).cast("double")
+    centred = df.filter(raw.isNotNull()).select(
+        *keys, date, raw.alias("_raw"), (raw - F.avg(raw).over(every)).alias("_x"))
+    lagged = centred.withColumns({
+        "_pos": F.row_number().over(w), "_n": F.count(F.lit(1)).over(every),
+        **{f"_l{k}": F.lag("_x", k).over(w) for k in range(1, max_lag + 1)}})
     products = [F.sum(F.col("_x") * F.col("_x"))]
     products += [F.coalesce(F.sum(F.col("_x") * F.col(f"_l{k}")), F.lit(0.0))
                  for k in range(1, max_lag + 1)]
-    return lagged.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.array(*products).alias("c"))
+    return lagged.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.array(*products).alias("c"),
+                                     *[value.alias(name) for name, value in more.items()])
 
 
 def acf(df: DataFrame, keys: Sequence[str], date: str, col: str, max_lag: int) -> DataFrame:
     """``(keys, n, lag, r)`` around the series' overall mean."""
-    sums = _autocovariances(df, keys, date, col, max_lag)
+    sums = _lagged_products(df, keys, date, col, max_lag)
     return (sums.select(*keys, "n", F.col("c")[0].alias("_c0"), F.posexplode("c").alias("lag", "_c"))
             .select(*keys, "n", "lag", F.try_divide("_c", "_c0").alias("r")))
 
 
 def pacf(df: DataFrame, keys: Sequence[str], date: str, col: str, max_lag: int) -> DataFrame:
     """``(keys, lag, r)``: partial autocorrelations from the autocorrelations (Durbin-Levinson)."""
-    sums = _autocovariances(df, keys, date, col, max_lag)
+    sums = _lagged_products(df, keys, date, col, max_lag)
     arrays = sums.filter(F.col("c")[0] > 0).select(
         *keys, F.transform("c", lambda v: v / F.col("c")[0]).alias("rho"))
 
@@ -218,28 +225,25 @@ def ocsb(df: DataFrame, keys: Sequence[str], date: str, col: str, m: int = 7,
 
 def residual_tests(df: DataFrame, keys: Sequence[str], date: str, resid: str,
                    max_lag: int = 1) -> DataFrame:
-    """Ljung-Box Q up to ``max_lag``, heteroskedasticity H, skewness, kurtosis and Jarque-Bera."""
-    known = df.filter(F.col(resid).isNotNull())
-    r = acf(known, keys, date, resid, max_lag).filter("lag > 0")
-    q = r.groupBy(*keys).agg((F.first("n") * (F.first("n") + 2)
-                              * F.sum(F.col("r") * F.col("r") / (F.col("n") - F.col("lag"))))
-                             .alias("ljung_box"))
-    placed = known.withColumns({"_pos": F.row_number().over(series_window(keys, date)),
-                                "_n": F.count(F.lit(1)).over(whole_series(keys))})
-    third = F.round(F.col("_n") / 3)
-    square = F.col(resid) * F.col(resid)
-    shape = placed.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.try_divide(F.sum(F.when(F.col("_pos") > F.col("_n") - third, square)),
-                     F.sum(F.when(F.col("_pos") <= third, square))).alias("heteroskedasticity"),
-        F.skewness(resid).alias("skew"), (F.kurtosis(resid) + 3.0).alias("kurtosis"))
-    jb = F.col("n") / 6.0 * (F.col("skew") * F.col("skew")
-                             + F.pow(F.col("kurtosis") - 3.0, F.lit(2.0)) / 4.0)
-    shape = shape.withColumn("jarque_bera", jb) \
-        .withColumn("jarque_bera_p", F.exp(-F.col("jarque_bera") / 2.0))
-    if keys:
-        return shape.join(q, list(keys), "left")
-    return shape.withColumn("ljung_box", q.select("ljung_box").scalar())
+    """Ljung-Box Q up to ``max_lag``, heteroskedasticity H, skewness, kurtosis and Jarque-Bera.
+
+    H compares the squares of the last third with those of the first. One shuffle in all.
+    """
+    third, square = F.round(F.col("_n") / 3), F.col("_raw") * F.col("_raw")
+    sums = _lagged_products(
+        df, keys, date, resid, max_lag,
+        late=F.sum(F.when(F.col("_pos") > F.col("_n") - third, square)),
+        early=F.sum(F.when(F.col("_pos") <= third, square)),
+        skew=F.skewness("_x"), kurtosis=F.kurtosis("_x") + 3.0)
+    n, c = F.col("n"), F.col("c")
+    q = F.lit(0.0)
+    for k in range(1, max_lag + 1):
+        q = q + F.try_divide(F.pow(F.try_divide(c[k], c[0]), F.lit(2.0)), n - k)
+    jb = n / 6.0 * (F.pow("skew", F.lit(2.0)) + F.pow(F.col("kurtosis") - 3.0, F.lit(2.0)) / 4.0)
+    return sums.select(*keys, "n", F.try_divide("late", "early").alias("heteroskedasticity"),
+                       "skew", "kurtosis", jb.alias("jarque_bera"),
+                       F.exp(-jb / 2.0).alias("jarque_bera_p"),
+                       (n * (n + 2) * q).alias("ljung_box"))
 
 
 def standardised(df: DataFrame, keys: Sequence[str], resid: str, name: str = "z") -> DataFrame:

@@ -36,7 +36,9 @@ def attach_lookup(df: DataFrame, dim: DataFrame, keys: Sequence[str],
     """Columns of the dimension row with the same keys; without keys, of its only row."""
     if keys:
         return df.join(dim.select(*keys, *cols), list(keys), "left")
-    return df.withColumns({c: dim.select(c).scalar() for c in cols})
+    row = dim.select(F.struct(*cols).alias("_row")).scalar()
+    return (df.withColumn("_row", row)
+            .withColumns({c: F.col("_row")[c] for c in cols}).drop("_row"))
 
 
 def newest_per_key(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:

@@ -34,58 +34,59 @@ def sums_of_products(df: DataFrame, keys: Sequence[str], y: str, xs: Sequence[st
         F.array(*[F.avg(c) for c in cols]).alias("means"))
 
 
-def ols(df: DataFrame, keys: Sequence[str], y: str, xs: Sequence[str],
-        intercept: bool = True) -> DataFrame:
-    """``(keys, term, coef, se, t, n, rss)``: one row per regressor, the intercept first."""
+def _solved(df: DataFrame, keys: Sequence[str], y: str, xs: Sequence[str],
+            intercept: bool) -> DataFrame:
+    """``(keys, coef, se, n, rss)`` with one array entry per term, the intercept first."""
     keys, k = list(keys), len(xs)
-    sums = sums_of_products(df, keys, y, xs, intercept)
     lower = np.tril_indices(k)
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = []
-            for _, row in batch.iterrows():
+            coefs, errors, rests = [], [], []
+            for n, packed, moment, yy, means in zip(batch["n"], batch["gram"], batch["moment"],
+                                                    batch["yy"], batch["means"]):
                 gram = np.zeros((k, k))
-                gram[lower] = row["gram"]
+                gram[lower] = packed
                 gram = gram + np.tril(gram, -1).T
-                moment, means = np.array(row["moment"]), np.array(row["means"])
                 scale = np.sqrt(np.diag(gram))
                 scale[scale == 0] = 1.0
                 inverse = np.linalg.pinv(gram / np.outer(scale, scale)) / np.outer(scale, scale)
                 coef = inverse @ moment
-                n, rss = int(row["n"]), max(float(row["yy"] - coef @ moment), 0.0)
+                rss = max(float(yy - coef @ moment), 0.0)
                 dof = n - k - int(intercept)
                 sigma2 = rss / dof if dof > 0 else np.nan
                 spread = sigma2 * np.diag(inverse)
                 if intercept:
-                    mean_x = means[1:]
-                    spread = np.concatenate([[sigma2 * (1 / n + mean_x @ inverse @ mean_x)], spread])
-                    coef = np.concatenate([[means[0] - coef @ mean_x], coef])
-                names = (["intercept"] if intercept else []) + list(xs)
-                se = np.sqrt(spread)
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    out = pd.DataFrame({"term": names, "coef": coef, "se": se, "t": coef / se,
-                                        "n": n, "rss": rss})
-                for key in keys:
-                    out[key] = row[key]
-                found.append(out)
-            if found:
-                yield pd.concat(found)[[*keys, "term", "coef", "se", "t", "n", "rss"]]
+                    centre = means[1:]
+                    spread = np.append(sigma2 * (1 / n + centre @ inverse @ centre), spread)
+                    coef = np.append(means[0] - coef @ centre, coef)
+                coefs.append(coef)
+                errors.append(np.sqrt(spread))
+                rests.append(rss)
+            yield batch[[*keys, "n"]].assign(coef=coefs, se=errors, rss=rests)
 
     fields = "".join(f"`{c}` {df.schema[c].dataType.simpleString()}, " for c in keys)
-    out = sums.mapInPandas(
-        solve, fields + "term string, coef double, se double, t double, n long, rss double")
-    return out.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in ("se", "t")})
+    return sums_of_products(df, keys, y, xs, intercept).mapInPandas(
+        solve, fields + "n long, coef array<double>, se array<double>, rss double")
+
+
+def ols(df: DataFrame, keys: Sequence[str], y: str, xs: Sequence[str],
+        intercept: bool = True) -> DataFrame:
+    """``(keys, term, coef, se, t, n, rss)``: one row per regressor, the intercept first."""
+    names = F.array(*[F.lit(t) for t in (["intercept"] if intercept else []) + list(xs)])
+    rows = _solved(df, keys, y, xs, intercept).select(
+        *keys, F.inline(F.arrays_zip(names.alias("term"), "coef", "se")), "n", "rss")
+    error = F.when(~F.isnan("se") & (F.col("se") > 0), F.col("se"))
+    return rows.select(*keys, "term", "coef", error.alias("se"),
+                       (F.col("coef") / error).alias("t"), "n", "rss")
 
 
 def ols_residuals(df: DataFrame, keys: Sequence[str], y: str, xs: Sequence[str],
                   name: str = "resid") -> DataFrame:
     """``df`` with the residual of the group's regression."""
-    coefs = ols(df, keys, y, xs).groupBy(*keys).agg(*[
-        F.max(F.when(F.col("term") == t, F.col("coef"))).alias(f"_b_{t}")
-        for t in ["intercept", *xs]])
-    out = attach_lookup(df, coefs, list(keys), [f"_b_{t}" for t in ["intercept", *xs]])
-    fitted = F.col("_b_intercept")
-    for x in xs:
-        fitted = fitted + F.col(f"_b_{x}") * F.col(x)
-    return out.withColumn(name, F.col(y) - fitted).drop(*[f"_b_{t}" for t in ["intercept", *xs]])
+    solved = _solved(df, keys, y, xs, True).withColumnRenamed("coef", "_coef")
+    out = attach_lookup(df, solved, list(keys), ["_coef"])
+    fitted = F.col("_coef")[0]
+    for i, x in enumerate(xs):
+        fitted = fitted + F.col("_coef")[i + 1] * F.col(x)
+    return out.withColumn(name, F.col(y) - fitted).drop("_coef")

@@ -140,20 +140,26 @@ def last_n(df: DataFrame, keys: Sequence[str], date: str, n: int = 1) -> DataFra
     return df.withColumn("role", F.when(position > size - n, "test").otherwise("train"))
 
 
+def folds_of(sized: DataFrame, keys: Sequence[str], n: str, n_splits: int = 10,
+             max_test: int | None = None) -> DataFrame:
+    """Walk-forward folds of series whose length is in column ``n``: see ``fold_table``."""
+    rows = F.col(n).cast("int")
+    block = F.floor(rows / (n_splits + 1)).cast("int")
+    fold = F.explode(F.sequence(F.lit(0), F.lit(n_splits - 1))).alias("fold")
+    out = sized.select(*keys, rows.alias("_n"), block.alias("_s"), fold).filter("_s > 0")
+    size = F.col("_s") if max_test is None else F.least(F.col("_s"), F.lit(max_test))
+    start = F.col("_n") - (n_splits - F.col("fold")) * F.col("_s")
+    return out.select(*keys, "fold", start.alias("train_size"), size.alias("test_size"))
+
+
 def fold_table(df: DataFrame, keys: Sequence[str], n_splits: int = 10,
                max_test: int | None = None) -> DataFrame:
     """Walk-forward folds of each series: test blocks of ⌊N/(n+1)⌋ rows, training all before.
 
     Row positions count from 0; a test block is cut to its first ``max_test`` rows.
     """
-    sized = df.groupBy(*keys).agg(F.count(F.lit(1)).cast("int").alias("_n"))
-    block = F.floor(F.col("_n") / (n_splits + 1)).cast("int")
-    fold = F.explode(F.sequence(F.lit(0), F.lit(n_splits - 1)))
-    out = sized.filter(block > 0).select(*keys, "_n", block.alias("_s"), fold.alias("fold"))
-    size = F.col("_s") if max_test is None else F.least(F.col("_s"), F.lit(max_test))
-    return out.select(*keys, "fold",
-                      (F.col("_n") - (n_splits - F.col("fold")) * F.col("_s")).alias("train_size"),
-                      size.alias("test_size"))
+    return folds_of(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), keys, "n", n_splits,
+                    max_test)
 
 
 def walk_forward(df: DataFrame, keys: Sequence[str], date: str, n_splits: int = 10,

@@ -86,7 +86,9 @@ def curate(sources: Sources, curated: DataFrame | None = None, lo=None, hi=None)
         F.max("value").alias("stringency_index"))
     joined = left_join_all(status, [risk, dose_table(bounded["vaccines"])], ON)
     joined = joined.join(index, [*_keyed(stringency), "date"], "left")
-    joined = cover_flag(joined, sources.holidays, keys=_keyed(sources.holidays))
+    per = [*_keyed(sources.holidays), "date"]
+    flagged = cover_flag(bounded["status"].select(*per).distinct(), sources.holidays, keys=per[:-1])
+    joined = joined.join(flagged, per, "left")
 
     joined = joined.withColumns({c: F.coalesce(F.col(c), F.lit(0)).cast("long") for c in _NEW_DOSES})
     joined = joined.withColumn("hospitalized", row_sum(columns_like(joined, "hospitalized")))

@@ -12,8 +12,9 @@ from dayline.models.grid import configurations
 from dayline.models.series import best_config, forecast, grid_search, nest_leaderboard
 from dayline.operators.aggregates import fold_stats, series_profile
 from dayline.operators.filters import crop_from
+from dayline.operators.joins import attach_lookup
 from dayline.operators.projections import select_roles
-from dayline.operators.windows import densify, ffill, fold_table
+from dayline.operators.windows import densify, ffill, folds_of
 from dayline.schemas import schema_of
 
 # The shipped search space.
@@ -44,8 +45,11 @@ def tune(curated: DataFrame, conf: Mapping = DEFAULT_CONF, keys: Sequence[str] =
     scores = grid_search(series, keys, date, y, x, configs, conf["performance_measure"].lower(),
                          conf["cv_n_splits"], conf["cv_max_test_size"], kind, block)
     profile = series_profile(series, keys, date)
-    folds = fold_stats(fold_table(series, keys, conf["cv_n_splits"], conf["cv_max_test_size"]), keys)
-    run = nest_leaderboard(scores, keys).join(profile, list(keys)).join(folds, list(keys))
+    about = [*keys, "first_date", "last_date"]
+    folds = fold_stats(folds_of(profile, about, "n_rows", conf["cv_n_splits"],
+                                conf["cv_max_test_size"]), about)
+    run = attach_lookup(nest_leaderboard(scores, keys), folds, keys,
+                        ["first_date", "last_date", "train_min", "train_max", "test_size"])
 
     stored = schema_of("hyperparameters")
     log = F.struct(

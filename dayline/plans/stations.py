@@ -26,10 +26,21 @@ ELEVATION_LIMIT = 1600
 def place_stations(stations: DataFrame, municipalities: DataFrame, vertices: DataFrame,
                    cell: float) -> DataFrame:
     """Stations with the code of the municipality whose polygon holds both of them."""
-    sites = stations.select("station_id", F.col("lon").alias("x"), F.col("lat").alias("y"))
+    sites = stations.withColumns({"x": F.col("lon"), "y": F.col("lat")})
     towns = municipalities.select("code", F.col("lon").alias("x"), F.col("lat").alias("y"))
-    placed = match_through_polygons(sites, towns, vertices, cell, "station_id", "code")
-    return stations.join(placed.select("station_id", F.col("code").alias("mun_code")), ["station_id"])
+    carry = [c for c in stations.columns if c != "station_id"]
+    placed = match_through_polygons(sites, towns, vertices, cell, "station_id", "code",
+                                    carry=carry)
+    return placed.drop("poly_id").withColumnRenamed("code", "mun_code")
+
+
+def station_table(stations: DataFrame, readings: DataFrame, municipalities: DataFrame,
+                  vertices: DataFrame, cell: float, lo=None, hi=None,
+                  measures: Mapping[str, str] = MEASURES) -> DataFrame:
+    """Placed stations with the availability of their sensors in ``[lo, hi]``."""
+    placed = place_stations(stations, municipalities, vertices, cell)
+    return conform(availability(placed, readings, "station_id", measures, "date", lo, hi),
+                   "weather_station")
 
 
 def max_sensors_min_elevation(stations: DataFrame, elevation_limit: int = ELEVATION_LIMIT
@@ -43,16 +54,9 @@ def max_sensors_min_elevation(stations: DataFrame, elevation_limit: int = ELEVAT
 RULES: dict[str, Callable[..., DataFrame]] = {"max_sensors_min_elevation": max_sensors_min_elevation}
 
 
-def link_stations(stations: DataFrame, readings: DataFrame, municipalities: DataFrame,
-                  vertices: DataFrame, cell: float, lo=None, hi=None,
-                  measures: Mapping[str, str] = MEASURES,
-                  rule: str = "max_sensors_min_elevation", **options
-                  ) -> tuple[DataFrame, DataFrame]:
-    """The station table with sensor availability in ``[lo, hi]``, and the chosen links."""
+def link_stations(table: DataFrame, rule: str = "max_sensors_min_elevation", **options
+                  ) -> DataFrame:
+    """The chosen links. ``table`` is read twice, so pass the stored station table."""
     if rule not in RULES:
         raise ValueError(f"unknown rule {rule!r}")
-    placed = place_stations(stations, municipalities, vertices, cell)
-    full = availability(placed, readings, "station_id", measures, "date", lo, hi)
-    table = conform(full, "weather_station")
-    return table, conform(RULES[rule](table, **options), "municipality_station_link")
-
+    return conform(RULES[rule](table, **options), "municipality_station_link")

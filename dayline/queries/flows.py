@@ -10,7 +10,7 @@ from dayline.operators.projections import recode
 from dayline.operators.windows import (daily_change, densify, ffill, latest_row, running_total, share_of)
 from dayline.plans.curation import Sources, curate
 from dayline.plans.loading import Entity, load_static, update_all
-from dayline.plans.stations import link_stations
+from dayline.plans.stations import link_stations, station_table
 from dayline.queries import query
 from dayline.queries.tables import customer_points, event_days, event_days_sql, supplier_shapes, table
 from dayline.session import scratch_path
@@ -132,7 +132,12 @@ def entity_sources(spark, sf_dir):
     holidays = table(spark, sf_dir, "orders").filter("o_totalprice > 495000").select(
         F.to_date("o_orderdate").alias("start"), F.date_add(F.to_date("o_orderdate"), 2).alias("end"))
     population = region.groupBy("region").agg(F.count(F.lit(1)).alias("population"))
-    return Sources(status, risk, index, vaccines, holidays, population)
+    made = Sources(status, risk, index, vaccines, holidays, population)
+    # curation reads stored tables, some of them more than once
+    base = scratch_path(spark, "entities")
+    for name, df in made._asdict().items():
+        df.write.parquet(os.path.join(base, name))
+    return Sources(*[spark.read.parquet(os.path.join(base, name)) for name in Sources._fields])
 
 
 def _curated_columns(df):
@@ -197,10 +202,11 @@ def stations_linked_to_municipalities(spark, sf_dir):
         F.when(F.col("o_orderstatus") != "F", 1).alias("rain"),
         F.when(F.col("o_totalprice") < 450000, 1).alias("heat"),
         F.when(F.col("o_orderpriority") != "5-LOW", 1).alias("damp"))
-    _, links = link_stations(stations, readings, towns, outlines, 2.0, "1997-01-01", "1997-12-31",
-                             {"rain": "precipitation_available", "heat": "temperature_available",
-                              "damp": "humidity_available"})
-    return links
+    path = scratch_path(spark, "stations")
+    station_table(stations, readings, towns, outlines, 2.0, "1997-01-01", "1997-12-31",
+                  {"rain": "precipitation_available", "heat": "temperature_available",
+                   "damp": "humidity_available"}).write.parquet(path)
+    return link_stations(spark.read.parquet(path))
 
 
 @query("""

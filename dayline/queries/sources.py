@@ -9,6 +9,7 @@ from dayline.operators.spatial import scan_polygons
 from dayline.queries import query
 from dayline.queries.tables import SHAPES_SQL, order_days, supplier_shapes, table
 from dayline.session import scratch_path
+from dayline.sources import landed
 from dayline.sources.documents import (explode_country_index, explode_events, html_rows,
                                        scan_stations, station_days)
 from dayline.sources.files import scan, scan_csv, scan_json_records
@@ -214,3 +215,78 @@ def union_of_versions(spark, sf_dir):
     return union_all(
         orders.filter("o_orderstatus = 'F'").select("o_orderkey", "o_orderstatus", "o_totalprice"),
         orders.filter("o_orderstatus = 'O'").select("o_orderkey", "o_orderstatus", "o_orderpriority"))
+
+
+@query("""
+    SELECT CAST(o_orderdate AS DATE) AS date, 'P1' AS name, CAST(o_orderkey AS INTEGER) AS cases,
+           CAST(o_custkey AS INTEGER) AS deaths, CAST(NULL AS INTEGER) AS active FROM orders
+    WHERE o_orderdate BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '2000-12-31'""")
+def landed_status_rows(spark, sf_dir):
+    raw = table(spark, sf_dir, "orders").select(
+        format_date("o_orderdate", "dd/MM/yyyy").alias("giorno"),
+        F.col("o_orderkey").cast("string").alias("totale_pos"),
+        F.col("o_custkey").cast("string").alias("deceduti"), F.lit("n/a").alias("pos_att"),
+        F.lit("1").alias("nuovi"))
+    return landed.province_data(raw, "P1", "1996-01-01", "2000-12-31") \
+        .select("date", "name", "cases", "deaths", "active")
+
+
+@query("""
+    WITH v AS (SELECT CAST(ts AS DATE) AS day, user_id // 10 AS version, * FROM events)
+    SELECT day AS date, CAST(user_id AS SMALLINT) AS code, CAST(event_id AS INTEGER) AS cases FROM v
+    WHERE day BETWEEN DATE '2024-01-03' AND DATE '2024-01-28'
+    QUALIFY version = max(version) OVER (PARTITION BY day)""")
+def landed_town_versions(spark, sf_dir):
+    raw = table(spark, sf_dir, "events").select(
+        "ts", F.floor(F.col("user_id") / 10).alias("version"),
+        F.when(F.col("event_type") == "view", format_date("ts", "dd/MM/yy"))
+        .otherwise(format_date("ts", "dd/MM/yyyy")).alias("aggiornamento"),
+        F.col("user_id").alias("codice"), F.col("event_type").alias("nome"),
+        F.col("event_id").alias("contagi"))
+    return landed.municipality_data(raw, "version", "ts", "2024-01-03", "2024-01-28") \
+        .select("date", "code", "cases")
+
+
+@query("""
+    SELECT CAST(o_orderdate AS DATE) AS date,
+           CASE o_orderstatus WHEN 'F' THEN 'finished' ELSE 'open' END AS region,
+           CASE o_orderpriority WHEN '1-URGENT' THEN 'red' WHEN '2-HIGH' THEN 'orange' END AS risk
+    FROM orders WHERE o_orderstatus IN ('F', 'O')
+      AND o_orderdate > TIMESTAMP '1996-01-01' AND o_orderdate <= TIMESTAMP '2000-12-31'""")
+def landed_risk_rows(spark, sf_dir):
+    raw = table(spark, sf_dir, "orders").select(
+        format_date("o_orderdate").alias("data"), F.col("o_orderstatus").alias("denominazione_regione"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", "rosso")
+        .when(F.col("o_orderpriority") == "2-HIGH", "arancione").otherwise("viola").alias("colore"))
+    return landed.region_risk(raw, "1996-01-01", "2000-12-31", {"F": "finished", "O": "open"},
+                              only_named=True, lo_open=True)
+
+
+@query("""
+    SELECT CAST(l_shipdate AS DATE) AS date, CASE l_returnflag WHEN 'A' THEN 'north' ELSE l_returnflag END
+           AS region, l_linestatus AS supplier, CAST(l_quantity AS INTEGER) AS n_doses FROM lineitem
+    WHERE l_shipdate >= TIMESTAMP '1997-01-01'""")
+def landed_deliveries(spark, sf_dir):
+    raw = table(spark, sf_dir, "lineitem").select(
+        F.col("l_returnflag").alias("area"), F.col("l_linestatus").alias("fornitore"),
+        format_date("l_shipdate").alias("data_consegna"), F.col("l_quantity").alias("numero_dosi"),
+        F.lit("x").alias("codice_NUTS1"))
+    return landed.vaccines_delivery(raw, "1997-01-01", names={"A": "north"})
+
+
+@query("""
+    SELECT CAST(l_shipdate AS DATE) AS date, l_returnflag AS region, l_linestatus AS supplier,
+           p_size || '-' || (p_size + 9) AS age_group, CAST(l_quantity AS INTEGER) AS male,
+           CAST(0 AS INTEGER) AS female, CAST(l_linenumber AS INTEGER) AS first_dose,
+           CAST(l_linenumber + 1 AS INTEGER) AS second_dose
+    FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_returnflag = 'R'
+      AND l_shipdate <= TIMESTAMP '1999-12-31'""")
+def landed_administrations(spark, sf_dir):
+    raw = table(spark, sf_dir, "lineitem").join(
+        table(spark, sf_dir, "part"), F.col("p_partkey") == F.col("l_partkey")).select(
+        F.col("l_returnflag").alias("area"), F.col("l_linestatus").alias("fornitore"),
+        format_date("l_shipdate").alias("data_somministrazione"),
+        F.concat_ws("-", F.col("p_size"), F.col("p_size") + 9).alias("fascia_anagrafica"),
+        F.col("l_quantity").alias("sesso_maschile"), F.lit(0).alias("sesso_femminile"),
+        F.col("l_linenumber").alias("prima_dose"), (F.col("l_linenumber") + 1).alias("seconda_dose"))
+    return landed.vaccines_administration(raw, "1990-01-01", "1999-12-31", {"R": "R"}, only_named=True)
