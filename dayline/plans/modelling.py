@@ -60,6 +60,8 @@ def tune(curated: DataFrame, conf: Mapping = DEFAULT_CONF, keys: Sequence[str] =
         F.col("train_max").cast("int").alias("splits_train_size_max"),
         F.col("test_size").cast("int").alias("splits_test_size"),
         F.lit(None).cast("string").alias("elapsed_time"))
+    # names that differ in case only cannot stand side by side in a table
+    conf |= {f"s{n}_values": conf[f"{n.upper()}_values"] for n in "pdq"}
     configuration = F.struct(*[
         (F.array(*[F.lit(v) for v in conf[f.name]]) if isinstance(conf[f.name], (list, tuple))
          else F.lit(conf[f.name])).cast(f.dataType).alias(f.name)

@@ -47,7 +47,7 @@ _DDL = {
             elapsed_time: string>,
         configuration struct<outputs: array<string>, regressors: array<string>, date_from: string,
             p_values: array<int>, d_values: array<int>, q_values: array<int>,
-            P_values: array<int>, D_values: array<int>, Q_values: array<int>,
+            sp_values: array<int>, sd_values: array<int>, sq_values: array<int>,
             m_values: array<int>, t_values: array<string>, performance_measure: string,
             cv_n_splits: int, cv_max_test_size: int, parallel: boolean, debug: boolean>,
         results array<struct<cfg: struct<arima_order: array<int>, seasonal_order: array<int>,

@@ -26,33 +26,34 @@ def totals_batch(batch: DataFrame, state: DataFrame | None, keys: Sequence[str],
     return running_total(daily, keys, date, cols, state)
 
 
+def write_batch(batch: DataFrame, batch_id: int, target: str, state: str, keys: Sequence[str],
+                date: str, cols: Mapping[str, str], epoch: str = EPOCH) -> None:
+    """Write one batch's rows and the newest row of every key.
+
+    The state lies in two folders used in turn: batch n reads the one written by batch n-1. A
+    repeated batch therefore starts from the same state and overwrites its own output, so
+    nothing is counted twice after a failure.
+    """
+    session, before = batch.sparkSession, None
+    if batch_id > 0:
+        before = session.read.parquet(os.path.join(state, f"slot={(batch_id - 1) % 2}"))
+    rows = totals_batch(batch, before, keys, date, cols, epoch)
+    place = os.path.join(target, f"batch_id={batch_id}")
+    rows.write.mode("overwrite").parquet(place)
+    done = session.read.schema(rows.schema).parquet(place).select(*keys, date, *cols.values())
+    newest = done if before is None else before.unionByName(done)
+    latest_row(newest, keys, date).write.mode("overwrite").parquet(
+        os.path.join(state, f"slot={batch_id % 2}"))
+
+
 def totals_stream(spark: SparkSession, landing: str, schema: StructType, target: str, state: str,
                   checkpoint: str, keys: Sequence[str], date: str, cols: Mapping[str, str],
                   file_format: str = "parquet", epoch: str = EPOCH,
                   max_files: int | None = None) -> StreamingQuery:
-    """Process the files that wait in ``landing`` and stop.
-
-    The state is the newest row per key, in two folders used in turn: batch n reads the one
-    written by batch n-1. A repeated batch therefore sees the same state and overwrites its own
-    output partition, so nothing is counted twice after a failure.
-    """
-    outputs = list(cols.values())
-
-    def run(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        before = None
-        if batch_id > 0:
-            before = session.read.parquet(os.path.join(state, f"slot={(batch_id - 1) % 2}"))
-        rows = totals_batch(batch, before, keys, date, cols, epoch)
-        place = os.path.join(target, f"batch_id={batch_id}")
-        rows.write.mode("overwrite").parquet(place)
-        done = session.read.schema(rows.schema).parquet(place).select(*keys, date, *outputs)
-        newest = done if before is None else before.unionByName(done)
-        latest_row(newest, keys, date).write.mode("overwrite").parquet(
-            os.path.join(state, f"slot={batch_id % 2}"))
-
+    """Process the files that wait in ``landing`` and stop."""
     reader = spark.readStream.schema(schema).format(file_format)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return (reader.load(landing).writeStream.foreachBatch(run)
+    return (reader.load(landing).writeStream
+            .foreachBatch(lambda batch, n: write_batch(batch, n, target, state, keys, date, cols, epoch))
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
