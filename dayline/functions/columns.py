@@ -35,19 +35,21 @@ def _col(c: Column | str) -> Column:
 def reband(c: Column | str, bands: Sequence[Band] = AGE_BANDS) -> Column:
     """Label of the first band a ``"low-high"`` or open ``"low+"`` range fits, else NULL."""
     text = F.trim(_col(c))
-    open_ended = text.endswith("+")
-    ends = F.split(F.regexp_replace(text, r"\+$", "-"), "-")
-    low = F.get(ends, F.lit(0)).try_cast("int")
-    high = F.get(ends, F.lit(1)).try_cast("int")
-    label = F.lit(None).cast("int")
-    for band in reversed(bands):
+    low = F.rtrim(F.substring_index(text, "-", 1), F.lit("+")).try_cast("int")
+    end = F.substring_index(F.substring_index(text, "-", 2), "-", -1)
+    high = F.when(text.contains("-"), end).try_cast("int")
+    tests = []
+    for band in bands:
+        # an open range has no high end, so it is never below anything
         fits = F.lit(True)
         if band.low is not None:
             fits = fits & (low >= band.low)
         if band.below is not None:
-            fits = fits & ~open_ended & (high < band.below)
-        label = F.when(fits, F.lit(band.label)).otherwise(label)
-    return label
+            fits = fits & (high < band.below)
+        tests.append(fits)
+    # all tests in one array, not a chain of branches: the ends are then parsed once per row
+    first = F.array_position(F.array(*tests), True).cast("int")
+    return F.get(F.array(*[F.lit(b.label) for b in bands]), first - 1)
 
 
 def recode_column(c: Column | str, mapping: Mapping, default=None) -> Column:

@@ -56,7 +56,7 @@ def scan_stations(docs: DataFrame, text: str = "value", active_only: bool = True
 
 
 def _plain(cell: Column) -> Column:
-    return F.trim(F.regexp_replace(F.regexp_replace(cell, r"<[^>]*>", ""), r"&nbsp;", " "))
+    return F.trim(F.replace(F.regexp_replace(cell, r"<[^>]*>", ""), F.lit("&nbsp;"), F.lit(" ")))
 
 
 def _cells(row: Column, cell_re: str) -> Column:
@@ -78,12 +78,13 @@ def html_rows(pages: DataFrame, html: str = "html", row_re: str = TABLE_ROW,
     """
     kept = [c for c in pages.columns if c != html]
     body = F.col(html) if within_re is None else F.regexp_extract(F.col(html), within_re, 1)
-    found = pages.select(*kept, F.regexp_extract_all(body, F.lit(row_re), F.lit(1)).alias("_rows"))
-    head = []
-    if header_row is not None:
-        head = [_cells(F.get("_rows", F.lit(header_row)), cell_re).alias("header")]
-    rows = found.select(*kept, *head, F.posexplode("_rows").alias("row", "_row"))
-    return rows.withColumn("cells", _cells(F.col("_row"), cell_re)).drop("_row")
+    found = F.regexp_extract_all(body, F.lit(row_re), F.lit(1))
+    # cells are cut out before rows are, so that nothing downstream cuts them again
+    pages = pages.select(*kept, F.transform(found, lambda r: _cells(r, cell_re)).alias("_rows"))
+    head = [] if header_row is None else [F.get("_rows", F.lit(header_row)).alias("header")]
+    # the outer form: the plain one adds a filter that would cut all cells again to count them
+    rows = pages.select(*kept, *head, F.posexplode_outer("_rows").alias("row", "cells"))
+    return rows.filter(F.col("row").isNotNull())
 
 
 def station_days(pages: DataFrame, key: str = "station_id", html: str = "html",
@@ -99,8 +100,10 @@ def station_days(pages: DataFrame, key: str = "station_id", html: str = "html",
     names = F.slice("header", 1, width)
 
     def named(name: str) -> Column:
+        """The cell under a header; blank and dashed cells are NULL without a costly parse."""
         at = F.array_position(names, F.lit(name)).cast("int")
-        return F.when(at > 0, F.get(F.col("cells"), at - 1))
+        cell = F.when(at > 0, F.get(F.col("cells"), at - 1))
+        return F.when(cell.rlike("[0-9]"), cell)
 
     out = rows.select(key, parse_timestamp(named("Date"), *STATION_STAMP).cast("date").alias("date"),
                       *[named(n).try_cast("double").alias(c) for n, c in columns.items()])
