@@ -1,6 +1,7 @@
 """Configurations, fits, scores and forecasts over keyed daily series."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from dayline.models.grid import Config, config_grid, configurations, cross, valid_configs
 from dayline.models.series import (best_config, compare, cross_validate, fit, fitted_values, forecast,
@@ -101,6 +102,78 @@ def leaderboard_by_information(spark, sf_dir):
     return out.select(KEY, "cfg_id", F.round("score_mean", 4).alias("score_mean"), "rank")
 
 
+# Models without coefficients: tomorrow is as today, or as the same weekday last week.
+_NAIVE = [Config(p=0, d=1), Config(p=0, sd=1, m=7)]
+_NAIVE_SQL = f"""
+    {_DENSE},
+    p AS (SELECT {KEY}, n, row_number() OVER (PARTITION BY {KEY} ORDER BY date) - 1 AS i,
+                 count(*) OVER (PARTITION BY {KEY}) AS total FROM f),
+    k AS (SELECT {KEY}, n, i, k, total - (10 - k) * (total // 11) AS start,
+                 least(7, total // 11) AS size FROM p, range(10) AS r(k)),
+    past AS (SELECT {KEY}, k, start - i AS back, n AS before FROM k WHERE i < start AND i >= start - 7),
+    test AS (SELECT {KEY}, k, i - start AS h, n FROM k WHERE i >= start AND i < start + size),
+    s AS (SELECT test.{KEY}, test.k, 0 AS cfg_id, sqrt(avg((n - before) ** 2)) AS score FROM test
+          JOIN past ON test.{KEY} = past.{KEY} AND test.k = past.k AND back = 1 GROUP BY 1, 2
+          UNION ALL
+          SELECT test.{KEY}, test.k, 1, sqrt(avg((n - before) ** 2)) FROM test
+          JOIN past ON test.{KEY} = past.{KEY} AND test.k = past.k AND back = 7 - h GROUP BY 1, 2),
+    board AS (SELECT {KEY}, CAST(cfg_id AS INTEGER) AS cfg_id, avg(score) AS score_mean,
+                     stddev_samp(score) / sqrt(count(*)) AS score_se FROM s GROUP BY 1, 2)"""
+
+
+@query(f"""
+    WITH {_NAIVE_SQL}
+    SELECT 'day' AS model, {KEY}, round(score_mean, 5) AS score_mean FROM board WHERE cfg_id = 0
+    UNION ALL SELECT 'week', {KEY}, round(score_mean, 5) FROM board WHERE cfg_id = 1
+    UNION ALL SELECT 'either', {KEY}, round(min(score_mean), 5) FROM board GROUP BY {KEY}""")
+def naive_models_side_by_side(spark, sf_dir):
+    series = dense_orders(spark, sf_dir)
+    boards = {name: grid_search(series, [KEY], "date", "n", [], configs, "rmse", 10, 7)
+              for name, configs in (("day", _NAIVE[:1]), ("week", _NAIVE[1:]), ("either", _NAIVE))}
+    out = compare(boards, [KEY])
+    return out.select("model", KEY, F.round("score_mean", 5).alias("score_mean"))
+
+
+@query(f"""
+    WITH {_NAIVE_SQL},
+    r AS (SELECT *, row_number() OVER (PARTITION BY {KEY} ORDER BY score_mean, cfg_id) - 1 AS place FROM board),
+    n AS (SELECT {KEY}, count(*) AS rows, min(date) AS first, max(date) AS last FROM f GROUP BY 1)
+    SELECT {KEY}, CAST(place AS INTEGER) AS place, CAST(1 - cfg_id AS INTEGER) AS d,
+           CAST(cfg_id AS INTEGER) AS sd, round(score_mean, 5) AS score_mean, round(score_se, 5) AS score_se,
+           first AS first_date, last AS last_date, CAST(rows - 10 * (rows // 11) AS INTEGER) AS train_min
+    FROM r JOIN n USING ({KEY})""")
+def tuning_results_of_naive_models(spark, sf_dir):
+    conf = {"outputs": ["n"], "date_from": "", "p_values": [0], "d_values": [0, 1], "q_values": [0],
+            "P_values": [0], "D_values": [0, 1], "Q_values": [0], "cv_n_splits": 10}
+    runs = tune(order_days(spark, sf_dir, KEY), conf, [KEY], kind=None)
+    each = runs.select(KEY, "log", F.posexplode("results").alias("place", "r"))
+    d, sd = F.col("r.cfg.arima_order")[1], F.col("r.cfg.seasonal_order")[1]
+    # the grid also holds neither and both differences; SQL has the two single ones
+    single = each.filter(d + sd == 1).withColumn(
+        "place", F.row_number().over(W.partitionBy(KEY).orderBy("place")) - 1)
+    return single.select(
+        KEY, "place", d.alias("d"), sd.alias("sd"), F.round("r.score_mean", 5).alias("score_mean"),
+        F.round("r.score_se", 5).alias("score_se"),
+        F.col("log.date_range")[0].cast("date").alias("first_date"),
+        F.col("log.date_range")[1].cast("date").alias("last_date"),
+        F.col("log.splits_train_size_min").alias("train_min"))
+
+
+@query(f"""
+    WITH {_DENSE},
+    v AS (SELECT {KEY}, date, n, last_value(price IGNORE NULLS) OVER (
+              PARTITION BY {KEY} ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS x
+          FROM f LEFT JOIN (SELECT {KEY}, date, price FROM d) USING ({KEY}, date)),
+    line AS (SELECT {KEY}, regr_slope(n, x) AS s, regr_intercept(n, x) AS i, arg_max(x, date) AS x,
+                    max(date) AS last FROM v GROUP BY 1)
+    SELECT {KEY}, CAST(last + CAST(h AS INTEGER) AS DATE) AS date, round(i + s * x, 5) AS forecast
+    FROM line, range(1, 8) AS r(h)""")
+def regression_forecast_with_held_regressor(spark, sf_dir):
+    out = forecast(dense_orders(spark, sf_dir), [KEY], "date", "n", ["price"],
+                   Config(p=0, trend="c"), 7)
+    return out.select(KEY, "date", F.round("forecast", 5).alias("forecast"))
+
+
 @query()
 def shipped_grid_leaderboard(spark, sf_dir):
     series = ffill(densify(order_days(spark, sf_dir), [], "date"), [], "date")

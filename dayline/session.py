@@ -28,16 +28,20 @@ def build_session(app: str = "dayline", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+_local_root: str | None = None
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for a written table, under the shared folder of ``spark.checkpoint.dir``.
 
     Only a local master may fall back to a temporary folder: on a cluster the executors
     would each write to their own disk.
     """
+    global _local_root
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="dayline-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        _local_root = _local_root or tempfile.mkdtemp(prefix="dayline-")
+        root = _local_root
     return os.path.join(root, f"{name}-{uuid.uuid4().hex}")

@@ -9,12 +9,10 @@ from dayline.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     session = build_session("tests", "local[8]", spark__sql__shuffle__partitions="4",
                             spark__ui__enabled="false", spark__driver__memory="6g")
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("scratch")))
     yield session
     session.stop()
 
