@@ -168,13 +168,13 @@ def mean_model_training_error(spark, sf_dir):
     l AS (SELECT {KEY}, n - lag(n) OVER (PARTITION BY {KEY} ORDER BY date) AS dy,
                  lag(n) OVER (PARTITION BY {KEY} ORDER BY date) AS y1 FROM v),
     s AS (SELECT {KEY}, regr_slope(dy, y1) AS b, regr_sxx(dy, y1) AS sxx,
-                 regr_syy(dy, y1) * (1 - regr_r2(dy, y1)) AS rss, regr_count(dy, y1) AS n FROM l GROUP BY 1)
-    SELECT {KEY}, CAST(0 AS INTEGER) AS d, round(b / sqrt(rss / (n - 2) / sxx), 5) AS stat,
-           CAST(n AS INTEGER) AS nobs,
-           round(-2.86154 - 2.8903 / n - 4.234 / n ** 2 - 40.04 / n ** 3, 6) AS crit_5,
-           2.1659 + 1.4412 * b / sqrt(rss / (n - 2) / sxx)
-           + 0.038269 * (b / sqrt(rss / (n - 2) / sxx)) ** 2 < -3.090232306 AS stationary
-    FROM s""")
+                 regr_syy(dy, y1) * (1 - regr_r2(dy, y1)) AS rss, regr_count(dy, y1) AS n FROM l GROUP BY 1),
+    t AS (SELECT {KEY}, n, b / sqrt(rss / (n - 2) / sxx) AS t FROM s),
+    u AS (SELECT *, -2.86154 - 2.8903 / n - 4.234 / n ** 2 - 40.04 / n ** 3 AS crit_5 FROM t)
+    SELECT {KEY}, CAST(0 AS INTEGER) AS d, round(t, 5) AS stat, CAST(n AS INTEGER) AS nobs,
+           round(crit_5, 6) AS crit_5, t < crit_5 AND (t < -18.83
+               OR (t <= -1.61 AND 2.1659 + 1.4412 * t + 0.038269 * t * t < -3.090232306)) AS stationary
+    FROM u""")
 def unit_root_statistics(spark, sf_dir):
     out = adf(dense_orders(spark, sf_dir), [KEY], "date", "n", max_lag=0)
     return out.select(KEY, "d", F.round("stat", 5).alias("stat"), "nobs",
@@ -191,10 +191,10 @@ def unit_root_statistics(spark, sf_dir):
     s AS (SELECT {KEY}, count(*) AS n, sum(z4 * z4) AS a11, sum(z4 * z5) AS a12, sum(z5 * z5) AS a22,
                  sum(z4 * y) AS b1, sum(z5 * y) AS b2, sum(y * y) AS yy
           FROM z WHERE y IS NOT NULL AND z4 IS NOT NULL AND z5 IS NOT NULL GROUP BY 1),
-    c AS (SELECT *, (b1 * a22 - b2 * a12) / (a11 * a22 - a12 * a12) AS c1,
+    q AS (SELECT *, (b1 * a22 - b2 * a12) / (a11 * a22 - a12 * a12) AS c1,
                  (b2 * a11 - b1 * a12) / (a11 * a22 - a12 * a12) AS c2 FROM s),
     t AS (SELECT {KEY}, c2 / sqrt((yy - c1 * b1 - c2 * b2) / (n - 2) * a11 / (a11 * a22 - a12 * a12)) AS stat
-          FROM c)
+          FROM q)
     SELECT {KEY}, round(stat, 5) AS stat, CAST(stat > -0.2937411 * exp(-0.2850853 * (ln(7) - 0.7656451)
            - 0.05983644 * (ln(7) - 0.7656451) ** 2) - 1.652202 AS INTEGER) AS D FROM t""")
 def seasonal_root_statistics(spark, sf_dir):
