@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from functools import lru_cache
 from itertools import product
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -29,11 +31,16 @@ class Config(NamedTuple):
 
     @property
     def ar_lags(self) -> list[int]:
-        return sorted({*range(1, self.p + 1), *(k * self.m for k in range(1, self.sp + 1))})
+        return _lags(self.p, self.sp, self.m)
 
     @property
     def ma_lags(self) -> list[int]:
-        return sorted({*range(1, self.q + 1), *(k * self.m for k in range(1, self.sq + 1))})
+        return _lags(self.q, self.sq, self.m)
+
+
+@lru_cache(maxsize=None)
+def _lags(order: int, seasonal: int, m: int) -> list[int]:
+    return sorted({*range(1, order + 1), *(k * m for k in range(1, seasonal + 1))})
 
 
 CONFIG_DDL = "p int, d int, q int, sp int, sd int, sq int, m int, trend string"
@@ -58,12 +65,15 @@ def valid_configs(cfg: DataFrame) -> DataFrame:
     return cfg.filter((F.col("d") + F.col("sd") <= 2) & ~(seasonal & (F.col("m") < 2)))
 
 
+def config_array(configs: Sequence[Config]) -> Column:
+    """The configurations as one constant array of structs, ``cfg_id`` first."""
+    text = json.dumps([{"cfg_id": i, **c._asdict()} for i, c in enumerate(configs)])
+    return F.from_json(F.lit(text), f"array<struct<cfg_id int, {CONFIG_DDL}>>")
+
+
 def cross(df: DataFrame, configs: Sequence[Config]) -> DataFrame:
-    """Every row with every configuration; the configurations travel as one literal array."""
-    options = F.array(*[F.struct(F.lit(i).alias("cfg_id"),
-                                 *[F.lit(v).alias(n) for n, v in zip(Config._fields, c)])
-                        for i, c in enumerate(configs)])
-    return df.select("*", F.inline(options))
+    """Every row with every configuration, which travel along as a constant."""
+    return df.select("*", F.inline(config_array(configs)))
 
 
 def config_struct():

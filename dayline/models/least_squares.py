@@ -49,11 +49,15 @@ def shifted(v: np.ndarray, lags: list[int]) -> np.ndarray:
 
 def regress(target: np.ndarray, design: np.ndarray) -> tuple[np.ndarray, np.ndarray, int] | None:
     """Coefficients, residuals (NaN on unusable rows) and rows used; None if there are too few."""
-    usable = np.isfinite(design).all(axis=1) & np.isfinite(target)
-    n, k = int(usable.sum()), design.shape[1]
+    # rows are unusable where lags are missing, that is at the start
+    usable = np.isfinite(design.sum(axis=1) + target)
+    first = int(np.argmax(usable)) if usable.any() else len(target)
+    x, y = design[first:], target[first:]
+    if not usable[first:].all():
+        x, y = x[usable[first:]], y[usable[first:]]
+    n, k = x.shape
     if n <= k:
         return None
-    x, y = design[usable], target[usable]
     coef = solve_normal(x.T @ x, x.T @ y) if k else np.zeros(0)
     resid = np.full(len(target), np.nan)
     resid[usable] = y - x @ coef
@@ -117,43 +121,70 @@ def fit_series(cfg: Config, y: np.ndarray, x: np.ndarray,
     return Solution(names, coef, n, float(np.nansum(resid ** 2)), resid)
 
 
-def _by_lag(fit: Solution, prefix: str, lags: list[int]) -> np.ndarray:
-    out = np.zeros(max(lags, default=0) + 1)
-    for k in lags:
-        out[k] = fit.coef[fit.names.index(f"{prefix}.L{k}")]
-    return out
+def _by_lag(fit: Solution, prefix: str, lags: list[int]) -> list[tuple[int, float]]:
+    value = dict(zip(fit.names, fit.coef.tolist()))
+    return [(k, value[f"{prefix}.L{k}"]) for k in lags]
 
 
-def forecast_series(cfg: Config, fit: Solution, y: np.ndarray, x: np.ndarray,
-                    future: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Forecast and standard error for ``len(future)`` steps, on the scale the model was fitted."""
-    steps = len(future)
+def _differencing(cfg: Config) -> np.ndarray:
+    """Coefficients of the differences as one polynomial, the leading 1 included."""
     unit = np.ones(1)
     for step in [1] * cfg.d + [cfg.m] * cfg.sd:
         unit = np.convolve(unit, np.concatenate([[1.0], np.zeros(step - 1), [-1.0]]))
+    return unit
+
+
+def forecast_path(cfg: Config, fit: Solution, y: np.ndarray, x: np.ndarray,
+                  future: np.ndarray) -> np.ndarray:
+    """Expected values for ``len(future)`` steps, on the scale the model was fitted."""
     ar, ma = _by_lag(fit, "ar", cfg.ar_lags), _by_lag(fit, "ma", cfg.ma_lags)
-    drop = cfg.d + cfg.sd * cfg.m
-    dx = difference(np.vstack([x, future]), cfg.d, cfg.sd, cfg.m)[len(y) - drop:]
-    beta = np.array([c for n, c in zip(fit.names, fit.coef) if n[0] == "x"])
-    level = dict(zip(fit.names, fit.coef))
-
-    levels = list(y)
-    w = list(difference(y, cfg.d, cfg.sd, cfg.m))
-    e = list(np.nan_to_num(fit.resid))
-    for h in range(steps):
-        t = len(w)
-        value = level.get("intercept", 0.0) + level.get("drift", 0.0) * (t + 1)
-        value += sum(ar[k] * w[t - k] for k in cfg.ar_lags)
-        value += sum(ma[k] * e[t - k] for k in cfg.ma_lags)
-        value += float(dx[h] @ beta) if len(beta) else 0.0
-        w.append(value)
+    value = dict(zip(fit.names, fit.coef.tolist()))
+    start, slope = value.get("intercept", 0.0), value.get("drift", 0.0)
+    drop, length = cfg.d + cfg.sd * cfg.m, len(y) - cfg.d - cfg.sd * cfg.m
+    reach = max([1, *cfg.ar_lags, *cfg.ma_lags])
+    push = np.zeros(len(future))
+    beta = [c for n, c in value.items() if n[0] == "x"]
+    if beta:
+        recent = np.vstack([x[len(x) - drop:], future])
+        push = difference(recent, cfg.d, cfg.sd, cfg.m) @ np.array(beta)
+
+    # only the last values matter, so only they become lists
+    w = difference(y[-(reach + drop):], cfg.d, cfg.sd, cfg.m).tolist()
+    e = np.nan_to_num(fit.resid[-reach:]).tolist()
+    levels = y[len(y) - drop:].tolist()
+    undo = [(k, c) for k, c in enumerate(_differencing(cfg).tolist()) if k and c]
+    path = []
+    for h in range(len(future)):
+        step = start + slope * (length + h + 1) + push[h]
+        for k, c in ar:
+            step += c * w[-k]
+        for k, c in ma:
+            step += c * e[-k]
+        w.append(step)
         e.append(0.0)
-        levels.append(value - sum(unit[k] * levels[-k] for k in range(1, len(unit))))
-
-    full = np.convolve(np.concatenate([[1.0], -ar[1:]]), unit)
+        for k, c in undo:
+            step -= c * levels[-k]
+        levels.append(step)
+        path.append(step)
+    return np.array(path)
+
+
+def forecast_error(cfg: Config, fit: Solution, steps: int) -> np.ndarray:
+    """Standard errors of the path, from the weights of past innovations."""
+    ar = np.zeros(max(cfg.ar_lags, default=0) + 1)
+    ar[0] = 1.0
+    for k, c in _by_lag(fit, "ar", cfg.ar_lags):
+        ar[k] = -c
+    ma = dict(_by_lag(fit, "ma", cfg.ma_lags))
+    full = np.convolve(ar, _differencing(cfg))
     psi = np.zeros(steps)
     for j in range(steps):
-        psi[j] = 1.0 if j == 0 else (ma[j] if j < len(ma) else 0.0)
+        psi[j] = 1.0 if j == 0 else ma.get(j, 0.0)
         psi[j] -= sum(full[k] * psi[j - k] for k in range(1, min(j, len(full) - 1) + 1))
-    se = np.sqrt(fit.sigma2 * np.cumsum(psi ** 2))
-    return np.array(levels[len(y):]), se
+    return np.sqrt(fit.sigma2 * np.cumsum(psi ** 2))
+
+
+def forecast_series(cfg: Config, fit: Solution, y: np.ndarray, x: np.ndarray,
+                    future: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Path and standard errors."""
+    return forecast_path(cfg, fit, y, x, future), forecast_error(cfg, fit, len(future))

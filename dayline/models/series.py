@@ -12,12 +12,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
-from pyspark.sql.types import StructType
 
 from dayline.functions.columns import (Z95, aic, back_transform, rmse, same_set, standard_error,
                                        transform_column)
-from dayline.models.grid import Config, config_columns, config_struct
-from dayline.models.least_squares import Solution, fit_series, forecast_series
+from dayline.models.grid import Config, config_array, config_columns, config_struct
+from dayline.models.least_squares import Solution, fit_series, forecast_path, forecast_series
 from dayline.operators.joins import attach_lookup
 from dayline.operators.windows import hold_last
 
@@ -42,10 +41,10 @@ def _group(df: DataFrame, by: Sequence[str]):
 def _blocks(df: DataFrame, keys: Sequence[str], n_blocks: int) -> DataFrame:
     """Every series once per block of configurations, spread by series and block.
 
-    The rows are few and the work on them is not, so the number of tasks is asked for: adaptive
-    execution would merge such small partitions into one.
+    The rows are few and the work on them is not, so the number of tasks is asked for (several
+    per slot, to even out): adaptive execution would merge such small partitions into one.
     """
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))
     return df.withColumn("block", blocks).repartition(tasks, *keys, "block")
 
@@ -207,7 +206,7 @@ def fold_forecasts(df: DataFrame, keys: Sequence[str], date: str, y: str, x: Seq
                 done: Solution | None = fit_series(configs[cfg_id], past, past_x, noise)
                 if done is None:
                     continue
-                mean, _ = forecast_series(configs[cfg_id], done, past, past_x, coming)
+                mean = forecast_path(configs[cfg_id], done, past, past_x, coming)
                 labels += [(cfg_id, fold, step) for step in range(1, test + 1)]
                 actual.append(yy[train:train + test])
                 predicted.append(mean)
@@ -278,12 +277,11 @@ def grid_search(df: DataFrame, keys: Sequence[str], date: str, y: str, x: Sequen
                                 rmse if metric == "rmse" else metric, block).drop("folds")
     else:
         raise ValueError(f"unknown metric {metric!r}")
-    spark = df.sparkSession
-    table = spark.createDataFrame([(i, *c) for i, c in enumerate(configs)],
-                                  StructType.fromDDL("cfg_id int, p int, d int, q int, sp int, "
-                                                     "sd int, sq int, m int, trend string"))
+    named = F.get(config_array(configs), F.col("cfg_id"))
     best_first = W.partitionBy(*(list(keys) or [F.lit(0)])).orderBy("score_mean", "cfg_id")
-    return (scores.filter(F.col("score_mean").isNotNull()).join(table, "cfg_id")
+    return (scores.filter(F.col("score_mean").isNotNull())
+            .withColumn("_cfg", named).withColumns({n: F.col("_cfg")[n] for n in Config._fields})
+            .drop("_cfg")
             .withColumn("rank", F.row_number().over(best_first)))
 
 

@@ -159,7 +159,8 @@ def top_k(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], k: int
     """First ``k`` rows of each group, ties broken arbitrarily.
 
     Spark limits each group to ``k`` rows inside every map task before it shuffles
-    (``WindowGroupLimit``), so a hot group reaches its task as at most ``k`` rows per map task.
+    (``WindowGroupLimit``, up to ``spark.sql.optimizer.windowGroupLimitThreshold``), so a hot
+    group reaches its task as at most ``k`` rows per map task.
     """
     if not keys:
         return df.orderBy(*order_by).limit(k)

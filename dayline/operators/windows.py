@@ -34,7 +34,7 @@ def densify(df: DataFrame, keys: Sequence[str], date: str) -> DataFrame:
     Each row fans out over the gap that follows it, so there is no calendar to join.
     """
     w = series_window(keys, date)
-    gap_end = F.coalesce(F.date_sub(F.lead(date).over(w), 1), F.col(date))
+    gap_end = F.greatest(F.date_sub(F.lead(date).over(w), 1), F.col(date))
     out = df.filter(F.col(date).isNotNull()).withColumn("_until", gap_end)
     out = out.withColumn("_day", F.explode(F.sequence(F.col(date), F.col("_until"))))
     own = F.col("_day") == F.col(date)

@@ -58,17 +58,19 @@ def curate(sources: Sources, curated: DataFrame | None = None, lo=None, hi=None)
     """
     bounded = {name: scan_between(df, "date", lo or EPOCH, hi)
                for name, df in sources._asdict().items() if name not in ("holidays", "population")}
+    totals = {c: c.removeprefix("new_") for c in _NEW_DOSES}
     seed = None
     if curated is not None:
+        # the last row of each region: its date is the mark, its totals go on
+        seed = latest_row(curated.select(*ON, *totals.values(), "deaths"), KEYS, "date")
         for name in ("status", "risk", "vaccines"):
-            bounded[name] = new_rows(bounded[name], curated, KEYS, "date", lo or EPOCH)
-        seed = latest_row(curated, KEYS, "date")
+            bounded[name] = new_rows(bounded[name], seed, KEYS, "date", lo or EPOCH)
 
     status = gate_complete(bounded["status"], [bounded["risk"], bounded["vaccines"]], KEYS)
     stringency = bounded["stringency"]
     if _keyed(stringency):
         if curated is not None:
-            stringency = new_rows(stringency, curated, KEYS, "date", lo or EPOCH)
+            stringency = new_rows(stringency, seed, KEYS, "date", lo or EPOCH)
         status = gate_complete(status, [stringency], KEYS)
     else:
         status = attach_lookup(status, stringency.agg(F.max("date").alias("_until")), [], ["_until"])
@@ -92,7 +94,6 @@ def curate(sources: Sources, curated: DataFrame | None = None, lo=None, hi=None)
 
     joined = joined.withColumns({c: F.coalesce(F.col(c), F.lit(0)).cast("long") for c in _NEW_DOSES})
     joined = joined.withColumn("hospitalized", row_sum(columns_like(joined, "hospitalized")))
-    totals = {c: c.removeprefix("new_") for c in _NEW_DOSES}
     out = running_total(joined, KEYS, "date", totals, seed)
     out = daily_change(out, KEYS, "date", {"deaths": "new_deaths"}, seed)
     out = attach_lookup(out, sources.population, KEYS, ["population"])
