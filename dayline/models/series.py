@@ -44,7 +44,9 @@ def _blocks(df: DataFrame, keys: Sequence[str], n_blocks: int) -> DataFrame:
     The rows are few and the work on them is not, so the number of tasks is asked for (several
     per slot, to even out): adaptive execution would merge such small partitions into one.
     """
-    tasks = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    session = df.sparkSession
+    tasks = max(int(session.conf.get("spark.sql.shuffle.partitions")),
+                4 * session.sparkContext.defaultParallelism)
     blocks = F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))
     return df.withColumn("block", blocks).repartition(tasks, *keys, "block")
 

@@ -1,7 +1,6 @@
 """Configurations, fits, scores and forecasts over keyed daily series."""
 
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from dayline.models.grid import Config, config_grid, configurations, cross, valid_configs
 from dayline.models.series import (best_config, compare, cross_validate, fit, fitted_values, forecast,
@@ -136,23 +135,23 @@ def naive_models_side_by_side(spark, sf_dir):
 
 @query(f"""
     WITH {_NAIVE_SQL},
-    r AS (SELECT *, row_number() OVER (PARTITION BY {KEY} ORDER BY score_mean, cfg_id) - 1 AS place FROM board),
     n AS (SELECT {KEY}, count(*) AS rows, min(date) AS first, max(date) AS last FROM f GROUP BY 1)
-    SELECT {KEY}, CAST(place AS INTEGER) AS place, CAST(1 - cfg_id AS INTEGER) AS d,
+    SELECT {KEY}, true AS best_first, CAST(1 - cfg_id AS INTEGER) AS d,
            CAST(cfg_id AS INTEGER) AS sd, round(score_mean, 5) AS score_mean, round(score_se, 5) AS score_se,
            first AS first_date, last AS last_date, CAST(rows - 10 * (rows // 11) AS INTEGER) AS train_min
-    FROM r JOIN n USING ({KEY})""")
+    FROM board JOIN n USING ({KEY})""")
 def tuning_results_of_naive_models(spark, sf_dir):
     conf = {"outputs": ["n"], "date_from": "", "p_values": [0], "d_values": [0, 1], "q_values": [0],
             "P_values": [0], "D_values": [0, 1], "Q_values": [0], "cv_n_splits": 10}
     runs = tune(order_days(spark, sf_dir, KEY), conf, [KEY], kind=None)
-    each = runs.select(KEY, "log", F.posexplode("results").alias("place", "r"))
+    scores = F.col("results.score_mean")
+    each = runs.select(KEY, "log", (scores == F.array_sort(scores)).alias("best_first"),
+                       F.explode("results").alias("r"))
     d, sd = F.col("r.cfg.arima_order")[1], F.col("r.cfg.seasonal_order")[1]
     # the grid also holds neither and both differences; SQL has the two single ones
-    single = each.filter(d + sd == 1).withColumn(
-        "place", F.row_number().over(W.partitionBy(KEY).orderBy("place")) - 1)
-    return single.select(
-        KEY, "place", d.alias("d"), sd.alias("sd"), F.round("r.score_mean", 5).alias("score_mean"),
+    return each.filter(d + sd == 1).select(
+        KEY, "best_first", d.alias("d"), sd.alias("sd"),
+        F.round("r.score_mean", 5).alias("score_mean"),
         F.round("r.score_se", 5).alias("score_se"),
         F.col("log.date_range")[0].cast("date").alias("first_date"),
         F.col("log.date_range")[1].cast("date").alias("last_date"),
