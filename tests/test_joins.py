@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from dayline.operators.aggregates import availability, best_per_key, histogram, pivot_sum, top_k
 from dayline.operators.filters import gate_complete
 from dayline.operators.joins import attach_lookup, cover_flag, newest_per_key
-from dayline.operators.spatial import contains_join
+from dayline.operators.spatial import _boxes, cells_size, contains_join, polygon_cells
 
 
 def day(n, month=1):
@@ -73,13 +73,16 @@ SQUARES = [(1, 0, i, x, y) for i, (x, y) in enumerate([(0, 0), (4, 0), (4, 4), (
           [(3, 0, i, x, y) for i, (x, y) in enumerate([(10, 0), (20, 0), (10, 10)])]
 
 
-@pytest.mark.parametrize("cell", [0.5, 3.0, 100.0])
-def test_points_on_edges_vertices_and_in_holes(spark, rows, cell):
+@pytest.mark.parametrize("cell, limit", [(0.5, 1 << 20), (3.0, 1 << 20), (100.0, 0), (0.5, 0)])
+def test_points_on_edges_vertices_and_in_holes(spark, rows, cell, limit):
     shapes = frame(spark, [(p, r, s, float(x), float(y)) for p, r, s, x, y in SQUARES],
                    "poly_id int, ring int, seq int, x double, y double")
     points = [(1, 3.0, 3.0), (2, 1.5, 1.5), (3, 4.0, 2.0), (4, 0.0, 0.0), (5, 9.0, 1.0),
               (6, 18.0, 8.0), (7, 11.0, 2.0), (8, None, 1.0), (9, 8.0, 2.0)]
-    out = contains_join(frame(spark, points, "point_id int, x double, y double"), shapes, cell)
+    out = contains_join(frame(spark, points, "point_id int, x double, y double"), shapes, cell,
+                        broadcast_limit=limit)
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert ("SortMergeJoin" in text) == (limit == 0)
     # the shared edge x=4 goes to one square, the hole to none, the far corner of the box to none
     assert rows(out) == [(1, 1), (3, 2), (4, 1), (7, 3)]
 
@@ -107,6 +110,14 @@ def test_random_points_against_brute_force(spark):
         (i, p) for i, x, y in points for p, ring in polys.items() if inside(x, y, ring)}
 
 
+def test_cell_table_is_never_larger_than_its_bound(spark):
+    shapes = frame(spark, [(p, r, s, float(x), float(y)) for p, r, s, x, y in SQUARES],
+                   "poly_id int, ring int, seq int, x double, y double")
+    made = polygon_cells(shapes, 0.5).selectExpr("sum(88 + 32 * size(edges)) AS n").first()["n"]
+    assert made <= cells_size(_boxes(shapes, 0.5, "poly_id"))
+    assert cells_size(_boxes(shapes.filter("false"), 0.5, "poly_id")) == 0
+
+
 def test_ties_stay_and_threshold_is_strict(spark, rows):
     df = frame(spark, [("m", "s1", 5, 300), ("m", "s2", 5, 200), ("m", "s3", 5, 200), ("m", "s4", 4, 10),
                        ("n", "s5", 1, 1599), (None, "s6", 9, 1)],

@@ -20,15 +20,24 @@ def con():
     return connection
 
 
+def pairs_only_equal_keys(df):
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in text and "NestedLoop" not in text
+
+
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_matches_sql(spark, con, name):
-    problem, _ = compare(entry.queries()[name](spark, SF_DIR), con, entry.oracle_sql()[name])
+    df = entry.queries()[name](spark, SF_DIR)
+    problem, _ = compare(df, con, entry.oracle_sql()[name])
     assert problem is None
+    pairs_only_equal_keys(df)
 
 
 @pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.oracle_sql())))
 def test_runs_without_sql(spark, name):
-    assert entry.queries()[name](spark, SF_DIR).count() > 0
+    df = entry.queries()[name](spark, SF_DIR)
+    assert df.count() > 0
+    pairs_only_equal_keys(df)
 
 
 def test_entry_has_a_stable_schema(spark):

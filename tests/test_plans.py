@@ -2,10 +2,8 @@
 
 import re
 
-import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from dayline.operators.aggregates import best_per_key, pivot_sum, top_k
 from dayline.operators.filters import scan_between
 from dayline.operators.windows import daily_change, densify, ffill, lags, running_total
@@ -17,14 +15,6 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
-def test_no_query_multiplies_rows_blindly(spark, name):
-    if name in ("shipped_grid_leaderboard",):
-        pytest.skip("same operators as the smaller leaderboards")
-    text = plan(entry.queries()[name](spark, SF_DIR))
-    assert "CartesianProduct" not in text and "NestedLoop" not in text
-
-
 def test_series_chain_shuffles_once(spark):
     days = spark.read.parquet(f"{SF_DIR}/events.parquet").groupBy(
         "user_id", F.to_date("ts").alias("date")).agg(F.count(F.lit(1)).alias("n"))
