@@ -6,7 +6,7 @@ follow it reuse that partitioning: one shuffle for the whole chain.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,31 +42,69 @@ def densify(df: DataFrame, keys: Sequence[str], date: str) -> DataFrame:
     return out.select(*keys, F.col("_day").alias(date), *values)
 
 
+def _carried(df: DataFrame, keys: Sequence[str], date: str, days: int,
+             per_bucket: Mapping[str, Column], carry: Callable[[str, WindowSpec], Column]
+             ) -> tuple[DataFrame, WindowSpec]:
+    """Split series into buckets of ``days`` and attach what earlier buckets hand on.
+
+    Each bucket is reduced to one row, a window over those few rows carries them forward, and
+    the result joins back. Windows over rows then need only span one bucket.
+    """
+    split = df.withColumn("_bucket", F.floor(F.unix_date(F.col(date).cast("date")) / days))
+    reduced = split.groupBy(*keys, "_bucket").agg(*[v.alias(n) for n, v in per_bucket.items()])
+    before = series_window(keys, "_bucket").rowsBetween(W.unboundedPreceding, -1)
+    handed = reduced.select(*keys, "_bucket", *[carry(n, before).alias(n) for n in per_bucket])
+    inner = W.partitionBy(*keys, "_bucket").orderBy(date).rowsBetween(W.unboundedPreceding, 0)
+    return split.join(handed, [*keys, "_bucket"], "left"), inner
+
+
 def ffill(df: DataFrame, keys: Sequence[str], date: str, cols: Sequence[str] | None = None,
-          flag: str | None = None) -> DataFrame:
-    """Carry the last known value forward; ``flag`` marks rows where something was carried."""
-    cols = list(cols or _values(df, keys, date))
-    w = series_window(keys, date).rowsBetween(W.unboundedPreceding, 0)
-    filled = {c: F.last(c, ignorenulls=True).over(w) for c in cols}
+          flag: str | None = None, bucket_days: int | None = None) -> DataFrame:
+    """Carry the last known value forward; ``flag`` marks rows where something was carried.
+
+    ``bucket_days`` spreads series too long for one task over buckets of that many days.
+    """
+    cols, order = list(cols or _values(df, keys, date)), df.columns
+    if bucket_days:
+        held = {f"_held_{c}": F.max_by(c, F.when(F.col(c).isNotNull(), F.col(date))) for c in cols}
+        df, w = _carried(df, keys, date, bucket_days, held,
+                         lambda n, over: F.last(n, ignorenulls=True).over(over))
+        filled = {c: F.coalesce(F.last(c, ignorenulls=True).over(w), F.col(f"_held_{c}"))
+                  for c in cols}
+    else:
+        w = series_window(keys, date).rowsBetween(W.unboundedPreceding, 0)
+        filled = {c: F.last(c, ignorenulls=True).over(w) for c in cols}
     if flag:
         was_null = F.lit(False)
         for c in cols:
             was_null = was_null | (F.col(c).isNull() & filled[c].isNotNull())
         filled[flag] = was_null
-    return df.withColumns(filled)
+    return df.withColumns(filled).select(*order, *([flag] if flag else []))
 
 
 def running_total(df: DataFrame, keys: Sequence[str], date: str, cols: Mapping[str, str],
-                  seed: DataFrame | None = None) -> DataFrame:
-    """Running totals (``cols`` maps input to output), on top of the seed row's totals if given."""
-    w = series_window(keys, date).rowsBetween(W.unboundedPreceding, 0)
+                  seed: DataFrame | None = None, bucket_days: int | None = None) -> DataFrame:
+    """Running totals (``cols`` maps input to output), on top of the seed row's totals if given.
+
+    ``bucket_days`` spreads series too long for one task over buckets of that many days.
+    """
+    order = df.columns
     start = {out: F.lit(0) for out in cols.values()}
     if seed is not None:
         named = seed.select(*keys, *[F.col(o).alias(f"_seed_{o}") for o in cols.values()])
         df = attach_lookup(df, named, keys, [f"_seed_{o}" for o in cols.values()])
         start = {out: F.coalesce(F.col(f"_seed_{out}"), F.lit(0)) for out in cols.values()}
-    return (df.withColumns({out: F.sum(c).over(w) + start[out] for c, out in cols.items()})
-            .drop(*[f"_seed_{o}" for o in cols.values()]))
+    if bucket_days:
+        df, w = _carried(df, keys, date, bucket_days, {f"_sum_{o}": F.sum(c) for c, o in cols.items()},
+                         lambda n, over: F.sum(n).over(over))
+        totals = {}
+        for c, out in cols.items():
+            own, earlier = F.sum(c).over(w), F.col(f"_sum_{out}")
+            totals[out] = F.coalesce(own + earlier, own, earlier) + start[out]
+    else:
+        w = series_window(keys, date).rowsBetween(W.unboundedPreceding, 0)
+        totals = {out: F.sum(c).over(w) + start[out] for c, out in cols.items()}
+    return df.withColumns(totals).select(*order, *cols.values())
 
 
 def daily_change(df: DataFrame, keys: Sequence[str], date: str, cols: Mapping[str, str],

@@ -23,6 +23,18 @@ def running_totals(spark, sf_dir):
                       F.round("total_price", 2).alias("total_price"))
 
 
+@query(f"""
+    WITH d AS ({order_days_sql("o_orderstatus")})
+    SELECT o_orderstatus, date, n, CAST(sum(n) OVER w AS BIGINT) AS total,
+           max(CASE WHEN n > 3 THEN date END) OVER w AS last_busy
+    FROM d WINDOW w AS (PARTITION BY o_orderstatus ORDER BY date)""")
+def long_series_in_buckets(spark, sf_dir):
+    days = order_days(spark, sf_dir, "o_orderstatus").drop("price").withColumn(
+        "last_busy", F.when(F.col("n") > 3, F.col("date")))
+    totals = running_total(days, ["o_orderstatus"], "date", {"n": "total"}, bucket_days=31)
+    return ffill(totals, ["o_orderstatus"], "date", ["last_busy"], bucket_days=31)
+
+
 @query(f"""
     WITH d AS ({event_days_sql("user_id")}),
     t AS (SELECT user_id, date, n, CAST(sum(n) OVER (PARTITION BY user_id ORDER BY date) AS BIGINT) AS total

@@ -54,6 +54,20 @@ def test_increments_equal_one_run(spark, rows, cut):
     assert rows(before.unionByName(build(later, latest_row(before, ["k"], "date")))) == rows(whole)
 
 
+@pytest.mark.parametrize("keys", [["k"], []])
+@pytest.mark.parametrize("bucket", [1, 7, 1000])
+def test_buckets_do_not_change_results(spark, rows, keys, bucket):
+    rng = random.Random(bucket)
+    data = [(k, at(n), None if rng.random() < 0.4 else rng.randrange(50)) for k in "ab" for n in range(45)
+            if rng.random() < 0.9 and (keys or k == "a")]
+    df = spark.createDataFrame(data, "k string, date date, v int")
+    seed = spark.createDataFrame([("a", 100)], "k string, t int")
+    plain = running_total(df, keys, "date", {"v": "t"}, seed)
+    assert rows(running_total(df, keys, "date", {"v": "t"}, seed, bucket)) == rows(plain)
+    filled = ffill(df, keys, "date", ["v"], flag="f")
+    assert rows(ffill(df, keys, "date", ["v"], flag="f", bucket_days=bucket)) == rows(filled)
+
+
 def test_change_of_total_is_the_daily_value(spark):
     df = series(spark, [(n, float(n % 5)) for n in range(30)])
     out = daily_change(running_total(df, ["k"], "date", {"v": "t"}), ["k"], "date", {"t": "c"})
