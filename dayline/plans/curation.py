@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayline.functions.columns import AGE_BANDS, reband, row_sum
@@ -15,7 +16,9 @@ from dayline.operators.incremental import new_rows
 from dayline.operators.joins import attach_lookup, cover_flag, left_join_all
 from dayline.operators.projections import columns_like
 from dayline.operators.windows import daily_change, latest_row, running_total, share_of
-from dayline.schemas import conform
+from dayline.plans.loading import stored
+from dayline.schemas import conform, empty_table
+from dayline.sinks.tables import append_checked, overwrite
 
 KEYS = ["region"]
 ON = ["region", "date"]
@@ -100,3 +103,12 @@ def curate(sources: Sources, curated: DataFrame | None = None, lo=None, hi=None)
     out = share_of(out, {"first_doses": "vaccinated_population",
                          "second_doses": "fully_vaccinated_population"}, "population")
     return conform(out, "curated")
+
+
+def run_curation(spark: SparkSession, sources: Sources, path: str, reprocess_all: bool = False,
+                 lo=None, hi=None, partition_by: Sequence[str] = ()) -> int:
+    """Append the new days to the stored curated table, or build it anew; returns rows written."""
+    if reprocess_all:
+        return overwrite(curate(sources, None, lo, hi), path, partition_by)
+    curated = stored(spark, path, empty_table(spark, "curated"))
+    return append_checked(curate(sources, curated, lo, hi), path, partition_by)

@@ -5,17 +5,18 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayline.models.grid import configurations
 from dayline.models.series import best_config, forecast, grid_search, nest_leaderboard
 from dayline.operators.aggregates import fold_stats, series_profile
-from dayline.operators.filters import crop_from
+from dayline.operators.filters import crop_from, scan_between
 from dayline.operators.joins import attach_lookup
 from dayline.operators.projections import select_roles
 from dayline.operators.windows import densify, ffill, folds_of
 from dayline.schemas import schema_of
+from dayline.sinks.tables import replace_partitions
 
 # The shipped search space.
 DEFAULT_CONF = {
@@ -86,3 +87,14 @@ def forecast_run(curated: DataFrame, runs: DataFrame, models: Sequence[Mapping],
         parts.append(made.select(*keys, F.lit(y).alias("output_variable"), "date", "forecast",
                                  "se", "lower_ci", "upper_ci"))
     return reduce(DataFrame.unionByName, parts)
+
+
+def store_forecasts(made: DataFrame, path: str) -> int:
+    """Replace the stored forecasts of the output variables in ``made``; others stay."""
+    return replace_partitions(made, path, ["output_variable"])
+
+
+def read_forecasts(spark: SparkSession, path: str, variable: str, lo=None, hi=None) -> DataFrame:
+    """Stored forecasts of one output variable for days in ``[lo, hi]``, open where not given."""
+    made = spark.read.parquet(path).filter(F.col("output_variable") == variable)
+    return scan_between(made, "date", lo, hi)

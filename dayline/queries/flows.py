@@ -8,7 +8,7 @@ from dayline.functions.columns import RISK_COLOURS
 from dayline.operators.aggregates import daily, pivot_sum
 from dayline.operators.projections import recode
 from dayline.operators.windows import (daily_change, densify, ffill, latest_row, running_total, share_of)
-from dayline.plans.curation import Sources, curate
+from dayline.plans.curation import Sources, curate, run_curation
 from dayline.plans.loading import Entity, load_static, update_all
 from dayline.plans.stations import link_stations, station_table
 from dayline.queries import query
@@ -156,9 +156,9 @@ def curated_table(spark, sf_dir):
 def curated_in_two_increments(spark, sf_dir):
     sources = entity_sources(spark, sf_dir)
     path = scratch_path(spark, "curated")
-    curate(sources, lo="1990-01-01", hi="1998-06-30").write.parquet(path)
-    stored = spark.read.parquet(path)
-    return _curated_columns(stored.unionByName(curate(sources, stored, lo="1990-01-01")))
+    run_curation(spark, sources, path, lo="1990-01-01", hi="1998-06-30")
+    run_curation(spark, sources, path, lo="1990-01-01")
+    return _curated_columns(spark.read.parquet(path))
 
 
 @query("""

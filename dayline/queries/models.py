@@ -7,10 +7,11 @@ from dayline.models.series import (best_config, compare, cross_validate, fit, fi
                                    grid_search, training_error)
 from dayline.operators.joins import fit_and_forecast_frame
 from dayline.operators.windows import densify, ffill, hold_last
-from dayline.plans.modelling import forecast_run, tune
+from dayline.plans.modelling import forecast_run, read_forecasts, store_forecasts, tune
 from dayline.queries import query
 from dayline.queries.analysis import KEY, _DENSE, dense_orders
 from dayline.queries.tables import order_days, table
+from dayline.session import scratch_path
 
 # The shipped search space.
 SPACE = dict(p=range(6), d=[1], q=range(6), sp=range(3), sd=[0], sq=range(3), m=[7], trend=["n"])
@@ -173,6 +174,31 @@ def regression_forecast_with_held_regressor(spark, sf_dir):
     return out.select(KEY, "date", F.round("forecast", 5).alias("forecast"))
 
 
+@query(f"""
+    WITH {_DENSE},
+    v AS (SELECT {KEY}, date, n, last_value(price IGNORE NULLS) OVER (
+              PARTITION BY {KEY} ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS x
+          FROM f LEFT JOIN (SELECT {KEY}, date, price FROM d) USING ({KEY}, date)),
+    last AS (SELECT {KEY}, max(date) AS last, arg_max(x, date) AS x FROM v GROUP BY 1)
+    SELECT 'n' AS output_variable, {KEY}, date + 7 AS date, CAST(n AS DOUBLE) AS forecast
+    FROM v JOIN last USING ({KEY}) WHERE date > last - 7
+    UNION ALL SELECT 'price', {KEY}, CAST(last + CAST(h AS INTEGER) AS DATE), round(last.x, 2)
+    FROM last, range(1, 8) AS r(h) WHERE last + CAST(h AS INTEGER) <= DATE '2001-08-05'""")
+def stored_forecasts_after_a_second_run(spark, sf_dir):
+    series, path = dense_orders(spark, sf_dir), scratch_path(spark, "forecasts")
+
+    def store(*outputs):
+        for y, cfg in outputs:
+            made = forecast(series, [KEY], "date", y, [], cfg, 7).withColumn("output_variable", F.lit(y))
+            store_forecasts(made, path)
+
+    store(("n", _NAIVE[0]), ("price", _NAIVE[0]))
+    store(("n", _NAIVE[1]))
+    both = read_forecasts(spark, path, "n").unionByName(
+        read_forecasts(spark, path, "price", hi="2001-08-05"))
+    return both.select("output_variable", KEY, "date", F.round("forecast", 2).alias("forecast"))
+
+
 @query()
 def shipped_grid_leaderboard(spark, sf_dir):
     series = ffill(densify(order_days(spark, sf_dir), [], "date"), [], "date")

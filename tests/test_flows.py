@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from dayline.models.grid import Config
 from dayline.models.series import fit
-from dayline.plans.curation import Sources, curate
+from dayline.plans.curation import Sources, curate, run_curation
 from dayline.plans.loading import Entity, load_static, update_all
-from dayline.plans.modelling import forecast_run, model_series, tune
+from dayline.plans.modelling import (forecast_run, model_series, read_forecasts, store_forecasts,
+                                     tune)
 from dayline.plans.stations import link_stations, station_table
 from dayline.schemas import empty_table, schema_of
 from dayline.session import scratch_path
@@ -82,6 +83,17 @@ def test_increments_equal_full_reprocess(spark, sources, rows, cuts):
     assert curate(sources, curated).count() == 0
 
 
+def test_stored_curation_appends_once_and_reprocesses(spark, sources, rows):
+    path = scratch_path(spark, "curated")
+    first = run_curation(spark, sources, path, hi=at(9))
+    rest = run_curation(spark, sources, path)
+    assert run_curation(spark, sources, path) == 0
+    grown = rows(spark.read.parquet(path))
+    assert first > 0 and len(grown) == first + rest
+    assert run_curation(spark, sources, path, reprocess_all=True) == len(grown)
+    assert rows(spark.read.parquet(path)) == grown
+
+
 @pytest.mark.parametrize("name", ["risk", "stringency", "vaccines", "status"])
 def test_one_empty_source_closes_the_gate(sources, name):
     short = sources._replace(**{name: getattr(sources, name).filter("false")})
@@ -183,6 +195,11 @@ def test_forecast_run_uses_best_config_and_replaces(spark, curated, rows):
     assert made.filter("date <= DATE '2021-05-30' OR lower_ci > forecast OR upper_ci < forecast "
                        "OR forecast IS NULL").count() == 0
     alone = forecast_run(curated, runs, models[:1])
+    kept = scratch_path(spark, "forecasts")
+    assert store_forecasts(alone.withColumn("output_variable", F.lit("other")), kept) == 14
+    assert store_forecasts(alone, kept) == 14 and store_forecasts(alone, kept) == 14
+    assert spark.read.parquet(kept).count() == 28
+    assert read_forecasts(spark, kept, "new_cases", hi="2021-05-31").count() == 2
     stored = replace_by_key(alone, replace_by_key(alone, made.limit(0), ["output_variable"]), ["output_variable"])
     assert stored.count() == 14
     series = model_series(curated, ["region"], "date", "new_cases", [])
