@@ -110,5 +110,5 @@ def run_curation(spark: SparkSession, sources: Sources, path: str, reprocess_all
     """Append the new days to the stored curated table, or build it anew; returns rows written."""
     if reprocess_all:
         return overwrite(curate(sources, None, lo, hi), path, partition_by)
-    curated = stored(spark, path, empty_table(spark, "curated"))
+    curated = stored(spark, path, empty_table(spark, "curated"), partition_by)
     return append_checked(curate(sources, curated, lo, hi), path, partition_by)

@@ -27,9 +27,10 @@ class Entity(NamedTuple):
     epoch: str = EPOCH
 
 
-def stored(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+def stored(spark: SparkSession, path: str, like: DataFrame, partition_by: Sequence[str] = ()
+           ) -> DataFrame:
     """The stored table, created empty if it is not there yet."""
-    like.limit(0).write.mode("ignore").parquet(path)
+    like.limit(0).write.mode("ignore").partitionBy(*partition_by).parquet(path)
     return spark.read.schema(like.schema).parquet(path)
 
 
@@ -38,8 +39,8 @@ def update_entity(spark: SparkSession, entity: Entity) -> int:
     fresh = entity.landed
     if entity.links is not None:
         fresh = via_links(fresh, entity.links.select(*entity.keys).distinct(), entity.keys, "left_semi")
-    fresh = new_rows(fresh, stored(spark, entity.path, entity.landed), entity.keys, entity.date,
-                     entity.epoch)
+    have = stored(spark, entity.path, entity.landed, entity.partition_by)
+    fresh = new_rows(fresh, have, entity.keys, entity.date, entity.epoch)
     return append_checked(fresh, entity.path, entity.partition_by)
 
 

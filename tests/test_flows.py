@@ -143,6 +143,12 @@ def test_update_all_reports_and_is_idempotent(spark, rows):
     assert rows(report, "entity", "status", "records") == [("bad", "failed", 0), ("good", "success", 5)]
     assert rows(update_all(spark, entities, selected=["good"]), "records") == [(0,)]
     assert spark.read.parquet(path).count() == 5
+    split = {"split": Entity(df.filter(F.col("date") < at(3)), scratch_path(spark, "split"), ["k"],
+                             partition_by=["date"])}
+    assert rows(update_all(spark, split), "status", "records") == [("success", 3)]
+    split["split"] = split["split"]._replace(landed=df)
+    assert rows(update_all(spark, split), "status", "records") == [("success", 2)]
+    assert rows(spark.read.parquet(split["split"].path), "date", "v") == [(at(n), n) for n in range(5)]
 
 
 def test_static_tables(spark, rows):
