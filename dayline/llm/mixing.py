@@ -18,6 +18,8 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 LIMIT = 2.0
 RANGE_ROWS = 20_000
+BROADCAST_SOURCES = 100_000  # a table of more sources is joined by shuffle
+SALTS = 32
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE,
@@ -64,17 +66,24 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, limit: float = L
              unit_hash(seed, F.col("doc_id")).alias("key")]
     sizes = stored(docs.select(*keyed), "mix-sizes")
     document = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document")] if whole else []
-    targets = source_targets(sizes, weights, share, limit).select(
-        F.when(F.col("source").isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), "source")).alias("name"),
-        "source_size", "target",
-        F.greatest(F.lit(1), F.ceil(F.col("n_docs") / range_rows)).cast("long").alias("ranges"))
+    targets = stored(source_targets(sizes, weights, share, limit).select(
+        name.alias("name"), "source_size", "target",
+        F.greatest(F.lit(1), F.ceil(F.col("n_docs") / range_rows)).cast("long").alias("ranges")), "mix-targets")
+    few = targets.count() <= BROADCAST_SOURCES
+
+    def with_target(rows: DataFrame) -> DataFrame:
+        if few:
+            return rows.join(F.broadcast(targets), "name")
+        salts = targets.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        return rows.withColumn("salt", (F.col("key") % SALTS).cast("int")).join(salts, ["name", "salt"]).drop("salt")
+
     ranged = F.shiftright(F.col("key") * F.col("ranges"), 32).alias("range")
     by_name = Window.partitionBy("name").orderBy("range")
-    ahead = sizes.join(targets, "name").groupBy("name", ranged).agg(F.sum("size").alias("words")) \
+    ahead = with_target(sizes).groupBy("name", ranged).agg(F.sum("size").alias("words")) \
         .select("name", "range", (F.sum("words").over(by_name) - F.col("words")).alias("ahead"))
     in_range = Window.partitionBy("name", "range").orderBy("key", F.col("doc_id").asc_nulls_last(), "size") \
         .rowsBetween(Window.unboundedPreceding, 0)
-    rows = (docs.select(*keyed, *document) if whole else sizes).join(targets, "name")
+    rows = with_target(docs.select(*keyed, *document) if whole else sizes)
     placed = rows.withColumn("range", ranged).withColumn(
         "within", F.sum("size").over(in_range) - F.col("size")).join(ahead, ["name", "range"])
     budget = F.floor("target").cast("long")

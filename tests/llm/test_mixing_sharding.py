@@ -53,6 +53,12 @@ def test_rerun_and_partitioning_agree(spark):
     assert a == sorted(map(tuple, mixing.mix(docs.repartition(7), range_rows=2).collect()), key=repr)
 
 
+def test_many_sources_without_broadcast(spark, monkeypatch):
+    want = sorted(map(tuple, mixing.mix(frame(spark)).collect()), key=repr)
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
+    assert sorted(map(tuple, mixing.mix(frame(spark), range_rows=5).collect()), key=repr) == want
+
+
 def test_documents_of_the_mix(spark):
     docs = frame(spark).withColumn("name", F.lit("clash")).withColumn("taken", F.lit(-1))
     mixed = mixing.mixed_documents(docs)
