@@ -17,7 +17,7 @@ from dayline.llm.text import stored, unit_hash, word_count
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 LIMIT = 2.0
-RANGE_ROWS = 20_000
+RANGE_ROWS = 2_000
 BROADCAST_SOURCES = 100_000  # a table of more sources is joined by shuffle
 SALTS = 32
 
