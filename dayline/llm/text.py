@@ -15,7 +15,7 @@ from dayline.session import scratch_path
 WORD = r"[^\x20\x09-\x0D]+"  # a run of anything but ASCII white space
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
-BLOCK = 1 << 20  # bytes of text that one vector operation works on
+BLOCK = 1 << 18  # bytes of text that one vector operation works on
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
