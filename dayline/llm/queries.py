@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from pyspark.sql import functions as F
 
-from dayline.llm import decontamination, mixing, quality, sharding, simhash
+from dayline.llm import decontamination, language, mixing, quality, rules, sharding, simhash
 from dayline.llm.text import table
 from dayline.queries import query
 
@@ -108,6 +108,46 @@ def op7_sharding(spark, sf_dir):
     return sharding.place(table(spark, sf_dir, "documents").select("doc_id"))
 
 
+RULES_SQL = """
+    WITH d AS (SELECT doc_id, coalesce(source, chr(1)) AS host, coalesce(text, '') AS text FROM documents),
+    w AS (SELECT *, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS words,
+                 list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM d),
+    g AS (SELECT doc_id, i, array_to_string(words[i:i + 7], ' ') AS gram
+          FROM (SELECT doc_id, words, unnest(generate_series(1, len(words) - 7)) AS i FROM w)),
+    r AS (SELECT doc_id, count(DISTINCT p) AS n_repeat_words
+          FROM (SELECT doc_id, unnest(generate_series(i, i + 7)) AS p
+                FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, gram) AS n FROM g) WHERE n > 1) GROUP BY doc_id),
+    l AS (SELECT host, doc_id, text, len(regexp_extract_all(x, '[^\\x20\\x09-\\x0D]+')) AS n,
+                 lower(regexp_replace(trim(regexp_replace(x, '[\\x20\\x09-\\x0D]+', ' ', 'g')), '[0-9]', '0', 'g')) AS line
+          FROM (SELECT host, doc_id, text, unnest(lines) AS x FROM w)),
+    c AS (SELECT host, line FROM l JOIN (SELECT host, count(*) AS rows FROM d GROUP BY host) USING (host)
+          GROUP BY host, line, rows HAVING count(DISTINCT text) > 10 AND count(DISTINCT text) > 0.001 * rows),
+    lost AS (SELECT doc_id, sum(n) AS gone FROM l JOIN c USING (host, line) GROUP BY doc_id),
+    m AS (SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+                 CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+                 CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+                 coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(gone, 0) AS gone
+          FROM w LEFT JOIN r USING (doc_id) LEFT JOIN lost USING (doc_id))
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+           n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+           NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND gone <= 0.5 * n_words AS kept FROM m
+"""
+
+
+@query(RULES_SQL)
+def op8_quality_rules(spark, sf_dir):
+    """Counts within each document and the verdict of the rules."""
+    found = rules.judge(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query()
+def op5_language_id(spark, sf_dir):
+    """The predicted language of each document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return language.identify(docs).select("doc_id", "held_out", "lang_pred", "score", "accepted")
+
+
 @query(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, sf_dir):
     """The documents that the corpus pipeline keeps, mixes and places."""
