@@ -21,7 +21,7 @@ from dayline.llm.text import LOWER, by_batch, stored, unit_hash, utf8_bytes
 GRAMS = (1, 2, 3, 4)
 BUCKETS = 1 << 14
 DIMENSIONS = 16
-SAMPLE_DOCS = 2400
+SAMPLE_DOCS = 1200
 SAMPLE_BYTES = 20_000
 MOST_LANGS = 64
 EPOCHS = 12
@@ -74,11 +74,11 @@ def _counted(sample: DataFrame) -> list[tuple[str, np.ndarray, np.ndarray]]:
                 found, times = np.unique(buckets(data[a:b]), return_counts=True) if has_letter(data[a:b]) else ([], [])
                 at.append(found)
                 n.append(times)
-            return [pa.array(at, pa.list_(pa.int64())), pa.array(n, pa.list_(pa.int64()))]
+            return [pa.array(at, pa.list_(pa.int32())), pa.array(n, pa.list_(pa.int32()))]
         return make
 
-    longs = T.ArrayType(T.LongType())
-    rows = by_batch(sample, setup, [T.StructField("at", longs), T.StructField("times", longs)]) \
+    ints = T.ArrayType(T.IntegerType())
+    rows = by_batch(sample, setup, [T.StructField("at", ints), T.StructField("times", ints)]) \
         .select("lang", "key", "at", "times").toArrow().sort_by([("key", "ascending"), ("lang", "ascending")])
     return [(lang, np.array(at), np.array(n, np.float32) / sum(n))
             for lang, at, n in zip(rows["lang"].to_pylist(), rows["at"].to_pylist(), rows["times"].to_pylist()) if at]
