@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from pyspark.sql import functions as F
 
-from dayline.llm import decontamination, language, lm, mixing, quality, rules, sharding, simhash
+from dayline.llm import decontamination, language, lm, mixing, quality, repeats, rules, sharding, simhash
 from dayline.llm.text import table
 from dayline.queries import query
 
@@ -148,6 +148,13 @@ def op5_language_id(spark, sf_dir):
     return language.identify(docs).select("doc_id", "held_out", "lang_pred", "score", "accepted")
 
 
+@query()
+def op3_repeats(spark, sf_dir):
+    """What is removed of each document as repeated 100-byte strings."""
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @query()
 def op9_lm_scoring(spark, sf_dir):
     """Base and mixed log10 probability of each document."""
