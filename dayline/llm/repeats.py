@@ -31,10 +31,11 @@ from pyspark.sql import functions as F
 from dayline.llm.text import BLOCK, blocks, prefix_hashes, range_hashes, scramble, stored, utf8_bytes
 
 LENGTH = 100
-GRAM = 32
+GRAM = 24
 SLICE = 8 << 20  # bytes whose segments a task compares among themselves before they are shuffled
 PIECE = 4 << 20  # longer texts are cut into pieces of so many starts
-BLOCK_SEGMENTS = 2048
+BLOCK_SEGMENTS = 512  # of several grams; a gram with up to LARGE is a block of its own
+LARGE = 2048
 FILTER_WORDS = 1 << 18  # 64-bit words of the filter of ids
 NO_ID = (1 << 63) - 1  # a null doc_id comes last
 
@@ -81,8 +82,8 @@ def _pieces(data: np.ndarray, offsets: np.ndarray):
                 break
 
 
-_RUN = ("kh", "ch", "doc", "at", "n", "place", "again")
-_RUN_TYPE = "kh long, ch long, doc long, at long, n int, place int, again boolean"
+_RUN = ("kh", "ch", "doc", "spot")  # spot: start, strings (8 bits) and whether it is a repeat (1 bit)
+_RUN_TYPE = "kh long, ch long, doc long, spot long"
 
 
 def _first_of_slice(parts: list[tuple]) -> pa.RecordBatch:
@@ -90,19 +91,17 @@ def _first_of_slice(parts: list[tuple]) -> pa.RecordBatch:
 
     Those need no group any more and get a gram of their own, so that they spread over all tasks.
     """
-    kh, ch, doc, at, n, place = (np.concatenate(x) for x in zip(*parts))
-    whole = scramble(kh ^ scramble(ch + (n << 8).astype(np.uint64) + place.astype(np.uint64)))
-    order = np.lexsort((at, doc, whole))
-    kh, ch, doc, at, n, place = (x[order] for x in (kh, ch, doc, at, n, place))
-    same = np.concatenate(([False], (kh[1:] == kh[:-1]) & (ch[1:] == ch[:-1]) & (n[1:] == n[:-1]) & (place[1:] == place[:-1])))
+    kh, ch, doc, at, n, _ = (np.concatenate(x) for x in zip(*parts))
+    order = np.lexsort((at, doc, scramble(kh ^ scramble(ch))))
+    kh, ch, doc, at, n = (x[order] for x in (kh, ch, doc, at, n))
+    same = np.concatenate(([False], (kh[1:] == kh[:-1]) & (ch[1:] == ch[:-1])))
     # a repeated row has equal positions: it is the same document, not an earlier one
     tie = np.concatenate(([False], same[1:] & (doc[1:] == doc[:-1]) & (at[1:] == at[:-1])))
     head = np.maximum.accumulate(np.where(same, 0, np.arange(len(kh))))
     again = same & ~((doc == doc[head]) & (at == at[head]))
-    keep = ~tie
-    kh = np.where(again, scramble(scramble(doc.astype(np.uint64)) + at.astype(np.uint64)), kh)
-    columns = (kh.view(np.int64), ch.view(np.int64), doc, at, n.astype(np.int32), place.astype(np.int32), again)
-    return pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in columns], names=list(_RUN))
+    kh = np.where(again, scramble(scramble(doc.astype(np.uint64)) + at.astype(np.uint64)), kh) >> np.uint64(16)
+    columns = (kh.view(np.int64), ch.view(np.int64), doc, (at << 9) | (n << 1) | again)
+    return pa.RecordBatch.from_arrays([pa.array(x[~tie]) for x in columns], names=list(_RUN))
 
 
 def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,34 +121,33 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def suffix_order(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All suffixes of the texts in order, column by column: text and length of each; and the texts
-    as rows of a matrix, ended at the right."""
-    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
-    width = int(lengths.max(initial=0))
-    symbols = np.frombuffer(b"".join(t.rjust(width, b"\0") for t in texts), np.uint8).reshape(len(texts), width)
-    every = np.arange(len(texts), dtype=np.int32)
-    text, length = every, np.zeros(len(texts), np.int32)
-    flat = symbols.reshape(-1)
-    ends = (np.arange(len(texts), dtype=np.int64) + 1) * width - 1
-    for _ in range(width):
-        more = length < lengths[text]
-        text, length = text[more], length[more]
-        order = np.argsort(flat[ends[text] - length], kind="stable")
-        text = np.concatenate((every, text[order]))
-        length = np.concatenate((np.zeros(len(texts), np.int32), length[order] + 1))
-    return text, length, symbols
+    end to end, as rows of equal width that are filled from the left with 255, which UTF-8 lacks."""
+    width = max(map(len, texts), default=0) + 1
+    symbols = np.frombuffer(b"".join(t.rjust(width, b"\xff") for t in texts), np.uint8)
+    ends = (np.arange(len(texts), dtype=np.int32) + 1) * np.int32(width) - np.int32(1)
+    before = ends  # for each suffix so far, in order, where the symbol before it stands
+    for _ in range(width - 1):
+        symbol = symbols[before]
+        order = np.argsort(symbol, kind="stable")
+        # suffixes that are whole texts have the fill before them, sort last and are not extended
+        order = order[:len(order) - int(np.count_nonzero(symbol == 255))]
+        before = np.concatenate((ends, before[order] - 1))
+    text = before // width
+    return text, ends[text] - before, symbols
 
 
 def repeated_strings(texts: list[bytes], doc: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
     """For each text whether the string at each of its starts also starts earlier in another place."""
-    text, length, symbols = suffix_order(texts)
+    text, length, flat = suffix_order(texts)
     whole = length >= LENGTH
     text, length = text[whole], length[whole]
-    width = symbols.shape[1]
-    flat, begin = symbols.reshape(-1), (text.astype(np.int64) + 1) * width - length
+    begin = (text + 1) * (len(flat) // max(1, len(texts))) - length
     equal = np.ones(max(0, len(text) - 1), bool)
+    open_ = np.arange(len(equal))
     for column in range(LENGTH):
-        open_ = np.flatnonzero(equal)
-        equal[open_] = flat[begin[open_] + column] == flat[begin[open_ + 1] + column]
+        open_ = open_[flat[begin[open_] + column] == flat[begin[open_ + 1] + column]]
+    equal[:] = False
+    equal[open_] = True
     group = np.concatenate(([0], np.cumsum(~equal))) if len(text) else np.zeros(0, np.int64)
     lengths = np.fromiter(map(len, texts), np.int64, len(texts))
     offset = lengths[text] - length
@@ -164,6 +162,23 @@ def repeated_strings(texts: list[bytes], doc: np.ndarray, at: np.ndarray) -> lis
     return out
 
 
+def _with_company(kh: np.ndarray, data: np.ndarray, base: np.ndarray) -> np.ndarray:
+    """Segments that may share a string with another of their gram.
+
+    A string has (LENGTH - GRAM) / 2 bytes beside the gram on one side at least, so two segments that
+    share one share the gram with that many bytes before it, or with that many after it.
+    """
+    sums, side = prefix_hashes(data), (LENGTH - GRAM + 1) // 2
+    at = base[:-1] + segments(data, base)[5]  # all strings of a segment belong to one gram
+    out = np.zeros(len(kh), bool)
+    for lo, hi in ((at - side, at + GRAM), (at, at + GRAM + side)):
+        there = np.flatnonzero((lo >= base[:-1]) & (hi <= base[1:]))
+        _, which, times = np.unique(scramble(range_hashes(sums, lo[there], hi[there]) ^ kh[there].view(np.uint64)),
+                                    return_inverse=True, return_counts=True)
+        out[there[times[which] > 1]] = True
+    return out
+
+
 _GONE = "kh long, doc long, lo long, hi long, ch long, open boolean"
 
 
@@ -176,6 +191,10 @@ def _gone(kh, doc, lo, hi, ch, open_) -> pa.RecordBatch:
 def _resolve(kh: np.ndarray, doc: np.ndarray, at: np.ndarray, texts: list[bytes], part_of_large: bool) -> Iterator[pa.RecordBatch]:
     """Repeated strings of whole groups of segments with one gram, in blocks; strings of groups that
     are too large for a block come out open, with their hashes."""
+    if not part_of_large:
+        keep = _with_company(kh, np.frombuffer(b"".join(texts), np.uint8), np.concatenate(([0], np.cumsum([len(t) for t in texts]))))
+        kh, doc, at = kh[keep], doc[keep], at[keep]
+        texts = [t for t, k in zip(texts, keep.tolist()) if k]
     if not len(kh):
         return
     cuts = np.flatnonzero(np.concatenate(([True], kh[1:] != kh[:-1], [True])))
@@ -189,7 +208,7 @@ def _resolve(kh: np.ndarray, doc: np.ndarray, at: np.ndarray, texts: list[bytes]
         data = np.frombuffer(b"".join(part), np.uint8)
         sums = prefix_hashes(data)
         base = np.concatenate(([0], np.cumsum([len(t) for t in part])))
-        if part_of_large or hi - lo > BLOCK_SEGMENTS:
+        if part_of_large or hi - lo > LARGE:
             for i in range(len(part)):
                 s = np.arange(base[i], base[i + 1] - LENGTH + 1)
                 place = at[lo + i] + np.arange(len(s))
@@ -230,7 +249,7 @@ def _in_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield from drain(held)
                 held = []
             held.append((kh[lo:hi], doc[lo:hi], at[lo:hi], texts[lo:hi]))
-            if held[0][0][0] == held[-1][0][-1] and sum(len(r[0]) for r in held) > BLOCK_SEGMENTS:
+            if held[0][0][0] == held[-1][0][-1] and sum(len(r[0]) for r in held) > LARGE:
                 large = held[0][0][0]
                 yield from drain(held)
                 held = []
@@ -322,13 +341,15 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                        F.coalesce("text", F.lit("")).alias("text"))
     long = rows.where(F.octet_length("text") >= LENGTH)
     found = long.select("doc", "text").mapInArrow(_find, _RUN_TYPE)
-    same = Window.partitionBy("kh", "ch", "n", "place").orderBy("doc", "at")
+    same = Window.partitionBy("kh", "ch").orderBy("doc", "spot")
     whole = Window.partitionBy("kh")
-    content = F.struct("ch", "n", "place")
-    marked = found.withColumn("first", F.first(F.struct("doc", "at")).over(same)) \
-        .withColumn("varied", F.min(content).over(whole) != F.max(content).over(whole)) \
-        .withColumn("again", F.col("again") | (F.col("first") != F.struct("doc", "at")))
-    marked = stored(marked.where(F.col("again") | F.col("varied")).select("kh", "ch", "doc", "at", "n", "again", "varied"), "segments")
+    # dealt once, by gram, for both windows
+    marked = found.repartition("kh").withColumn("first", F.first(F.struct("doc", "spot")).over(same)) \
+        .withColumn("varied", F.min("ch").over(whole) != F.max("ch").over(whole)) \
+        .withColumn("again", (F.col("spot").bitwiseAND(F.lit(1).cast("long")) == 1) | (F.col("first") != F.struct("doc", "spot")))
+    marked = stored(marked.where(F.col("again") | F.col("varied")).select(
+        "kh", "ch", "doc", F.shiftright("spot", 9).alias("at"),
+        F.shiftright("spot", 1).bitwiseAND(F.lit(255).cast("long")).alias("n"), "again", "varied"), "segments")
     varied = marked.where("varied and not again").select("doc", F.struct("kh", "at", "n", "ch").alias("w")).distinct() \
         .groupBy("doc").agg(F.collect_list("w").alias("wanted"))
     varied = stored(varied, "wanted")

@@ -76,7 +76,8 @@ def test_pieces_of_long_texts(monkeypatch):
 def test_suffix_order_is_sorted():
     rng = random.Random(1)
     texts = ["".join(rng.choice("ab") for _ in range(rng.randrange(0, 12))).encode() for _ in range(30)]
-    text, length, _ = repeats.suffix_order(texts)
+    text, length, flat = repeats.suffix_order(texts)
+    assert len(flat) == len(texts) * (max(map(len, texts)) + 1)
     got = [texts[t][len(texts[t]) - n:] for t, n in zip(text, length)]
     assert got == sorted(got) and len(got) == sum(len(t) + 1 for t in texts)
 
@@ -86,12 +87,15 @@ def test_groups_in_blocks_and_open(block, monkeypatch):
     """Segments of groups, some too large for a block, in batches that cut groups."""
     import pyarrow as pa
     monkeypatch.setattr(repeats, "BLOCK_SEGMENTS", block)
+    monkeypatch.setattr(repeats, "LARGE", block)
     rng = random.Random(2)
-    rows = []
-    for g in range(6):
-        middle = prose(rng, 12)[:60].ljust(60, "x")
-        for i in range([1, 2, 3, 9, 4, 5][g]):
-            rows.append((g, rng.randrange(1000), rng.randrange(50), (rng.choice(["l", "m"]) * 60 + middle + rng.choice(["y", "z"]) * 45).encode()))
+    passages, rows = [prose(rng, 40) for _ in range(4)], []
+    for doc in range(60):  # documents that share passages of about LENGTH bytes: many segments a gram
+        p = passages[doc % 4]
+        cut = rng.randrange(0, 60)
+        data = np.frombuffer((prose(rng, 20) + p[cut:cut + rng.randrange(80, 180)] + prose(rng, 20)).encode(), np.uint8)
+        kh, _, _, at, n, _ = repeats.segments(data, np.array([0, len(data)]))
+        rows += [(int(k.view(np.int64)), doc, int(x), data[x:x + y + 99].tobytes()) for k, x, y in zip(kh, at, n)]
     rows.sort(key=lambda r: r[:3])
     batches = [pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows[i:i + 4]], t) for k, t in enumerate(
         (pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names=["kh", "doc", "at", "segment"]) for i in range(0, len(rows), 4)]
