@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from pyspark.sql import functions as F
 
-from dayline.llm import decontamination, language, lm, mixing, quality, repeats, rules, sharding, simhash
+from dayline.llm import decontamination, language, lines, lm, mixing, quality, repeats, rules, sharding, simhash
 from dayline.llm.text import table
 from dayline.queries import query
 
@@ -162,6 +162,13 @@ def op9_lm_scoring(spark, sf_dir):
     return found.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
 
 
+@query()
+def op10_line_dedup(spark, sf_dir):
+    """The lines of each document that repeat an earlier line of the corpus, up to two edits."""
+    found = lines.repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_removed", "n_links", "removed_lines")
+
+
 @query(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, sf_dir):
     """The documents that the corpus pipeline keeps, mixes and places."""

@@ -108,11 +108,11 @@ def scramble(h: np.ndarray) -> np.ndarray:
 
 
 def prefix_hashes(data: np.ndarray) -> np.ndarray:
-    """Polynomial sums of all prefixes, for :func:`range_hashes`."""
+    """Polynomial sums of all prefixes of bytes or code points, for :func:`range_hashes`."""
     up, _ = _powers(len(data))
     sums = np.zeros(len(data) + 1, np.uint64)
     # each byte goes in scrambled, so that the sum modulo 2^64 has no weak low bits
-    np.cumsum(_SYMBOL[data] * up, out=sums[1:])
+    np.cumsum((_SYMBOL[data] if data.dtype == np.uint8 else scramble(data.astype(np.uint64) + np.uint64(1))) * up, out=sums[1:])
     return sums
 
 
