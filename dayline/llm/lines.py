@@ -25,7 +25,8 @@ from dayline.llm.text import prefix_hashes, range_hashes, scramble, stored
 
 EDITS = 2
 LEAST = 24  # code points; shorter lines are the same only if equal
-SLICE_LINES = 100_000
+SLICE = 1 << 22  # code points of distinct lines that a task signs at a time
+POINTS = 1 << 18  # code points that one vector operation works on
 FILTER_WORDS = 1 << 18
 
 
@@ -62,9 +63,24 @@ def _hashed(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return prefix_hashes(points), np.cumsum(lengths) - lengths, lengths
 
 
+def _parts(lines: list[str]) -> Iterator[tuple[int, list[str]]]:
+    """The lines in runs of about ``POINTS`` code points, each with the number of its first line."""
+    first, size = 0, 0
+    for i, line in enumerate(lines):
+        if size >= POINTS:
+            yield first, lines[first:i]
+            first, size = i, 0
+        size += len(line)
+    if first < len(lines):
+        yield first, lines[first:]
+
+
 def line_ids(lines: list[str]) -> np.ndarray:
-    sums, begins, lengths = _hashed(lines)
-    return range_hashes(sums, begins, begins + lengths).view(np.int64)
+    out = [np.zeros(0, np.uint64)]
+    for _, part in _parts(lines):
+        sums, begins, lengths = _hashed(part)
+        out.append(range_hashes(sums, begins, begins + lengths))
+    return np.concatenate(out).view(np.int64)
 
 
 def _key(sums, begins, starts, sizes, length, i) -> np.ndarray:
@@ -74,20 +90,21 @@ def _key(sums, begins, starts, sizes, length, i) -> np.ndarray:
 
 def signatures(lines: list[str], edits: int = EDITS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(line, key, index): a row for each segment of a line, and each substring that may be one of another."""
-    sums, begins, lengths = _hashed(lines)
-    who, keys, index = [], [], []
-    every = np.arange(len(lines))
-    for shorter in range(edits + 1):
-        length = lengths - shorter
-        for i in range(edits + 1):
-            start, size = segment(length, i, edits)
-            for shift in probes(i, shorter, edits):
-                ok = (start + shift >= 0) & (start + shift + size <= lengths) & (length >= LEAST)
-                own = shorter == 0 and shift == 0  # its own segment: indexed, and probes lines as long
-                key = _key(sums, begins, np.where(ok, start + shift, 0), np.where(ok, size, 0), length, i)
-                who.append(every[ok])
-                keys.append(key[ok])
-                index.append(np.full(int(ok.sum()), own))
+    who, keys, index = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, bool)]
+    for first, part in _parts(lines):
+        sums, begins, lengths = _hashed(part)
+        every = np.arange(first, first + len(part))
+        for shorter in range(edits + 1):
+            length = lengths - shorter
+            for i in range(edits + 1):
+                start, size = segment(length, i, edits)
+                for shift in probes(i, shorter, edits):
+                    ok = (start + shift >= 0) & (start + shift + size <= lengths) & (length >= LEAST)
+                    own = shorter == 0 and shift == 0  # its own segment: indexed, and probes lines as long
+                    key = _key(sums, begins, np.where(ok, start + shift, 0), np.where(ok, size, 0), length, i)
+                    who.append(every[ok])
+                    keys.append(key[ok])
+                    index.append(np.full(int(ok.sum()), own))
     return np.concatenate(who), np.concatenate(keys).view(np.int64), np.concatenate(index)
 
 
@@ -201,6 +218,7 @@ def _linker(edits: int):
 def _signed(edits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lines: dict[str, None] = {}
+        size = 0
 
         def out():
             found = list(lines)
@@ -210,11 +228,12 @@ def _signed(edits: int):
 
         for batch in batches:
             for _, _, line in _split(batch.column("text").to_pylist(), edits):
-                if len(line) >= LEAST:
+                if len(line) >= LEAST and line not in lines:
                     lines[line] = None
-            if len(lines) >= SLICE_LINES:
-                yield out()
-                lines = {}
+                    size += len(line)
+                    if size >= SLICE:
+                        yield out()
+                        lines, size = {}, 0
         if lines:
             yield out()
     return run
@@ -231,11 +250,16 @@ def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             + [pa.array([no for _, no, _ in rows], pa.int32()), pa.array(ids)], names=["doc_id", "text_hash", "no", "id"])
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, line) of the lines that are long enough to be joined, each once a batch."""
-    for batch in batches:
-        lines = list({x: None for _, _, x in _split(batch.column("text").to_pylist(), EDITS) if len(x) >= LEAST})
-        yield pa.RecordBatch.from_arrays([pa.array(line_ids(lines)), pa.array(lines, pa.string())], names=["id", "line"])
+def _fetcher(words):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(id, line) of the lines that the filter of ids lets through, each once a batch."""
+        for batch in batches:
+            lines = list({x: None for _, _, x in _split(batch.column("text").to_pylist(), EDITS) if len(x) >= LEAST})
+            ids = line_ids(lines)
+            bit = ids & (FILTER_WORDS * 64 - 1)
+            at = np.flatnonzero(words.value[bit >> 6] >> (bit & 63).astype(np.uint64) & np.uint64(1))
+            yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array([lines[i] for i in at], pa.string())], names=["id", "line"])
+    return run
 
 
 def line_links(docs: DataFrame, edits: int = EDITS) -> tuple[DataFrame, DataFrame]:
@@ -246,13 +270,14 @@ def line_links(docs: DataFrame, edits: int = EDITS) -> tuple[DataFrame, DataFram
                  .withColumn("indexed", F.max("index").over(meets))
                  .where("indexed and least <> most").select("key", "id", "index"), "meetings")
     # the lines that meet others, by a filter of fixed size before their texts are shuffled
-    bit = F.pmod(F.xxhash64("id"), F.lit(FILTER_WORDS * 64))
-    words = stored(met.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")), "line-filter")
-    texts = docs.select("text").mapInArrow(_texts, "id long, line string").withColumn("bit", bit) \
-        .withColumn("word", F.shiftright("bit", 6)).join(F.broadcast(words), "word") \
-        .where(F.expr("shiftrightunsigned(bits, cast(bit & 63 as int)) & 1") == 1).select("id", "line")
-    texts = stored(texts.groupBy("id").agg(F.min("line").alias("line")), "line-texts")
+    bit = F.col("id").bitwiseAND(F.lit(FILTER_WORDS * 64 - 1).cast("long"))
+    bits = met.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")).toArrow()
+    words = np.zeros(FILTER_WORDS, np.uint64)
+    words[bits["word"].to_numpy()] = bits["bits"].to_numpy().view(np.uint64)
+    fetch = _fetcher(docs.sparkSession.sparkContext.broadcast(words))
+    texts = stored(docs.select("text").mapInArrow(fetch, "id long, line string").groupBy("id").agg(
+        F.min("line").alias("line")), "line-texts")
     rows = met.join(texts, "id").select("key", "id", "line", "index")
     linked = stored(rows.repartition("key").sortWithinPartitions("key", "id").mapInArrow(
         _linker(edits), "a long, b long, n long"), "line-links")
