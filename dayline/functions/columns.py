@@ -146,6 +146,7 @@ def standard_error(c: Column | str) -> Column:
 
 
 def aic(n: Column | str, rss: Column | str, n_params: Column | str) -> Column:
-    """Akaike's criterion from a residual sum of squares; smaller is better."""
+    """Akaike's criterion from a residual sum of squares; smaller is better, an exact fit least."""
     n = _col(n).cast("double")
-    return F.when(n > 0, n * F.log(_col(rss) / n) + 2.0 * _col(n_params))
+    return F.when((n > 0) & (_col(rss) <= 0), F.lit(float("-inf"))) \
+        .when(n > 0, n * F.log(_col(rss) / n) + 2.0 * _col(n_params))

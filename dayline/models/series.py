@@ -273,7 +273,7 @@ def grid_search(df: DataFrame, keys: Sequence[str], date: str, y: str, x: Sequen
                 block: int = 16) -> DataFrame:
     """Scored configurations of each series, best (smallest) first: ``rank`` 1."""
     if metric == "aic":
-        scores = aic_scores(df, keys, date, y, x, configs, kind)
+        scores = aic_scores(df, keys, date, y, x, configs, kind, block)
     elif metric == "rmse" or callable(metric):
         scores = cross_validate(df, keys, date, y, x, configs, n_splits, max_test, kind,
                                 rmse if metric == "rmse" else metric, block).drop("folds")

@@ -201,7 +201,8 @@ def ocsb(df: DataFrame, keys: Sequence[str], date: str, col: str, m: int = 7,
     """Seasonal unit-root test (Osborn, Chui, Smith, Birchenhall) of each series.
 
     ``(keys, stat, crit, D)``; one seasonal difference is needed when the statistic lies above
-    the critical value. Lags are chosen by AIC.
+    the critical value. A series too short or constant has no statistic and no D. Lags are chosen
+    by AIC.
     """
     rows = df.filter(F.col(col).isNotNull()).select(
         *keys, F.col(date).alias("date"), F.col(col).cast("double").alias("y"))
@@ -220,7 +221,7 @@ def ocsb(df: DataFrame, keys: Sequence[str], date: str, col: str, m: int = 7,
     crit = seasonal_critical_value(m)
     return (tested.withColumn("stat", F.when(~F.isnan("stat"), F.col("stat")))
             .withColumn("crit", F.lit(crit))
-            .withColumn("D", F.when(F.col("stat") > crit, 1).otherwise(0)))
+            .withColumn("D", F.when(F.col("stat").isNotNull(), (F.col("stat") > crit).cast("int"))))
 
 
 def residual_tests(df: DataFrame, keys: Sequence[str], date: str, resid: str,

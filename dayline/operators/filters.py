@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -25,10 +27,10 @@ def predicate(preds: Mapping[str, object]) -> Column:
     tests = []
     for name, value in preds.items():
         if isinstance(value, range):
-            tests.append(F.col(name).between(value[0], value[-1]))
+            tests.append(F.col(name).between(value[0], value[-1]) if len(value) else F.lit(False))
         elif isinstance(value, (list, tuple, set)):
             tests.append(F.col(name).isin(list(value)))
-        elif isinstance(value, (int, float, str, bool)):
+        elif isinstance(value, (int, float, str, bool, Decimal, dt.date)):
             tests.append(F.col(name) == F.lit(value))
         else:
             raise TypeError(f"no test for {name}: {type(value).__name__}")

@@ -7,18 +7,22 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dayline.functions.dates import EPOCH
 from dayline.operators.aggregates import high_water_mark
 from dayline.operators.joins import attach_lookup
 
 
 def new_rows(source: DataFrame, target: DataFrame, keys: Sequence[str], date: str,
-             epoch: str = EPOCH) -> DataFrame:
-    """Source rows after the newest stored date of their key; from ``epoch`` on for a new key."""
+             epoch: str | None = None) -> DataFrame:
+    """Source rows after the newest stored date of their key.
+
+    Of a new key all rows, or with ``epoch`` those from that day on.
+    """
     marks = high_water_mark(target, date, keys, "_latest")
     marked = attach_lookup(source, marks, list(keys), ["_latest"])
-    start = F.coalesce(F.col("_latest").cast("date"), F.date_sub(F.lit(epoch).cast("date"), 1))
-    return marked.filter(F.col(date) > start).drop("_latest")
+    latest = F.col("_latest").cast("date")
+    fresh = latest.isNull() if epoch is None else \
+        latest.isNull() & (F.col(date) >= F.lit(epoch).cast("date"))
+    return marked.filter(fresh | (F.col(date) > latest)).drop("_latest")
 
 
 def rewind(target: DataFrame, arrivals: DataFrame, keys: Sequence[str], date: str) -> DataFrame:

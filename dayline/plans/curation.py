@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayline.functions.columns import AGE_BANDS, reband, row_sum
-from dayline.functions.dates import EPOCH
 from dayline.operators.aggregates import pivot_sum
 from dayline.operators.filters import gate_complete, scan_between
 from dayline.operators.incremental import new_rows
@@ -59,7 +58,7 @@ def curate(sources: Sources, curated: DataFrame | None = None, lo=None, hi=None)
     A region yields rows only if status, risk, stringency and vaccines all have new days.
     Appending increments gives the same table as one run over all days.
     """
-    bounded = {name: scan_between(df, "date", lo or EPOCH, hi)
+    bounded = {name: scan_between(df, "date", lo, hi)
                for name, df in sources._asdict().items() if name not in ("holidays", "population")}
     totals = {c: c.removeprefix("new_") for c in _NEW_DOSES}
     seed = None
@@ -67,13 +66,13 @@ def curate(sources: Sources, curated: DataFrame | None = None, lo=None, hi=None)
         # the last row of each region: its date is the mark, its totals go on
         seed = latest_row(curated.select(*ON, *totals.values(), "deaths"), KEYS, "date")
         for name in ("status", "risk", "vaccines"):
-            bounded[name] = new_rows(bounded[name], seed, KEYS, "date", lo or EPOCH)
+            bounded[name] = new_rows(bounded[name], seed, KEYS, "date", lo)
 
     status = gate_complete(bounded["status"], [bounded["risk"], bounded["vaccines"]], KEYS)
     stringency = bounded["stringency"]
     if _keyed(stringency):
         if curated is not None:
-            stringency = new_rows(stringency, seed, KEYS, "date", lo or EPOCH)
+            stringency = new_rows(stringency, seed, KEYS, "date", lo)
         status = gate_complete(status, [stringency], KEYS)
     else:
         status = attach_lookup(status, stringency.agg(F.max("date").alias("_until")), [], ["_until"])

@@ -8,7 +8,6 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayline.functions.dates import EPOCH
 from dayline.operators.incremental import new_rows
 from dayline.operators.joins import inner_on, via_links
 from dayline.schemas import conform
@@ -24,7 +23,7 @@ class Entity(NamedTuple):
     date: str = "date"
     partition_by: Sequence[str] = ()
     links: DataFrame | None = None  # only rows reached by these links, on ``keys``
-    epoch: str = EPOCH
+    epoch: str | None = None  # the first day of a key that is not stored yet
 
 
 def stored(spark: SparkSession, path: str, like: DataFrame, partition_by: Sequence[str] = ()

@@ -15,8 +15,10 @@ from dayline.operators.filters import crop_from, scan_between
 from dayline.operators.joins import attach_lookup
 from dayline.operators.projections import select_roles
 from dayline.operators.windows import densify, ffill, folds_of
+from dayline.plans.loading import stored
 from dayline.schemas import schema_of
-from dayline.sinks.tables import replace_partitions
+from dayline.session import scratch_path
+from dayline.sinks.tables import append_checked, replace_by_key, replace_partitions
 
 # The shipped search space.
 DEFAULT_CONF = {
@@ -89,9 +91,22 @@ def forecast_run(curated: DataFrame, runs: DataFrame, models: Sequence[Mapping],
     return reduce(DataFrame.unionByName, parts)
 
 
-def store_forecasts(made: DataFrame, path: str) -> int:
-    """Replace the stored forecasts of the output variables in ``made``; others stay."""
-    return replace_partitions(made, path, ["output_variable"])
+def store_forecasts(made: DataFrame, path: str, keys: Sequence[str] = ("region",)) -> int:
+    """Replace the stored forecasts of the output variables and series in ``made``; others stay.
+
+    Returns how many rows ``made`` has. The new partitions are written aside before they take the
+    place of the old ones, as these are read for them.
+    """
+    spark, by = made.sparkSession, ["output_variable", *keys]
+    aside = scratch_path(spark, "forecasts")
+    n = append_checked(made, aside)
+    new = spark.read.schema(made.schema).parquet(aside)
+    old = stored(spark, path, new, ["output_variable"]).select(new.columns).join(
+        new.select("output_variable").distinct(), "output_variable", "left_semi")
+    merged = scratch_path(spark, "forecasts")
+    replace_by_key(new, old.select(new.columns), by).write.parquet(merged)
+    replace_partitions(spark.read.schema(new.schema).parquet(merged), path, ["output_variable"])
+    return n
 
 
 def read_forecasts(spark: SparkSession, path: str, variable: str, lo=None, hi=None) -> DataFrame:

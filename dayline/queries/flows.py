@@ -14,7 +14,7 @@ from dayline.plans.stations import link_stations, station_table
 from dayline.queries import query
 from dayline.queries.tables import customer_points, event_days, event_days_sql, supplier_shapes, table
 from dayline.session import scratch_path
-from dayline.streaming.totals import totals_stream
+from dayline.streaming.totals import read_totals, totals_stream
 
 _STATUS = ["F", "O", "P"]
 
@@ -263,4 +263,22 @@ def totals_from_micro_batches(spark, sf_dir):
         totals_stream(spark, landing, days.schema, target, os.path.join(base, "state"),
                       os.path.join(base, "checkpoint"), ["event_type"], "date", {"n": "total"}) \
             .awaitTermination()
-    return spark.read.parquet(target).drop("batch_id")
+    return read_totals(spark, target, ["event_type"], "date")
+
+
+@query(f"""
+    SELECT event_type, date, n, CAST(sum(n) OVER w AS BIGINT) AS total FROM ({event_days_sql("event_type")})
+    WINDOW w AS (PARTITION BY event_type ORDER BY date ROWS UNBOUNDED PRECEDING)""")
+def totals_from_split_and_late_files(spark, sf_dir):
+    """Every day comes in three files, one file a batch, and the first days once more at the end."""
+    base = scratch_path(spark, "stream")
+    landing, target = os.path.join(base, "landing"), os.path.join(base, "target")
+    parts = table(spark, sf_dir, "events").withColumn("part", F.col("event_id") % 3).withColumn(
+        "date", F.to_date("ts")).groupBy("event_type", "date", "part").agg(F.count(F.lit(1)).alias("n"))
+    late = (F.col("part") == 2) & (F.col("date") < "2024-01-05")
+    for chosen in ((F.col("part") < 2) | ((F.col("part") == 2) & ~late), late):
+        parts.filter(chosen).repartition(3, "part").select("event_type", "date", "n").write.mode("append").parquet(landing)
+        totals_stream(spark, landing, parts.select("event_type", "date", "n").schema, target, os.path.join(base, "state"),
+                      os.path.join(base, "checkpoint"), ["event_type"], "date", {"n": "total"}, max_files=1) \
+            .awaitTermination()
+    return read_totals(spark, target, ["event_type"], "date")

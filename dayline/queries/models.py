@@ -190,7 +190,7 @@ def stored_forecasts_after_a_second_run(spark, sf_dir):
     def store(*outputs):
         for y, cfg in outputs:
             made = forecast(series, [KEY], "date", y, [], cfg, 7).withColumn("output_variable", F.lit(y))
-            store_forecasts(made, path)
+            store_forecasts(made, path, [KEY])
 
     store(("n", _NAIVE[0]), ("price", _NAIVE[0]))
     store(("n", _NAIVE[1]))

@@ -208,13 +208,14 @@ def local_calendar_days(spark, sf_dir):
 
 @query("""
     SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus = 'F' THEN o_totalprice END AS o_totalprice,
-           CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS o_orderpriority
-    FROM orders WHERE o_orderstatus IN ('F', 'O')""")
+           CASE WHEN o_orderstatus = 'O' THEN o_orderpriority END AS o_orderpriority
+    FROM orders""")
 def union_of_versions(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     return union_all(
         orders.filter("o_orderstatus = 'F'").select("o_orderkey", "o_orderstatus", "o_totalprice"),
-        orders.filter("o_orderstatus = 'O'").select("o_orderkey", "o_orderstatus", "o_orderpriority"))
+        orders.filter("o_orderstatus = 'O'").select("o_orderkey", "o_orderstatus", "o_orderpriority"),
+        orders.filter("o_orderstatus NOT IN ('F', 'O')").select("o_orderkey", "o_orderstatus"))
 
 
 @query("""

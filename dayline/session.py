@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -25,7 +26,31 @@ def build_session(app: str = "dayline", master: str | None = None, **conf: str)
         builder = builder.master(master)
     for name, value in {**DEFAULTS, **{k.replace("__", "."): v for k, v in conf.items()}}.items():
         builder = builder.config(name, value)
-    return builder.getOrCreate()
+    return ship(builder.getOrCreate())
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Hand this package to the workers, once an application, as a zip file.
+
+    Functions that run in tasks are found by import there, also where the package lies in no folder
+    of the workers' own path.
+    """
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = os.path.dirname(os.path.abspath(__file__))
+        place = os.path.join(tempfile.mkdtemp(prefix="dayline-zip-"), "dayline-package.zip")
+        with zipfile.ZipFile(place, "w") as out:
+            for folder, _, names in os.walk(package):
+                for name in names:
+                    if name.endswith(".py"):
+                        path = os.path.join(folder, name)
+                        out.write(path, os.path.relpath(path, os.path.dirname(package)))
+        context.addPyFile(place)
+        _shipped.add(context.applicationId)
+    return spark
 
 
 _local_root: str | None = None

@@ -20,8 +20,8 @@ def _condition(where) -> Column:
 
 def find(df: DataFrame, where=None, select: Sequence[str] | None = None,
          order_by: Sequence[tuple[str, int]] | tuple[str, int] | None = None,
-         limit: int | None = 10) -> DataFrame:
-    """Filter, project, sort by (column, 1 or -1) pairs, and limit (10 unless told otherwise)."""
+         limit: int | None = None) -> DataFrame:
+    """Filter, project, sort by (column, 1 or -1) pairs, and limit if told to."""
     out = df if where is None else df.filter(_condition(where))
     if order_by is not None:
         pairs = [order_by] if isinstance(order_by, tuple) else list(order_by)
@@ -90,18 +90,14 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys: Sequence[str], se
     The last change of a key (by ``seq``) counts. Inserts and upserts carry whole rows and land
     on a key whether or not it is stored; an update or delete of an unknown key does nothing.
     """
-    values = [c for c in target.columns if c not in keys]
-    last = _last_changes(changes, keys, seq).select(
-        *keys, F.col(op).alias("_op"), F.struct(*values).alias("_new"))
-    old = target.select(*keys, F.struct(*values).alias("_old"))
-    both = old.join(last, list(keys), "full")
-    stored = F.col("_old").isNotNull()
-    keep = (F.when(F.col("_op").isNull(), F.lit(True))
-            .when(F.col("_op") == "delete", F.lit(False))
-            .when(F.col("_op") == "update", stored).otherwise(F.lit(True)))
-    row = F.when(F.col("_op").isNull(), F.col("_old")).otherwise(F.col("_new"))
-    return (both.filter(keep).select(*keys, row.alias("_row"))
-            .select(*keys, "_row.*").select(*target.columns))
+    last = _last_changes(changes, keys, seq)
+    # the changes are the side that is broadcast if small; the target keeps its place
+    kept = target.join(last.select(*keys), list(keys), "left_anti")
+    landed = last.filter(~F.col(op).isin("delete", "update")).select(target.columns)
+    updates = last.filter(F.col(op) == "update")
+    known = target.join(updates.select(*keys), list(keys), "left_semi").select(*keys)
+    return kept.unionByName(landed).unionByName(
+        updates.join(known, list(keys), "left_semi").select(target.columns))
 
 
 def change_counts(target: DataFrame, changes: DataFrame, keys: Sequence[str], seq: str = "seq",
@@ -110,7 +106,8 @@ def change_counts(target: DataFrame, changes: DataFrame, keys: Sequence[str], se
     values = [c for c in target.columns if c not in keys]
     last = _last_changes(changes, keys, seq).select(
         *keys, F.col(op).alias("_op"), F.struct(*values).alias("_new"))
-    old = target.select(*keys, F.struct(*values).alias("_old"))
+    old = target.join(last.select(*keys), list(keys), "left_semi") \
+        .select(*keys, F.struct(*values).alias("_old"))
     both = last.join(old, list(keys), "left")
     stored = F.col("_old").isNotNull()
     writes = F.col("_op").isin("update", "upsert", "insert")

@@ -55,8 +55,30 @@ def scan_stations(docs: DataFrame, text: str = "value", active_only: bool = True
     return rows.drop(*_STATION_DROPS).withColumnsRenamed({"id": "station_id", "nome": "name"})
 
 
+# Named entities of HTML that the pages use; the ampersand is decoded last.
+ENTITIES = {"nbsp": " ", "deg": "°", "agrave": "à", "egrave": "è", "eacute": "é", "igrave": "ì", "ograve": "ò",
+            "ugrave": "ù", "sup2": "²", "sup3": "³", "micro": "µ", "quot": '"', "apos": "'", "lt": "<", "gt": ">",
+            "amp": "&"}
+
+
+def _decoded(cell: Column) -> Column:
+    """Named and numeric entities as characters; a cell without an ampersand is left alone."""
+    def numbered(part: Column, i: Column) -> Column:
+        code = F.regexp_extract(part, "^(?:([0-9]{1,7})|[xX][0-9a-fA-F]{1,6});", 1)
+        hexed = F.regexp_extract(part, "^[xX]([0-9a-fA-F]{1,6});", 1)
+        digits = F.when(code != "", F.hex(code.cast("long"))).when(hexed != "", hexed)
+        char = F.decode(F.unhex(F.lpad(digits, 8, "0")), "UTF-32")
+        return F.when(i == 0, part).otherwise(F.coalesce(
+            F.concat(char, F.regexp_replace(part, "^[0-9xXa-fA-F]{1,7};", "")), F.concat(F.lit("&#"), part)))
+
+    out = F.array_join(F.transform(F.split(cell, "&#"), numbered), "")
+    for name, char in ENTITIES.items():
+        out = F.replace(out, F.lit(f"&{name};"), F.lit(char))
+    return F.when(cell.contains("&"), out).otherwise(cell)
+
+
 def _plain(cell: Column) -> Column:
-    return F.trim(F.replace(F.regexp_replace(cell, r"<[^>]*>", ""), F.lit("&nbsp;"), F.lit(" ")))
+    return F.trim(_decoded(F.regexp_replace(cell, r"<[^>]*>", "")))
 
 
 def _cells(row: Column, cell_re: str) -> Column:
@@ -89,7 +111,7 @@ def html_rows(pages: DataFrame, html: str = "html", row_re: str = TABLE_ROW,
 
 def station_days(pages: DataFrame, key: str = "station_id", html: str = "html",
                  columns: Mapping[str, str] = STATION_PAGE_COLUMNS, header_row: int = 2,
-                 first_data_row: int = 4, width: int = 12) -> DataFrame:
+                 first_data_row: int = 4) -> DataFrame:
     """Daily readings of landed station pages.
 
     The header row names the cells, so a page may order or leave out measures. Rows need a date
@@ -97,11 +119,10 @@ def station_days(pages: DataFrame, key: str = "station_id", html: str = "html",
     """
     rows = html_rows(pages.select(key, html), html, header_row=header_row)
     rows = rows.filter(F.col("row") >= first_data_row)
-    names = F.slice("header", 1, width)
 
     def named(name: str) -> Column:
         """The cell under a header; blank and dashed cells are NULL without a costly parse."""
-        at = F.array_position(names, F.lit(name)).cast("int")
+        at = F.array_position("header", F.lit(name)).cast("int")
         cell = F.when(at > 0, F.get(F.col("cells"), at - 1))
         return F.when(cell.rlike("[0-9]"), cell)
 

@@ -9,8 +9,14 @@ from dayline.schemas import conform
 
 
 def scan_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """Headed CSV made to fit ``schema`` by column name; values that do not fit become NULL."""
-    return conform(spark.read.option("header", True).csv(path), schema)
+    """Headed CSV made to fit ``schema`` by column name; values that do not fit become NULL.
+
+    Files are read under one header; a file with other columns, or the same in another order, fails
+    when it is read. Scan such files apart and unite them.
+    """
+    reader = spark.read.option("header", True)
+    header = reader.csv(path).schema
+    return conform(reader.schema(header).option("enforceSchema", False).csv(path), schema)
 
 
 def scan_json_records(spark: SparkSession, path: str, schema: StructType | str,

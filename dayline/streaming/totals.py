@@ -10,47 +10,63 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from dayline.functions.dates import EPOCH
-from dayline.operators.incremental import new_rows
-from dayline.operators.windows import latest_row, running_total
+from dayline.operators.joins import attach_lookup, newest_per_key
+from dayline.operators.windows import running_total
 
 
-def totals_batch(batch: DataFrame, state: DataFrame | None, keys: Sequence[str], date: str,
-                 cols: Mapping[str, str], epoch: str = EPOCH) -> DataFrame:
-    """Rows of one batch that are newer than ``state``, with totals that go on from it."""
-    daily = batch.groupBy(*keys, date).agg(*[F.sum(c).alias(c) for c in cols])
-    if state is not None:
-        daily = new_rows(daily, state, keys, date, epoch)
-    else:
-        daily = daily.filter(F.col(date) >= F.lit(epoch).cast("date"))
-    return running_total(daily, keys, date, cols, state)
+def totals_batch(batch: DataFrame, before: DataFrame | None, keys: Sequence[str], date: str,
+                 cols: Mapping[str, str], epoch: str | None = None) -> DataFrame:
+    """The days that a batch changes: of each key it has, from the first of its days on.
+
+    ``before`` holds daily sums of earlier batches; a day may be in any number of them. Every row
+    of a batch counts, whatever the stored dates are. With ``epoch`` earlier days are left out.
+    """
+    if epoch is not None:
+        batch = batch.filter(F.col(date) >= F.lit(epoch).cast("date"))
+    sums = [F.sum(c).alias(c) for c in cols]
+    daily = batch.groupBy(*keys, date).agg(*sums)
+    first = daily.groupBy(*keys).agg(F.min(date).alias("_first"))
+    known = daily if before is None else before.select(daily.columns).unionByName(daily) \
+        .groupBy(*keys, date).agg(*sums)
+    touched = attach_lookup(known, first, list(keys), ["_first"]).filter("_first IS NOT NULL")
+    rows = running_total(touched, keys, date, cols)
+    return rows.filter(F.col(date) >= F.col("_first")).drop("_first")
 
 
 def write_batch(batch: DataFrame, batch_id: int, target: str, state: str, keys: Sequence[str],
-                date: str, cols: Mapping[str, str], epoch: str = EPOCH) -> None:
-    """Write one batch's rows and the newest row of every key.
+                date: str, cols: Mapping[str, str], epoch: str | None = None) -> None:
+    """Write the days that one batch changes, and its daily sums as one more part of the state.
 
-    The state lies in two folders used in turn: batch n reads the one written by batch n-1. A
-    repeated batch therefore starts from the same state and overwrites its own output, so
-    nothing is counted twice after a failure.
+    The state is a folder of daily sums per batch. A repeated batch starts from the parts before it
+    and overwrites its own, so nothing is counted twice after a failure.
     """
     session, before = batch.sparkSession, None
+    if epoch is not None:
+        batch = batch.filter(F.col(date) >= F.lit(epoch).cast("date"))
+    daily = batch.groupBy(*keys, date).agg(*[F.sum(c).alias(c) for c in cols])
+    place = os.path.join(state, f"batch_id={batch_id}")
+    daily.write.mode("overwrite").parquet(place)
+    own = session.read.schema(daily.schema).parquet(place)
     if batch_id > 0:
-        before = session.read.parquet(os.path.join(state, f"slot={(batch_id - 1) % 2}"))
-    rows = totals_batch(batch, before, keys, date, cols, epoch)
-    place = os.path.join(target, f"batch_id={batch_id}")
-    rows.write.mode("overwrite").parquet(place)
-    done = session.read.schema(rows.schema).parquet(place).select(*keys, date, *cols.values())
-    newest = done if before is None else before.unionByName(done)
-    latest_row(newest, keys, date).write.mode("overwrite").parquet(
-        os.path.join(state, f"slot={batch_id % 2}"))
+        before = session.read.schema(daily.schema).parquet(
+            *[os.path.join(state, f"batch_id={n}") for n in range(batch_id)])
+    rows = totals_batch(own, before, keys, date, cols)
+    rows.write.mode("overwrite").parquet(os.path.join(target, f"batch_id={batch_id}"))
+
+
+def read_totals(spark: SparkSession, target: str, keys: Sequence[str], date: str) -> DataFrame:
+    """The totals as they stand: of each key and day what the last batch that changed it wrote."""
+    return newest_per_key(spark.read.parquet(target), [*keys, date], "batch_id").drop("batch_id")
 
 
 def totals_stream(spark: SparkSession, landing: str, schema: StructType, target: str, state: str,
                   checkpoint: str, keys: Sequence[str], date: str, cols: Mapping[str, str],
-                  file_format: str = "parquet", epoch: str = EPOCH,
+                  file_format: str = "parquet", epoch: str | None = None,
                   max_files: int | None = None) -> StreamingQuery:
-    """Process the files that wait in ``landing`` and stop."""
+    """Process the files that wait in ``landing`` and stop; :func:`read_totals` gives the result.
+
+    How files are divided over batches does not change it. A file counts once, by its name.
+    """
     reader = spark.readStream.schema(schema).format(file_format)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)

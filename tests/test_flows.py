@@ -15,7 +15,7 @@ from dayline.plans.stations import link_stations, station_table
 from dayline.schemas import empty_table, schema_of
 from dayline.session import scratch_path
 from dayline.sinks.tables import replace_by_key
-from dayline.streaming.totals import totals_stream, write_batch
+from dayline.streaming.totals import read_totals, totals_stream, write_batch
 
 FIRST = dt.date(2021, 1, 1)
 
@@ -228,15 +228,34 @@ def test_micro_batches_add_up_and_a_repeated_batch_does_not_count_twice(spark, r
         part.write.mode("append").parquet(landing)
         totals_stream(spark, landing, df.schema, target, state, marks, ["k"], "date", {"v": "t"}).awaitTermination()
         spent = spent.unionByName(part)
-        got = spark.read.parquet(target)
+        got = read_totals(spark, target, ["k"], "date")
         assert rows(got, "k", "date", "t") == sorted(
             ((r["k"], r["date"], sum(range(1, r["v"] + 1))) for r in spent.collect()), key=repr)
     # the last batch again, as after a failure between its output and its commit
     last = df.filter(F.col("date") >= at(6))
     write_batch(last, 2, target, state, ["k"], "date", {"v": "t"})
-    assert spark.read.parquet(target).count() == 18
-    assert spark.read.parquet(target).agg(F.max("t")).first()[0] == 45
-    # rows that were processed already come again
+    assert read_totals(spark, target, ["k"], "date").count() == 18
+    assert read_totals(spark, target, ["k"], "date").agg(F.max("t")).first()[0] == 45
+    # one more file of a day that was seen: its rows count, on that day and after it
     df.filter(F.col("date") == at(4)).write.mode("append").parquet(landing)
     totals_stream(spark, landing, df.schema, target, state, marks, ["k"], "date", {"v": "t"}).awaitTermination()
-    assert spark.read.parquet(target).count() == 18
+    got = {r["date"]: r["t"] for r in read_totals(spark, target, ["k"], "date").filter("k = 'a'").collect()}
+    assert got == {at(n): (n + 1) * (n + 2) // 2 + (5 if n >= 4 else 0) for n in range(9)}
+
+
+@pytest.mark.parametrize("max_files", [None, 1, 2])
+def test_batches_do_not_change_totals(spark, rows, tmp_path, max_files):
+    landing, target, state, marks = (str(tmp_path / n) for n in ("in", "out", "state", "marks"))
+    df = spark.createDataFrame([("a", at(n % 2), 1) for n in range(32)], "k string, date date, v long")
+    df.repartition(4).write.parquet(landing)
+    totals_stream(spark, landing, df.schema, target, state, marks, ["k"], "date", {"v": "t"}, max_files=max_files).awaitTermination()
+    assert rows(read_totals(spark, target, ["k"], "date"), "date", "v", "t") == [(at(0), 16, 16), (at(1), 16, 32)]
+
+
+def test_forecasts_of_other_series_stay(spark, tmp_path):
+    path = str(tmp_path / "f")
+    made = spark.createDataFrame([(k, "y", at(n), float(n)) for k in ("01", "02") for n in range(3)],
+                                 "region string, output_variable string, date date, forecast double")
+    assert store_forecasts(made, path) == 6 and store_forecasts(made.filter("region = '01'"), path) == 3
+    kept = spark.read.schema(made.schema).parquet(path)
+    assert kept.count() == 6 and {r.region for r in kept.collect()} == {"01", "02"}

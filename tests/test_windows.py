@@ -84,7 +84,8 @@ def test_seed_is_used_on_the_first_row_only(spark):
 
 def test_new_key_starts_at_the_epoch(spark, rows):
     src = spark.createDataFrame([("a", dt.date(2020, 2, 22)), ("a", dt.date(2020, 2, 23))], "k string, date date")
-    assert rows(new_rows(src, src.limit(0), ["k"], "date")) == [("a", dt.date(2020, 2, 23))]
+    assert rows(new_rows(src, src.limit(0), ["k"], "date", "2020-02-23")) == [("a", dt.date(2020, 2, 23))]
+    assert new_rows(src, src.limit(0), ["k"], "date").count() == 2
 
 
 def test_rewind_keeps_other_keys(spark, rows):
