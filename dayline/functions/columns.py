@@ -23,6 +23,9 @@ AGE_BANDS = (Band(0, below=30), Band(2, low=60), Band(1, low=30, below=60))
 # Colour names of the landed risk table.
 RISK_COLOURS = {"giallo": "yellow", "arancione": "orange", "rosso": "red", "bianco": "white"}
 
+# The colours from the least to the gravest.
+RISK_ORDER = ["white", "yellow", "orange", "red"]
+
 # Score of a forecast that cannot be compared, and the 95 % normal quantile.
 PENALTY = 1e6
 Z95 = 1.959964

@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayline.functions.columns import AGE_BANDS, reband, row_sum
+from dayline.functions.columns import AGE_BANDS, RISK_ORDER, reband, row_sum
 from dayline.operators.aggregates import pivot_sum
 from dayline.operators.filters import gate_complete, scan_between
 from dayline.operators.incremental import new_rows
@@ -84,8 +84,11 @@ def curate(sources: Sources, curated: DataFrame | None = None, lo=None, hi=None)
         status = status.filter(F.col("_until").isNotNull() & (
             F.col("_after").isNull() | (F.col("_until") > F.col("_after")))).drop("_until", "_after")
 
-    # several values for one day: the largest, so that a day stays one row
-    risk = bounded["risk"].groupBy(*ON).agg(F.max("risk").alias("risk"))
+    # several values for one day become one, so that a day stays one row: the gravest colour
+    # (one that is no known colour counts least) and the largest index
+    grave = F.array_position(F.array(*[F.lit(c) for c in RISK_ORDER]), F.col("risk"))
+    worst = F.max(F.when(F.col("risk").isNotNull(), F.struct(grave.alias("grave"), "risk")))
+    risk = bounded["risk"].groupBy(*ON).agg(worst["risk"].alias("risk"))
     index = stringency.groupBy(*_keyed(stringency), "date").agg(
         F.max("value").alias("stringency_index"))
     joined = left_join_all(status, [risk, dose_table(bounded["vaccines"])], ON)

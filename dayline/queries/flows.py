@@ -60,8 +60,9 @@ _ENTITIES = f"""
                       count(*) FILTER (WHERE o_orderpriority = '2-HIGH') AS h2,
                       nullif(count(*) FILTER (WHERE o_orderpriority = '3-MEDIUM'), 0) AS h3
                FROM o GROUP BY 1, 2),
-    risk AS (SELECT region, date, max(CASE o_orderpriority WHEN '1-URGENT' THEN 'red'
-                 WHEN '2-HIGH' THEN 'orange' WHEN '3-MEDIUM' THEN 'yellow' END) AS risk
+    risk AS (SELECT region, date, CASE WHEN bool_or(o_orderpriority = '1-URGENT') THEN 'red'
+                 WHEN bool_or(o_orderpriority = '2-HIGH') THEN 'orange'
+                 WHEN bool_or(o_orderpriority = '3-MEDIUM') THEN 'yellow' END AS risk
              FROM o WHERE o_orderstatus = 'O' GROUP BY 1, 2),
     idx AS (SELECT CAST(l_shipdate AS DATE) AS date, round(avg(l_quantity), 4) AS stringency_index
             FROM lineitem GROUP BY 1),

@@ -77,6 +77,11 @@ def overwritten_table(spark, sf_dir):
     return spark.read.parquet(path).select("o_orderkey", "o_orderstatus")
 
 
+@query("SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderstatus = 'P'")
+def find_without_a_limit(spark, sf_dir):
+    return find(table(spark, sf_dir, "orders"), {"o_orderstatus": "P"}, ["o_orderkey", "o_orderpriority"])
+
+
 @query("""
     SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'
       AND o_orderpriority IN ('1-URGENT', '5-LOW')
