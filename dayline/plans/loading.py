@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
@@ -47,17 +48,20 @@ def update_all(spark: SparkSession, entities: Mapping[str, Entity],
                selected: Sequence[str] | None = None, skip: Sequence[str] = ()) -> DataFrame:
     """Update every entity (or the selected ones, without the skipped) and report on each.
 
-    An entity that fails is reported and does not stop the others.
+    An entity that fails is reported and does not stop the others. ``seconds`` is the time each took.
     """
     report = []
     for name, entity in entities.items():
         if (selected is not None and name not in selected) or name in skip:
             continue
+        began = time.perf_counter()
         try:
-            report.append((name, "success", update_entity(spark, entity), None))
+            row = (name, "success", update_entity(spark, entity), None)
         except Exception as e:  # the report is where a failed load is seen
-            report.append((name, "failed", 0, str(e).splitlines()[0] if str(e) else repr(e)))
-    return spark.createDataFrame(report, "entity string, status string, records long, error string")
+            row = (name, "failed", 0, str(e).splitlines()[0] if str(e) else repr(e))
+        report.append((*row, time.perf_counter() - began))
+    return spark.createDataFrame(
+        report, "entity string, status string, records long, error string, seconds double")
 
 
 def load_static(codes: DataFrame, towns: DataFrame, province: str, province_code: int

@@ -12,7 +12,10 @@ from dayline.operators.joins import newest_per_key
 
 def append_checked(df: DataFrame, path: str, partition_by: Sequence[str] = (),
                    expected: int | None = None, mode: str = "append") -> int:
-    """Write ``df`` and return how many rows went out, counted while they were written."""
+    """Write ``df`` and return how many rows went out, counted while they were written.
+
+    A count other than ``expected`` raises, but the rows are in the table by then: it reports.
+    """
     seen = Observation()
     out = df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode(mode)
     if partition_by:
