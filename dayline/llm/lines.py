@@ -8,7 +8,9 @@ meet another there are fetched as text, and pairs are verified by a banded bit-p
 
 A pair is verified under the first segment it shares, so it counts once. A task gives out how many
 links each line has and links that span its components, never all pairs of a group. Common lines
-are one row from the start, as the join is over distinct lines.
+are one row from the start, as the join is over distinct lines. Where more than ``REFINE_ABOVE``
+lines share a segment, they are dealt anew by that segment and a piece of what is beside it: of
+``EDITS`` + 1 such pieces one is unchanged as well.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +31,8 @@ LEAST = 24  # code points; shorter lines are the same only if equal
 SLICE = 1 << 22  # code points of distinct lines that a task signs at a time
 POINTS = 1 << 18  # code points that one vector operation works on
 FILTER_WORDS = 1 << 18
+REFINE_ABOVE = 1000
+_WORD = (1 << 64) - 1
 
 
 def has_word(line: str) -> bool:
@@ -48,6 +53,15 @@ def probes(i: int, shorter: int, edits: int = EDITS) -> range:
     return range(max(-i, shorter - rest), min(i, shorter + rest) + 1)
 
 
+def piece(length: int, i: int, j: int, edits: int = EDITS) -> tuple[int, int]:
+    """Start and length of piece ``j`` of a line beside its segment ``i``; no piece runs across it."""
+    start, size = (int(x) for x in segment(length, i, edits))
+    before = (edits + 1) * i // max(1, edits)
+    begin, rest, n, at = (0, start, before, j) if j < before else \
+        (start + size, length - start - size, edits + 1 - before, j - before)
+    return begin + rest * at // n, rest * (at + 1) // n - rest * at // n
+
+
 def _split(texts: list, edits: int):
     """Lines with a word of the texts: text number, line number, line."""
     for row, text in enumerate(texts):
@@ -138,11 +152,12 @@ def within(a: str, b: str, edits: int = EDITS) -> bool:
     return bool(states[edits] >> (len(b) - len(a) + edits) & 1)
 
 
-def _first_shared(r: str, s: str, edits: int) -> int:
-    """The first segment of ``r`` that stands in ``s`` where a probe looks for it."""
+def _first_shared(r: str, s: str, edits: int, beside: int | None = None) -> int:
+    """The first segment of ``r`` that stands in ``s`` where a probe looks for it, or the first piece
+    beside the segment ``beside``."""
     shorter = len(s) - len(r)
     for i in range(edits + 1):
-        start, size = segment(len(r), i, edits)
+        start, size = segment(len(r), i, edits) if beside is None else piece(len(r), beside, i, edits)
         want = r[start:start + size]
         for shift in probes(i, shorter, edits):
             if start + shift >= 0 and s[start + shift:start + shift + size] == want:
@@ -150,8 +165,21 @@ def _first_shared(r: str, s: str, edits: int) -> int:
     return -1
 
 
-def _group_links(ids: list[int], lines: list[str], index: list[bool], key: int, edits: int, degree: dict, pairs: list) -> None:
-    """Verified links of the lines of one key: counts in ``degree``, a spanning forest in ``pairs``."""
+def _segment_of(line: str, key: int, edits: int) -> int:
+    """The segment of the line that the key is of."""
+    sums, begins, lengths = _hashed([line])
+    for i in range(edits, -1, -1):
+        start, size = segment(len(line), i, edits)
+        if int(_key(sums, begins, np.array([start]), np.array([size]), lengths, i).view(np.int64)[0]) == key:
+            return i
+    return -1
+
+
+def _group_links(ids: list[int], lines: list[str], parts: list[int], edits: int, degree: dict, pairs: list) -> None:
+    """Verified links of the lines of one key: counts in ``degree``, a spanning forest in ``pairs``.
+
+    The first lines of the group, as many as ``parts``, are the indexed ones.
+    """
     root = {i: i for i in ids}
 
     def find(x):
@@ -160,21 +188,17 @@ def _group_links(ids: list[int], lines: list[str], index: list[bool], key: int,
             x = root[x]
         return x
 
-    owners = [i for i, own in enumerate(index) if own]
-    for r in owners:
+    for r, part in enumerate(parts):
         a = lines[r]
-        sums, begins, lengths = _hashed([a])
-        mine = -1  # the segment of r that this key is of
-        for i in range(edits + 1):
-            start, size = segment(len(a), i, edits)
-            if int(_key(sums, begins, np.array([start]), np.array([size]), lengths, i).view(np.int64)[0]) == key:
-                mine = i
+        i, j = part % 16, part // 16 - 1  # without a piece: -1
         for s in range(len(ids)):
             b = lines[s]
             # of lines of equal length, the lesser id is the indexed one
             if len(b) < len(a) or len(b) > len(a) + edits or ids[s] == ids[r] or (len(a) == len(b) and ids[s] < ids[r]):
                 continue
-            if _first_shared(a, b, edits) != mine or not within(a, b, edits):
+            if j >= 0 and _first_shared(a, b, edits, i) != j:
+                continue
+            if _first_shared(a, b, edits) != i or not within(a, b, edits):
                 continue
             degree[ids[r]] = degree.get(ids[r], 0) + 1
             degree[ids[s]] = degree.get(ids[s], 0) + 1
@@ -183,35 +207,75 @@ def _group_links(ids: list[int], lines: list[str], index: list[bool], key: int,
                 pairs.append((ids[r], ids[s]))
 
 
-def _linker(edits: int):
+_LINKED = "a long, b long, n long, key long, line string, index boolean, part int"
+
+
+def _piece_key(key: int, i: int, j: int, content: str) -> int:
+    return xxhash.xxh64_intdigest(content.encode("utf-8", "surrogatepass"), (key ^ (i * 16 + j + 1)) & _WORD) - (1 << 63)
+
+
+def _dealt_anew(i: int, line: str, own: bool, key: int, spots: set, edits: int) -> Iterator[tuple]:
+    """The rows of a line of a large group, by the pieces beside the segment at each of ``spots``."""
+    for length, part in spots:
+        if not 0 <= len(line) - length <= edits:
+            continue
+        for j in range(edits + 1):
+            start, size = piece(length, part, j, edits)
+            for shift in probes(j, len(line) - length, edits):
+                at = start + shift
+                if at >= 0 and at + size <= len(line):
+                    yield (i, None, None, _piece_key(key, part, j, line[at:at + size]), line,
+                           own and shift == 0 and len(line) == length, part + 16 * (j + 1))
+
+
+def _linker(edits: int, refine_above: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows (a, b, n): a link if b is there, n links of a otherwise; batches are sorted by key."""
-        def out(degree, pairs):
-            a = [p[0] for p in pairs] + list(degree)
-            b = [p[1] for p in pairs] + [None] * len(degree)
-            n = [0] * len(pairs) + list(degree.values())
-            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (a, b, n)], names=["a", "b", "n"])
+        """Rows (a, b, n): a link if b is there, n links of a otherwise; and lines to be dealt anew.
 
+        Batches are sorted by key, indexed lines first. ``refine_above`` lines are held at most, if given.
+        """
         degree: dict[int, int] = {}
         pairs: list[tuple[int, int]] = []
-        key, group = None, ([], [], [])
+        anew: list[tuple] = []
+
+        def out():
+            rows = [(a, b, 0, None, None, None, None) for a, b in pairs] \
+                + [(a, None, n, None, None, None, None) for a, n in degree.items()] + anew
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.int32())
+            columns = list(zip(*rows)) if rows else [()] * len(kinds)
+            for held in (degree, pairs, anew):
+                held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds)],
+                                              names=["a", "b", "n", "key", "line", "index", "part"])
+
+        key, ids, lines, parts, spots = None, {}, [], [], None
         for batch in batches:
-            for k, i, line, own in zip(*(batch.column(c).to_pylist() for c in ("key", "id", "line", "index"))):
+            for k, i, line, own, part in zip(*(batch.column(c).to_pylist() for c in ("key", "id", "line", "index", "part"))):
                 if k != key:
-                    if len(group[0]) > 1:
-                        _group_links(*group, key, edits, degree, pairs)
-                    key, group = k, ([], [], [])
-                if group[0] and group[0][-1] == i:  # a line that meets itself: indexed if any row is
-                    group[2][-1] |= own
-                    continue
-                for values, value in zip(group, (i, line, own)):
-                    values.append(value)
+                    if len(lines) > 1:
+                        _group_links(list(ids), lines, parts, edits, degree, pairs)
+                    key, ids, lines, parts, spots = k, {}, [], [], None
+                if spots is not None:
+                    if own:
+                        spots.add((len(line), _segment_of(line, key, edits)))
+                    anew += _dealt_anew(i, line, own, key, spots, edits)
+                elif i not in ids:
+                    ids[i] = len(lines)
+                    lines.append(line)
+                    if own:
+                        parts.append(part if part >= 0 else _segment_of(line, key, edits))
+                    if refine_above is not None and len(lines) > refine_above:
+                        spots = {(len(x), p) for x, p in zip(lines, parts)}
+                        for n, (held, x) in enumerate(zip(ids, lines)):
+                            anew += _dealt_anew(held, x, n < len(parts), key, spots, edits)
+                        ids, lines, parts = {}, [], []
+                if len(anew) > 20_000:
+                    yield out()
             if len(pairs) + len(degree) > 100_000:
-                yield out(degree, pairs)
-                degree, pairs = {}, []
-        if len(group[0]) > 1:
-            _group_links(*group, key, edits, degree, pairs)
-        yield out(degree, pairs)
+                yield out()
+        if len(lines) > 1:
+            _group_links(list(ids), lines, parts, edits, degree, pairs)
+        yield out()
     return run
 
 
@@ -262,7 +326,7 @@ def _fetcher(words):
     return run
 
 
-def line_links(docs: DataFrame, edits: int = EDITS) -> tuple[DataFrame, DataFrame]:
+def line_links(docs: DataFrame, edits: int = EDITS, refine_above: int = REFINE_ABOVE) -> tuple[DataFrame, DataFrame]:
     """(a, b): links that span the components of lines; (id, n_links): how many links a line has."""
     signed = docs.select("text").mapInArrow(_signed(edits), "key long, id long, index boolean")
     meets = Window.partitionBy("key")
@@ -278,14 +342,21 @@ def line_links(docs: DataFrame, edits: int = EDITS) -> tuple[DataFrame, DataFram
     fetch = _fetcher(docs.sparkSession.sparkContext.broadcast(words))
     texts = stored(docs.select("text").mapInArrow(fetch, "id long, line string").groupBy("id").agg(
         F.min("line").alias("line")), "line-texts")
-    rows = met.join(texts, "id").select("key", "id", "line", "index")
-    linked = stored(rows.repartition("key").sortWithinPartitions("key", "id").mapInArrow(
-        _linker(edits), "a long, b long, n long"), "line-links")
+    rows = met.join(texts, "id").select("key", "id", "line", "index", F.lit(-1).alias("part"))
+
+    def met_lines(rows: DataFrame, most: int | None) -> DataFrame:
+        return stored(rows.repartition("key").sortWithinPartitions("key", F.desc("index"), "id").mapInArrow(
+            _linker(edits, most), _LINKED), "line-links")
+
+    linked = met_lines(rows, refine_above)
+    anew = linked.where("line is not null").select("key", F.col("a").alias("id"), "line", "index", "part")
+    if not anew.isEmpty():
+        linked = linked.where("line is null").unionByName(met_lines(anew, None))
     return linked.where("b is not null").select("a", "b"), \
-        linked.where("b is null").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("n_links"))
+        linked.where("b is null and n is not null").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("n_links"))
 
 
-def repeated_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
+def repeated_lines(docs: DataFrame, edits: int = EDITS, refine_above: int = REFINE_ABOVE) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): which of its lines go.
 
     Columns: doc_id, text_hash, n_lines (with a word), n_links (of its lines to other distinct lines),
@@ -300,7 +371,7 @@ def repeated_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")) \
         .withColumn("text_hash", F.xxhash64("text"))
     placed = stored(rows.mapInArrow(_placed, "doc_id long, text_hash long, no int, id long"), "line-places")
-    pairs, degrees = line_links(rows, edits)
+    pairs, degrees = line_links(rows, edits, refine_above)
     labels = components(pairs).select(F.col("node").alias("id"), "label")
     lines = placed.select("id").distinct().join(labels, "id", "left").join(degrees, "id", "left").select(
         "id", F.coalesce("label", "id").alias("class"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))

@@ -43,6 +43,11 @@ def test_lines_within_the_edits_share_a_signature(edits):
         who, key, index = lines.signatures([r, s], edits)
         assert set(key[(who == 0) & index]) & set(key[who == 1])
         assert lines._first_shared(r, s, edits) >= 0
+        # and a piece beside whatever segment they share
+        i = lines._first_shared(r, s, edits)
+        anew = [{row[3] for row in lines._dealt_anew(0, x, own, 7, {(len(r), i)}, edits) if row[5] or not own}
+                for x, own in ((r, True), (s, False))]
+        assert anew[0] & anew[1] and lines._first_shared(r, s, edits, i) >= 0
     start, size = zip(*(lines.segment(np.array([31]), i, edits) for i in range(edits + 1)))
     assert sum(int(x[0]) for x in size) == 31 and int(start[-1][0] + size[-1][0]) == 31
 
@@ -84,10 +89,20 @@ def cases():
     return rows + [(3, "repeat\nrepeat\n\n  \nrepeat", "en", "a", 0)]
 
 
-def test_against_plain(spark):
+@pytest.mark.parametrize("length", [24, 31, 100])
+@pytest.mark.parametrize("edits", [0, 1, 2, 3, 7])
+def test_pieces_are_all_that_is_beside_a_segment(length, edits):
+    for i in range(edits + 1):
+        start, size = lines.segment(length, i, edits)
+        covered = [n for j in range(edits + 1) for n in range(lines.piece(length, i, j, edits)[0], sum(lines.piece(length, i, j, edits)))]
+        assert covered == [n for n in range(length) if not start <= n < start + size]
+
+
+@pytest.mark.parametrize("refine_above", [2, 7, 1000])
+def test_against_plain(spark, refine_above):
     rows = cases()
     docs = frame(spark, rows).withColumn("no", F.lit("clash")).withColumn("id", F.lit(0))
-    got = lines.repeated_lines(docs).collect()
+    got = lines.repeated_lines(docs, refine_above=refine_above).collect()
     want = plain(rows)
     assert sorted([(r.doc_id, r.n_lines, r.n_links, r.removed_lines) for r in got], key=repr) == want
     assert all(r.n_removed == len(r.removed_lines) for r in got) and sum(w[2] for w in want) > 100
