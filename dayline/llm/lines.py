@@ -122,12 +122,29 @@ def signatures(lines: list[str], edits: int = EDITS) -> tuple[np.ndarray, np.nda
     return np.concatenate(who), np.concatenate(keys).view(np.int64), np.concatenate(index)
 
 
+def _same_start(a: str, b: str) -> int:
+    """How many symbols both begin with."""
+    low, high = 0, min(len(a), len(b))
+    while low < high:
+        middle = (low + high + 1) // 2
+        if a[low:middle] == b[low:middle]:
+            low = middle
+        else:
+            high = middle - 1
+    return low
+
+
 def within(a: str, b: str, edits: int = EDITS) -> bool:
     """Whether the edit distance is at most ``edits``: an automaton with a word of bits, one for each
-    diagonal of the band, for each number of edits; it ends as soon as no state is left."""
+    diagonal of the band, for each number of edits; it ends as soon as no state is left. It runs from
+    the first to the last symbol in which the two differ."""
     if abs(len(a) - len(b)) > edits:
         return False
-    if a == b:
+    start = _same_start(a, b)
+    a, b = a[start:], b[start:]
+    end = _same_start(a[::-1], b[::-1])
+    a, b = a[:len(a) - end], b[:len(b) - end]
+    if not a or not b:
         return True
     where: dict[str, int] = {}
     for j, c in enumerate(b):
