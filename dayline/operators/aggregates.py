@@ -146,7 +146,7 @@ def histogram(df: DataFrame, col: str, bins: int = 10, keys: Sequence[str] = ())
                        F.when(flat, F.col("_hi") + 0.5).otherwise(F.col("_hi")).alias("_hi"))
     width = (F.col("_hi") - F.col("_lo")) / bins
     placed = (attach_lookup(df.select(*keys, col).filter(F.col(col).isNotNull()), ends, keys,
-                            ["_lo", "_hi"])
+                            ["_lo", "_hi"], measured=True)
               .withColumn("bin", F.least(F.floor((F.col(col) - F.col("_lo")) / width),
                                          F.lit(bins - 1)).cast("int")))
     return (placed.groupBy(*keys, "bin")

@@ -12,13 +12,14 @@ from dayline.operators.joins import attach_lookup
 
 
 def new_rows(source: DataFrame, target: DataFrame, keys: Sequence[str], date: str,
-             epoch: str | None = None) -> DataFrame:
+             epoch: str | None = None, measured: bool = True) -> DataFrame:
     """Source rows after the newest stored date of their key.
 
-    Of a new key all rows, or with ``epoch`` those from that day on.
+    Of a new key all rows, or with ``epoch`` those from that day on. ``measured`` writes the marks
+    first, so that few marks are broadcast; sources of a row per key and day do without.
     """
     marks = high_water_mark(target, date, keys, "_latest")
-    marked = attach_lookup(source, marks, list(keys), ["_latest"])
+    marked = attach_lookup(source, marks, list(keys), ["_latest"], measured)
     latest = F.col("_latest").cast("date")
     fresh = latest.isNull() if epoch is None else \
         latest.isNull() & (F.col(date) >= F.lit(epoch).cast("date"))
@@ -32,5 +33,5 @@ def rewind(target: DataFrame, arrivals: DataFrame, keys: Sequence[str], date: st
     from there; keys without arrivals stay whole.
     """
     first = arrivals.groupBy(*keys).agg(F.min(date).alias("_first"))
-    marked = attach_lookup(target, first, list(keys), ["_first"])
+    marked = attach_lookup(target, first, list(keys), ["_first"], measured=True)
     return marked.filter(F.col("_first").isNull() | (F.col(date) < F.col("_first"))).drop("_first")

@@ -13,6 +13,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from dayline.session import scratch_path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The frame as a table written once under ``spark.checkpoint.dir``, so of known size."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
 
 def left_join_all(base: DataFrame, others: Sequence[DataFrame], on: Sequence[str]) -> DataFrame:
     """``base`` with the columns of every other table, left to right."""
@@ -31,11 +40,17 @@ def via_links(df: DataFrame, links: DataFrame, on: Sequence[str] | str,
     return df.join(links, [on] if isinstance(on, str) else list(on), how)
 
 
-def attach_lookup(df: DataFrame, dim: DataFrame, keys: Sequence[str],
-                  cols: Sequence[str]) -> DataFrame:
-    """Columns of the dimension row with the same keys; without keys, of its only row."""
+def attach_lookup(df: DataFrame, dim: DataFrame, keys: Sequence[str], cols: Sequence[str],
+                  measured: bool = False) -> DataFrame:
+    """Columns of the dimension row with the same keys; without keys, of its only row.
+
+    The size of an aggregate is unknown when a plan is made, so ``df`` would be shuffled by key,
+    hot keys and all. With ``measured`` the dimension is written first, and Spark broadcasts it if
+    its files are below ``spark.sql.autoBroadcastJoinThreshold``.
+    """
     if keys:
-        return df.join(dim.select(*keys, *cols), list(keys), "left")
+        side = dim.select(*keys, *cols)
+        return df.join(written(side, "lookup") if measured else side, list(keys), "left")
     row = dim.select(F.struct(*cols).alias("_row")).scalar()
     return (df.withColumn("_row", row)
             .withColumns({c: F.col("_row")[c] for c in cols}).drop("_row"))

@@ -85,7 +85,7 @@ def ols_residuals(df: DataFrame, keys: Sequence[str], y: str, xs: Sequence[str],
                   name: str = "resid") -> DataFrame:
     """``df`` with the residual of the group's regression."""
     solved = _solved(df, keys, y, xs, True).withColumnRenamed("coef", "_coef")
-    out = attach_lookup(df, solved, list(keys), ["_coef"])
+    out = attach_lookup(df, solved, list(keys), ["_coef"], measured=True)
     fitted = F.col("_coef")[0]
     for i, x in enumerate(xs):
         fitted = fitted + F.col("_coef")[i + 1] * F.col(x)

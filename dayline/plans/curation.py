@@ -66,13 +66,13 @@ def curate(sources: Sources, curated: DataFrame | None = None, lo=None, hi=None)
         # the last row of each region: its date is the mark, its totals go on
         seed = latest_row(curated.select(*ON, *totals.values(), "deaths"), KEYS, "date")
         for name in ("status", "risk", "vaccines"):
-            bounded[name] = new_rows(bounded[name], seed, KEYS, "date", lo)
+            bounded[name] = new_rows(bounded[name], seed, KEYS, "date", lo, measured=False)
 
     status = gate_complete(bounded["status"], [bounded["risk"], bounded["vaccines"]], KEYS)
     stringency = bounded["stringency"]
     if _keyed(stringency):
         if curated is not None:
-            stringency = new_rows(stringency, seed, KEYS, "date", lo)
+            stringency = new_rows(stringency, seed, KEYS, "date", lo, measured=False)
         status = gate_complete(status, [stringency], KEYS)
     else:
         status = attach_lookup(status, stringency.agg(F.max("date").alias("_until")), [], ["_until"])

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 
 from dayline.models.grid import Config
 from dayline.models.series import fold_forecasts
-from dayline.operators.aggregates import best_per_key, daily, high_water_mark, pivot_sum, top_k
+from dayline.operators.aggregates import best_per_key, daily, high_water_mark, histogram, pivot_sum, top_k
 from dayline.operators.filters import scan_between
+from dayline.operators.incremental import new_rows, rewind
 from dayline.operators.joins import newest_per_key
-from dayline.operators.regression import sums_of_products
+from dayline.operators.regression import ols_residuals, sums_of_products
 from dayline.operators.windows import (daily_change, densify, ffill, hold_last, lags, latest_row,
                                        running_total)
 from dayline.session import scratch_path
@@ -73,6 +74,18 @@ def test_hot_keys_are_combined_before_the_shuffle(spark):
         assert "partial_" in text and "Window" not in text, name
 
 
+def test_rows_meet_the_numbers_of_their_key_where_they_are(spark):
+    """Raw rows are not dealt by key to attach what an aggregate has found for it."""
+    lines = spark.read.parquet(f"{SF_DIR}/lineitem.parquet")
+    old = lines.filter("l_shipdate < DATE '1995-01-01'")
+    for df in (histogram(lines, "l_extendedprice", 10, ["l_returnflag"]),
+               ols_residuals(lines, ["l_returnflag"], "l_extendedprice", ["l_quantity"]),
+               new_rows(lines, old, ["l_returnflag"], "l_shipdate"), rewind(lines, old, ["l_returnflag"], "l_shipdate")):
+        text = plan(df)
+        assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+        assert "partial_" in text or "Exchange hashpartitioning" not in text
+
+
 def test_scoring_asks_for_its_tasks(spark):
     days = spark.read.parquet(f"{SF_DIR}/events.parquet").groupBy(
         "event_type", F.to_date("ts").alias("date")).agg(F.count(F.lit(1)).alias("n"))
