@@ -66,16 +66,17 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) for each row of ``docs`` (doc_id, text), fp as a signed long."""
+    """(doc_id, text_hash, fp) for each row of ``docs`` (doc_id, text), fp as a signed long."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = utf8_bytes(batch.column("text"))
             ends = offsets.tolist()
             found = np.fromiter((fingerprint(data[a:b].tobytes(), shingle) for a, b in zip(ends, ends[1:])),
                                 np.uint64, len(ends) - 1)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(found.view(np.int64))],
-                                             names=["doc_id", "fp"])
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("text_hash"),
+                                              pa.array(found.view(np.int64))], names=["doc_id", "text_hash", "fp"])
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text") \
+        .mapInArrow(run, "doc_id long, text_hash long, fp long")
 
 
 def _forest(fps: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -192,22 +193,42 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     never the least of a component that has another; rows that repeat stay rows; an empty table
     gives an empty result; further columns are not looked at.
     """
-    marked = stored(fingerprints(docs, shingle), "fingerprints")
+    marked = stored(fingerprints(docs, shingle).select("doc_id", "fp"), "fingerprints")
     least = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    joined = components(links(least, max_bits))
-    labelled = least.join(joined, least.fp == joined.node, "left").select(
-        "fp", "least", F.coalesce("label", "fp").alias("label"))
+    labelled = _labelled(least, max_bits)
     ids = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
     named = labelled.join(ids, "label").select("fp", "component_id")
     return marked.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """The documents of ``docs`` that are the least of their component; columns as they are.
+def _labelled(least: DataFrame, max_bits: int) -> DataFrame:
+    """(fp, least, label) from (fp, least), a row for each fingerprint; linked ones have one label."""
+    joined = components(links(least, max_bits))
+    return least.join(joined, least.fp == joined.node, "left").select(
+        "fp", "least", F.coalesce("label", "fp").alias("label"))
+
+
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """One row of ``docs`` for each component of near copies; columns as they are.
 
-    Rows without doc_id stay; of rows that share the least doc_id one stays.
+    The row of least doc_id stays, of several the one of least text hash, and of rows that share both
+    any one. Rows without doc_id link like others and stay only in a component that has no other. A
+    row with neither doc_id nor text has nothing to compare and stays.
     """
-    kept = near_duplicates(docs.where(F.col("doc_id").isNotNull()), **options) \
-        .where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    single = docs.join(kept, "doc_id", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
-    return single.unionByName(docs.where(F.col("doc_id").isNull()))
+    doc, text_hash = F.col("doc_id").cast("long"), F.xxhash64("text")
+    blank = F.col("doc_id").isNull() & F.col("text").isNull()
+    marked = fingerprints(docs.where(~blank), shingle).groupBy("fp", "doc_id", "text_hash").agg(F.count("*").alias("n"))
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash", "n")
+    least = stored(marked.groupBy("fp").agg(F.min(place).alias("least")), "distinct")
+    firsts = _labelled(least, max_bits).groupBy("label").agg(F.min("least").alias("first"))
+    # a row may share doc_id and text hash with the first, so n says whether one is to be picked
+    firsts = stored(firsts.select(F.col("first.doc_id").alias("_doc"), F.col("first.text_hash").alias("_hash"), "first.n"), "firsts")
+    same = doc.eqNullSafe(F.col("_doc")) & (text_hash == F.col("_hash"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    kept = docs.where(~blank).join(firsts.where("n = 1"), same, "left_semi").select(*columns)
+    again = firsts.where("n > 1")
+    if not again.isEmpty():
+        copies = docs.where(~blank).withColumns({"_id": doc, "_text": text_hash}).join(
+            again, F.col("_id").eqNullSafe(F.col("_doc")) & (F.col("_text") == F.col("_hash")), "left_semi")
+        kept = kept.unionByName(copies.dropDuplicates(["_id", "_text"]).select(*columns))
+    return kept.unionByName(docs.where(blank))

@@ -95,6 +95,18 @@ def test_one_of_each(spark):
     assert simhash.one_of_each(frame(spark, [])).count() == 0
 
 
+def test_one_row_of_each_component(spark):
+    rng = random.Random(9)
+    text, other, third = (prose(rng, 200) for _ in range(3))
+    rows = [(None, text, "en", "a", 0)] * 3 + [(5, text, "en", "a", 0)] + [(3, other, "en", "a", 0)] * 2 \
+        + [(3, text, "en", "a", 0)] + [(None, third, "en", "a", 0)] * 4 + [(7, third + " end", "en", "a", 0)] * 2 \
+        + [(None, "alone and without an id", "de", "b", 1)] * 2
+    assert (plain_fingerprint(third) ^ plain_fingerprint(third + " end")).bit_count() <= 4
+    got = sorted(map(tuple, simhash.one_of_each(frame(spark, rows)).collect()), key=repr)
+    assert got == sorted([(3, other, "en", "a", 0), (3, text, "en", "a", 0), (7, third + " end", "en", "a", 0),
+                          (None, "alone and without an id", "de", "b", 1)], key=repr)
+
+
 def test_components_of_long_chains_and_hubs(spark):
     rows = [(i, i + 1) for i in range(400)] + [(1000, 1001 + i) for i in range(300)] + [(5000, 5000)]
     label = {r.node: r.label for r in components(spark.createDataFrame(rows, "a long, b long")).collect()}
