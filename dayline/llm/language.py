@@ -2,8 +2,8 @@
 
 A text is the mean of the vectors of its byte n-grams, hashed into ``BUCKETS`` rows; one linear
 layer gives the languages. Both are trained by stochastic gradient descent in numpy on a bounded
-sample (``SAMPLE_DOCS`` labelled training texts of at most ``SAMPLE_BYTES`` bytes, shared by at most
-``MOST_LANGS`` languages), which reaches the driver as hashed counts. A part of the sample that is
+sample (``SAMPLE_DOCS`` labelled training texts of at most ``SAMPLE_BYTES`` bytes, shared evenly by
+all languages, of each one text at least), which reaches the driver as hashed counts. A part of the sample that is
 not trained on gives the temperature of the scores and the score below which a text is rejected.
 Every whole text is then predicted in its map task; nothing is shuffled.
 """
@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,10 +20,9 @@ from dayline.llm.text import LOWER, by_batch, stored, unit_hash, utf8_bytes
 
 GRAMS = (1, 2, 3, 4)
 BUCKETS = 1 << 14
-DIMENSIONS = 16
+DIMENSIONS = 16  # at least; up to 64 if there are more languages
 SAMPLE_DOCS = 1200
 SAMPLE_BYTES = 20_000
-MOST_LANGS = 64
 EPOCHS = 12
 REJECT = 0.01  # the part of the right answers of the calibration texts that may be rejected
 _ASCII = np.zeros(256, bool)
@@ -55,13 +54,14 @@ def training_sample(docs: DataFrame, modulus: int = 4, sample_docs: int = SAMPLE
     """(lang, text): the least hashes of each language among training rows with lang and a letter or more."""
     size = F.octet_length("text")
     usable = docs.where(F.col("lang").isNotNull() & (size > 0) & (size <= SAMPLE_BYTES)
-                        & ~held_out(F.col("doc_id"), modulus)).select(
+                        & ~held_out(F.col("doc_id"), modulus) & F.col("text").rlike(r"\p{L}")).select(
         "lang", "text", unit_hash("language", F.col("doc_id")).alias("key"))
-    langs = stored(usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGS), "langs")
-    share = sample_docs // max(1, langs.count())
-    near = usable.join(F.broadcast(langs), "lang").where(F.col("key") * F.col("n") < float(share) * (1 << 32))
-    # about share rows of each language; equal ids could be many, so the total is bounded as well
-    return stored(near.select("lang", "text", "key").orderBy("key", F.xxhash64("text")).limit(2 * sample_docs), "language-sample")
+    langs = stored(usable.groupBy("lang").agg(F.count("*").alias("n")), "langs")
+    # up to 1,000, Spark ranks in each task before the shuffle, so that equal ids, which could be many, stay few
+    share = min(1000, max(1, sample_docs // max(1, langs.count())))
+    near = usable.join(langs, "lang").where(F.col("key") * F.col("n") < float(2 * share + 20) * (1 << 32))
+    turn = F.row_number().over(Window.partitionBy("lang").orderBy("key", F.xxhash64("text")))
+    return stored(near.withColumn("turn", turn).where(F.col("turn") <= share).select("lang", "text", "key"), "language-sample")
 
 
 def _counted(sample: DataFrame) -> list[tuple[str, np.ndarray, np.ndarray]]:
@@ -91,10 +91,14 @@ def train(sample: list[tuple[str, np.ndarray, np.ndarray]], epochs: int = EPOCHS
         return {"langs": [], "table": np.zeros((BUCKETS, 0), np.float32), "bias": np.zeros(0), "temperature": 1.0, "reject": 0.0}
     rng = np.random.default_rng(seed)
     order = rng.permutation(len(sample))
-    checks, trains = order[:len(order) // 5], order[len(order) // 5:]
-    y = np.array([langs.index(lang) for lang, _, _ in sample])
-    vectors = rng.uniform(-1, 1, (BUCKETS, DIMENSIONS)).astype(np.float32) / DIMENSIONS
-    layer, bias = np.zeros((DIMENSIONS, len(langs)), np.float32), np.zeros(len(langs), np.float32)
+    number = {lang: i for i, lang in enumerate(langs)}
+    y = np.array([number[lang] for lang, _, _ in sample])
+    first = np.isin(np.arange(len(order)), np.unique(y[order], return_index=True)[1])  # one of each language is trained on
+    rest = order[~first]
+    checks, trains = rest[:len(order) // 5], np.concatenate((order[first], rest[len(order) // 5:]))
+    size, epochs = max(DIMENSIONS, min(64, len(langs))), epochs * max(1, len(langs) // 32)
+    vectors = rng.uniform(-1, 1, (BUCKETS, size)).astype(np.float32) / size
+    layer, bias = np.zeros((size, len(langs)), np.float32), np.zeros(len(langs), np.float32)
     squares = [np.full_like(p, 1e-6) for p in (vectors, layer, bias)]
 
     def dense(rows):

@@ -55,3 +55,16 @@ def test_buckets_are_those_of_each_gram():
     want = sorted(((int.from_bytes(padded[i:i + n], "big") + (n << 40)) * 0x9E3779B97F4A7C15 % (1 << 64)) >> 50
                   for n in (1, 2, 3, 4) for i in range(len(padded) - n + 1))
     assert sorted(language.buckets(data).tolist()) == want
+
+
+def test_many_languages(spark):
+    letters = [chr(0x4E00 + i) for i in range(70 * 6)]
+    rng = random.Random(4)
+    data = [(i, " ".join(rng.choices(letters[i % 70 * 6:i % 70 * 6 + 6], k=30)), f"l{i % 70}", "a", 0) for i in range(70 * 12)]
+    data += [(5000 + i, "12 34", "l3", "a", 0) for i in range(100)]  # nothing to learn from
+    got = [r for r in language.identify(frame(spark, data)).collect() if r.held_out and r.doc_id < 5000]
+    assert np.mean([r.lang_pred == r.lang for r in got]) > 0.9
+    assert len({r.lang_pred for r in got}) == len({r.lang for r in got}) > 64
+    few = language.training_sample(frame(spark, data), sample_docs=30).collect()
+    assert sorted(r.lang for r in few) == sorted({f"l{i}" for i in range(70)})
+    assert len(language.train([(f"l{i}", np.array([i]), np.ones(1, np.float32)) for i in range(70)], epochs=1)["langs"]) == 70
