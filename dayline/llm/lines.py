@@ -27,7 +27,7 @@ from dayline.llm.components import components
 from dayline.llm.text import prefix_hashes, range_hashes, scramble, stored
 
 EDITS = 2
-LEAST = 24  # code points; shorter lines are the same only if equal
+LEAST = 1  # code points; of lines with no more than EDITS, some segments are empty and all such lines meet
 SLICE = 1 << 22  # code points of distinct lines that a task signs at a time
 POINTS = 1 << 18  # code points that one vector operation works on
 FILTER_WORDS = 1 << 18
@@ -377,8 +377,8 @@ def repeated_lines(docs: DataFrame, edits: int = EDITS, refine_above: int = REFI
     """One row per row of ``docs`` (doc_id, text): which of its lines go.
 
     Columns: doc_id, text_hash, n_lines (with a word), n_links (of its lines to other distinct lines),
-    removed_lines (numbers from 0, ascending) and n_removed. Lines link if equal, or if both have
-    ``LEAST`` code points and at most ``edits`` edits lie between them; of each class of linked lines
+    removed_lines (numbers from 0, ascending) and n_removed. Lines link if at most ``edits`` edits lie
+    between them, however short they are; of each class of linked lines
     the first goes on, by doc_id and line number. Null and empty texts have no lines; a null doc_id
     comes last; rows that share a doc_id are one document, so repeated rows fare alike; an empty table
     gives an empty result; further columns are not looked at.

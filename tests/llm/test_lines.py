@@ -108,6 +108,19 @@ def test_against_plain(spark, refine_above):
     assert all(r.n_removed == len(r.removed_lines) for r in got) and sum(w[2] for w in want) > 100
 
 
+@pytest.mark.parametrize("refine_above", [3, 1000])
+def test_short_lines_against_plain(spark, refine_above):
+    rng = random.Random(6)
+    short = ["Are is anwh reenen.", "Are, is anwh reenen.", "今天天气很好。", "今天天氣很好", "x", "ab", "cde", "wxyz"]
+    short += ["".join(rng.choices("abcdefgh", k=rng.randrange(1, 12))) for _ in range(60)]
+    rows = [(i, "\n".join(rng.sample(short, 3)), "en", "a", 0) for i in range(40)] \
+        + [(100, short[0], "en", "a", 0), (101, short[1], "en", "a", 0)]
+    want = plain(rows)
+    got = lines.repeated_lines(frame(spark, rows), refine_above=refine_above).collect()
+    assert sorted([(r.doc_id, r.n_lines, r.n_links, r.removed_lines) for r in got], key=repr) == want
+    assert distance(*short[:2]) <= 2 and {r.doc_id: r.n_links for r in got}[101] >= 1
+
+
 def test_texts(spark):
     rows = [(1, "one and the same line for all of them\nown", "en", "a", 0), (2, "one and the same line for all of then\nx", "en", "b", 0),
             (3, None, "en", "a", 0)]
