@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from pyspark.sql import functions as F
 
-from dayline.llm import decontamination, language, lines, lm, mixing, quality, repeats, rules, sharding, simhash
+from dayline.llm import decontamination, language, lines, lm, mixing, quality, repeats, rules, sharding, simhash, turns
 from dayline.llm.text import table
 from dayline.queries import query
 
@@ -169,6 +169,14 @@ def op10_line_dedup(spark, sf_dir):
     return found.select("doc_id", "n_lines", "n_removed", "n_links", "removed_lines")
 
 
+@query()
+def op11_conversation_repair(spark, sf_dir):
+    """Faults, cheapest edits and the hash of the repaired rows of each damaged conversation."""
+    rows = turns.damaged(table(spark, sf_dir, "conversations"))
+    gone = rows.groupBy("conv_id").agg(F.max("alive").alias("alive")).where(~F.col("alive"))
+    return turns.audits(rows.where("alive"), gone)
+
+
 @query(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, sf_dir):
     """The documents that the corpus pipeline keeps, mixes and places."""
