@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import corpus_pipeline
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from dayline.llm import decontamination, language, lines, lm, mixing, quality, repeats, rules, sharding, simhash, turns
+from dayline.llm import bpe, decontamination, language, lines, lm, mixing, quality, repeats, rules, sharding, simhash, turns
 from dayline.llm.text import table
 from dayline.queries import query
 
@@ -177,6 +178,17 @@ def op11_conversation_repair(spark, sf_dir):
     return turns.audits(rows.where("alive"), gone)
 
 
+@query()
+def op12_bpe(spark, sf_dir):
+    """Number and hash of the ids of each document, and the hash of what they decode to."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), path, ["doc_id"])
+    return bpe.decode(encoded, path).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"))
+
+
 @query(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, sf_dir):
     """The documents that the corpus pipeline keeps, mixes and places."""
