@@ -6,7 +6,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from dayline.llm import bpe, decontamination, language, lines, lm, mixing, quality, repeats, rules, sharding, simhash, turns
+from dayline.llm import bpe, decontamination, language, lines, lm, mixing, phrases, quality, repeats, rules, sharding, simhash, turns
 from dayline.llm.text import table
 from dayline.queries import query
 
@@ -189,6 +189,37 @@ def op12_bpe(spark, sf_dir):
         F.sha2("text", 256).alias("decoded_sha256"))
 
 
+PHRASES_SQL = """
+    WITH d AS (SELECT coalesce(lang, 'und') AS lang,
+                      unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                   '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+    w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS words FROM d),
+    totals AS (SELECT lang, CAST(sum(len(words)) AS BIGINT) AS n FROM w GROUP BY lang),
+    g AS (SELECT lang, size, array_to_string(words[i:i + size - 1], ' ') AS phrase
+          FROM (SELECT lang, words, size, unnest(generate_series(1, len(words) - size + 1)) AS i FROM w, (VALUES (1), (2), (3)) s(size))),
+    f AS (SELECT lang, size, phrase, count(*) AS f FROM g GROUP BY lang, size, phrase HAVING count(*) >= 10),
+    c AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS words FROM f WHERE size > 1),
+    cuts AS (SELECT lang, phrase, a, k, array_to_string(words[1:k], ' ') AS lhs, array_to_string(words[k + 1:], ' ') AS rhs
+             FROM (SELECT *, unnest(generate_series(1, size - 1)) AS k FROM c)),
+    scored AS (SELECT cuts.*, x.f AS l, y.f AS r,
+                      CAST((CAST(1000000 AS HUGEINT) * a * a) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+               FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = lhs JOIN f y ON y.lang = cuts.lang AND y.phrase = rhs),
+    best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+    longer AS (SELECT lang, phrase, max(a) AS most FROM (
+                   SELECT lang, a, unnest([array_to_string(words[1:2], ' '), array_to_string(words[2:3], ' ')]) AS phrase
+                   FROM c WHERE size = 3) GROUP BY lang, phrase),
+    kept AS (SELECT best.* FROM best LEFT JOIN longer USING (lang, phrase) WHERE most IS NULL OR 100 * most < 50 * a)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+    FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000
+"""
+
+
+@query(PHRASES_SQL)
+def op13_collocations(spark, sf_dir):
+    """The phrases of each language whose words stand together most."""
+    return phrases.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
 @query(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, sf_dir):
     """The documents that the corpus pipeline keeps, mixes and places."""
