@@ -16,23 +16,27 @@ chunk's automaton, and a frequent first word is cut into several ranges.
 from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
+from collections.abc import Iterator
 from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dayline.llm.text import BLOCK, LOWER, blocks, scramble, stored, utf8_bytes, word_spans
+from dayline.llm.text import (BLOCK, LOWER, blocks, pack, pack_words, scramble, stored, unpack, unpack_words, utf8_bytes,
+                              word_spans)
 
 LEAST_COUNT = 10
 CONTAINED = 50  # per cent of a phrase's count in a longer one, from which the phrase is dropped
 TOP = 2000
-CHUNK_BYTES = 12 << 20  # of text for one automaton
-RANGE_BYTES = 24 << 20  # of text that a range stands for
-MOST_RANGES = 65_536  # the list of bounds goes to each task
-SAMPLE_POINTS = 200_000  # phrases that the bounds are chosen from, at most
+CHUNK_BYTES = 8 << 20  # of text for one automaton
+RANGE_BYTES = 10 << 20  # of text that a range stands for
+FAN = 128  # parts that an automaton is cut into at once
+MOST_RANGES = 1 << 20  # the list of bounds goes to each task
+SAMPLE_POINTS = 200_000  # phrases that the bounds are chosen from, or eight a range
 SALTS = 64
 _SPLITS = np.zeros(256, bool)
 _SPLITS[[*b".,;:!?", *range(10, 14)]] = True
@@ -137,15 +141,15 @@ def _summed(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndar
     keys = keys[order]
     new = np.ones(len(keys), bool)
     new[1:] = keys[1:] != keys[:-1]
-    firsts, place = np.flatnonzero(new), np.empty(len(keys), np.int64)
-    place[order] = np.cumsum(new) - 1
+    firsts, place = np.flatnonzero(new), np.empty(len(keys), np.int32)
+    place[order] = np.cumsum(new, dtype=np.int32) - 1
     if counts is None:
         return keys[firsts], np.diff(np.append(firsts, len(keys))), place
     return keys[firsts], np.add.reduceat(counts[order], firsts) if len(firsts) else counts[:0], place
 
 
 def _halves(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    return (keys >> np.uint64(32)).astype(np.int32), keys.astype(np.uint32).astype(np.int32)
 
 
 def _in_order(words: pa.Array | pa.ChunkedArray) -> tuple[pa.Array, np.ndarray]:
@@ -153,7 +157,7 @@ def _in_order(words: pa.Array | pa.ChunkedArray) -> tuple[pa.Array, np.ndarray]:
     found = words.combine_chunks() if isinstance(words, pa.ChunkedArray) else words
     found = (found.combine_chunks() if isinstance(found, pa.ChunkedArray) else found).dictionary_encode()
     order = pc.sort_indices(found.dictionary).to_numpy()
-    rank = np.empty(len(order), np.int64)
+    rank = np.empty(len(order), np.int32)
     rank[order] = np.arange(len(order))
     return found.dictionary.take(pa.array(order)), rank[found.indices.to_numpy()]
 
@@ -261,28 +265,13 @@ class Transducer:
         return Phrases(self.labels, lang, self.w1[at1], self.c1[at1], p2, self.w2[at2], self.c2[at2], p3, self.w3[at3], self.c3[at3])
 
     def dumps(self) -> bytes:
-        letters, ends = utf8_bytes(self.labels)
-        parts = [letters, np.diff(ends), *[getattr(self, f.name) for f in fields(self)[1:]]]
-        head, body = [], []
-        for x in parts:
-            kind = next(k for k in (1, 2, 4, 8) if not len(x) or int(x.max()) < 1 << 8 * k)
-            head += [kind, len(x)]
-            body.append(x.astype(f"<u{kind}").tobytes())
-        data = np.array(head, "<i8").tobytes() + b"".join(body)
-        return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+        return pack([*pack_words(self.labels), *[getattr(self, f.name) for f in fields(self)[1:]]])
 
     @classmethod
     def loads(cls, data: bytes) -> Transducer:
-        data = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
-        n = len(fields(cls)) + 1
-        head, at, parts = np.frombuffer(data, "<i8", 2 * n).reshape(n, 2), 16 * n, []
-        for kind, size in head:
-            parts.append(np.frombuffer(data, f"<u{kind}", size, at))
-            at += int(kind * size)
-        letters, sizes, *rest = parts
-        offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-        labels = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(letters.tobytes())])
-        return cls(labels, *[x.astype(np.int64) for x in rest])
+        sizes, letters, *rest = unpack(data)
+        return cls(unpack_words(sizes, letters), *[x.astype(np.int64) if f.name in ("c1", "c2", "c3") else x
+                                                   for f, x in zip(fields(cls)[1:], rest)])
 
 
 def composed(asked: Phrases, counts: Phrases) -> tuple[np.ndarray, np.ndarray]:
@@ -344,7 +333,7 @@ def _bounds(texts: DataFrame, range_bytes: int) -> list[tuple[bytes, ...]]:
     if ranges < 2:
         return []
     share = min(1.0, max(0.01, 4e6 / size))
-    stride = max(8, int(size * share / 6 / SAMPLE_POINTS))
+    stride = max(8, int(size * share / 6 / max(SAMPLE_POINTS, 8 * ranges)))
 
     def run(batches):
         for batch in batches:
@@ -361,17 +350,36 @@ def _bounds(texts: DataFrame, range_bytes: int) -> list[tuple[bytes, ...]]:
     return sorted({found[i * len(found) // ranges] for i in range(1, ranges)}) if found else []
 
 
-def _united_ranges(texts: DataFrame, bounds: list[tuple[bytes, ...]], least: int, chunk_bytes: int) -> DataFrame:
-    """(range, lang, n, phrases): words of each language, and the automaton of frequent phrases, by range."""
+def _cut(whole: Phrases, bounds: list[tuple[bytes, ...]], first: int) -> Iterator[tuple[int, bytes]]:
+    """The automata of the parts between the bounds, numbered from ``first``; empty ones are left out."""
+    ends = [(0, 0, 0), *whole.cuts(bounds), (len(whole.w1), len(whole.w2), len(whole.w3))]
+    for i, (a, b) in enumerate(zip(ends, ends[1:])):
+        if a != b:
+            yield first + i, Transducer.of(whole.part(a, b)).dumps()
+
+
+def _whole(parts: pa.ChunkedArray) -> Phrases:
+    return united([Transducer.loads(x).tree() for x in parts.to_pylist()])
+
+
+def _united_ranges(texts: DataFrame, bounds: list[tuple[bytes, ...]], least: int, chunk_bytes: int, fan: int) -> DataFrame:
+    """(range, lang, n, phrases): words of each language, and the automaton of frequent phrases, by range.
+
+    An automaton is cut into ``fan`` parts at most. Where there are more ranges, the parts of ``fan``
+    (or its square, ...) neighbouring ranges are first united in as many batches as they have ranges,
+    each of which is cut anew, so that no part gets small.
+    """
+    width = 1
+    while (len(bounds) + 1) > fan * width:
+        width *= fan
+
     def parts(batches):
+        number = TaskContext.get().partitionId() * 7919
+
         def cut(held: _Words):
-            whole = held.tree()
-            ends = [(0, 0, 0), *whole.cuts(bounds), (len(whole.w1), len(whole.w2), len(whole.w3))]
-            found = [(i, whole.part(a, b)) for i, (a, b) in enumerate(zip(ends, ends[1:])) if a != b]
-            for i in range(0, len(found), 50):
-                some = found[i:i + 50]
-                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in some], pa.int32()),
-                                                  pa.array([Transducer.of(x).dumps() for _, x in some], pa.binary())], names=["range", "part"])
+            found = list(_cut(held.tree(), bounds[width - 1::width], 0))
+            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], pa.int32()), pa.array([number % width] * len(found), pa.int32()),
+                                              pa.array([x for _, x in found], pa.binary())], names=["range", "batch", "part"])
         held = _Words()
         for batch in batches:
             for i in range(0, batch.num_rows, 500):
@@ -379,12 +387,20 @@ def _united_ranges(texts: DataFrame, bounds: list[tuple[bytes, ...]], least: int
                 held.add(piece.column(0).to_pylist(), piece.column(1))
                 if held.size >= chunk_bytes:
                     yield from cut(held)
-                    held = _Words()
+                    held, number = _Words(), number + 1
         if held.size:
             yield from cut(held)
 
+    def finer(wide: int, narrow: int):
+        def run(table: pa.Table) -> pa.Table:
+            at, batch = table.column("range")[0].as_py(), table.column("batch")[0].as_py()
+            found = list(_cut(_whole(table.column("part")), bounds[at * wide + narrow - 1:(at + 1) * wide - 1:narrow], at * (wide // narrow)))
+            return pa.table([pa.array([k for k, _ in found], pa.int32()), pa.array([batch % narrow] * len(found), pa.int32()),
+                             pa.array([x for _, x in found], pa.binary())], names=["range", "batch", "part"])
+        return run
+
     def unite(table: pa.Table) -> pa.Table:
-        whole = united([Transducer.loads(x).tree() for x in table.column("part").to_pylist()])
+        whole = _whole(table.column("part"))
         langs, at = np.unique(whole.lang, return_inverse=True)
         sums = np.zeros(len(langs), np.int64)
         np.add.at(sums, at, whole.c1)
@@ -394,7 +410,12 @@ def _united_ranges(texts: DataFrame, bounds: list[tuple[bytes, ...]], least: int
                          "n": pa.array([*sums.tolist(), None], pa.int64()),
                          "phrases": pa.array([*[None] * len(langs), Transducer.of(whole.at_least(least)).dumps()], pa.binary())})
 
-    return texts.mapInArrow(parts, "range int, part binary").groupBy("range").applyInArrow(unite, "range int, lang string, n long, phrases binary")
+    schema = "range int, batch int, part binary"
+    dealt = texts.mapInArrow(parts, schema)
+    while width > 1:
+        dealt = dealt.groupBy("range", "batch").applyInArrow(finer(width, width // fan), schema)
+        width //= fan
+    return dealt.groupBy("range").applyInArrow(unite, "range int, lang string, n long, phrases binary")
 
 
 def _candidates(ranges: DataFrame) -> DataFrame:
@@ -443,7 +464,7 @@ def _looked_up(sides: DataFrame, ranges: DataFrame, bounds: list[tuple[bytes, ..
 
 
 def collocations(docs: DataFrame, least: int = LEAST_COUNT, contained: int = CONTAINED, top: int = TOP,
-                 chunk_bytes: int = CHUNK_BYTES, range_bytes: int = RANGE_BYTES) -> DataFrame:
+                 chunk_bytes: int = CHUNK_BYTES, range_bytes: int = RANGE_BYTES, fan: int = FAN) -> DataFrame:
     """The first ``top`` phrases of two and three words of each language of ``docs`` (lang, text).
 
     Columns: lang, rank, phrase, a (its count), l and r (counts of the sides of its lowest-scoring
@@ -456,7 +477,7 @@ def collocations(docs: DataFrame, least: int = LEAST_COUNT, contained: int = CON
     """
     texts = docs.select(F.coalesce("lang", F.lit(NO_LANG)).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     bounds = _bounds(texts, range_bytes)
-    ranges = stored(_united_ranges(texts, bounds, least, chunk_bytes), "phrase-ranges")
+    ranges = stored(_united_ranges(texts, bounds, least, chunk_bytes, fan), "phrase-ranges")
     totals = ranges.where("phrases IS NULL").groupBy("lang").agg(F.sum("n").alias("n"))
     found = stored(_candidates(ranges), "phrase-candidates")
 

@@ -137,3 +137,41 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray):
     stops[last] = inside[last]
     starts = np.flatnonzero(begins)
     return starts, np.flatnonzero(stops) + 1, np.searchsorted(starts, offsets)
+
+
+def pack(arrays: list[np.ndarray]) -> bytes:
+    """Arrays of whole numbers from 0 as compressed bytes; low and high bytes stand apart."""
+    head, body = [], []
+    for x in arrays:
+        kind = 4 if not len(x) or int(x.max()) < 1 << 32 else 8
+        planes = np.ascontiguousarray(x, f"<u{kind}").view(np.uint8).reshape(-1, kind).T
+        kind = max((i + 1 for i in range(kind) if planes[i].any()), default=1)
+        head += [kind, len(x)]
+        body.append(np.ascontiguousarray(planes[:kind]).tobytes())
+    data = np.array([len(arrays), *head], "<i8").tobytes() + b"".join(body)
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def unpack(packed: bytes) -> list[np.ndarray]:
+    """What :func:`pack` was given, as 32-bit or, where needed, 64-bit numbers."""
+    data = np.frombuffer(pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), codec="zstd", asbytes=True), np.uint8)
+    n = int(data[:8].view("<i8")[0])
+    at, out = 8 + 16 * n, []
+    for kind, size in data[8:at].view("<i8").reshape(n, 2).tolist():
+        width = 4 if kind < 4 else 8
+        whole = np.zeros((size, width), np.uint8)
+        whole[:, :kind] = data[at:at + kind * size].reshape(kind, size).T
+        out.append(whole.reshape(-1).view(f"<i{width}"))
+        at += kind * size
+    return out
+
+
+def pack_words(words: pa.Array) -> list[np.ndarray]:
+    """Two arrays for :func:`pack`: the sizes of the words and their bytes."""
+    letters, ends = utf8_bytes(words)
+    return [np.diff(ends), letters]
+
+
+def unpack_words(sizes: np.ndarray, letters: np.ndarray) -> pa.Array:
+    ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(letters.astype(np.uint8).tobytes())])

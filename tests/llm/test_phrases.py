@@ -59,9 +59,10 @@ def test_many_chunks_and_ranges(spark):
     """Chunks of a few texts and ranges that cut between phrases of one first word."""
     rows = corpus(300, 5)
     docs = frame(spark, rows).repartition(5)
-    got = collocations(docs, least=3, top=40, chunk_bytes=3000, range_bytes=4000)
-    assert sorted(map(tuple, got.collect())) == plain(rows, 3, top=40)
-    assert len(phrases._bounds(docs.selectExpr("coalesce(lang, 'und') AS lang", "coalesce(text, '') AS text"), 4000)) > 8
+    for fan in (128, 3):  # 3: three rounds of cutting
+        got = collocations(docs, least=3, top=40, chunk_bytes=3000, range_bytes=4000, fan=fan)
+        assert sorted(map(tuple, got.collect())) == plain(rows, 3, top=40)
+    assert len(phrases._bounds(docs.selectExpr("coalesce(lang, 'und') AS lang", "coalesce(text, '') AS text"), 4000)) > 9
 
 
 def test_sql_on_cases(spark):
