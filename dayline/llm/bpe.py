@@ -2,30 +2,36 @@
 
 Spark splits texts into words by the tokenizer's own pattern. A task replaces the words of a chunk of
 documents by codes into the chunk's list of distinct words; these lists, not the texts, are shuffled.
-The union of the lists is the table of distinct words of the corpus: each is encoded once, by the
-tokenizer's merges, and its ids are joined back to the lists and, by chunk, to the codes, which stand
-in the order of the text. Decoding joins ids to their pieces. The table of pieces is as long as the
+The union of the lists is the table of distinct words of the corpus, kept in parts by a hash of the
+word: each is encoded once, by the tokenizer's merges, and its ids are joined back to the lists and, by
+chunk, to the codes, which stand in the order of the text. Decoding joins ids to their pieces. The table of pieces is as long as the
 vocabulary (50,257 entries here), so it goes to each task; no table that grows with the corpus does.
 """
 
 from __future__ import annotations
 
 import json
+import os
 import re
-from collections.abc import Callable, Iterator
+import uuid
+from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from dayline.llm.text import blocks, stored, utf8_bytes
+from dayline.llm.text import blocks, pack, pack_words, prefix_hashes, range_hashes, unpack, unpack_words, utf8_bytes
+from dayline.session import scratch_path
 
-CHUNK_BYTES = 16 << 20  # of words that share a list
+CHUNK_BYTES = 12 << 20  # of words that share a list
+PART_BYTES = 8 << 20  # of text for which the table of distinct words has one part
 # Unicode's white space, and the words of the byte-level pattern.
 WHITE = "".join(rf"\x{{{i:X}}}" for i in (*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^" + WHITE + r"\p{L}\p{N}]+"
@@ -107,47 +113,55 @@ def words_by_tokenizer(text: str, vocabulary: Vocabulary) -> list[str]:
             for x in ([part] if i % 2 else [part[a:b] for _, (a, b) in split(part)])]
 
 
-def packed(codes: np.ndarray) -> bytes:
-    """Codes as planes of low and high bytes, compressed."""
-    planes = codes.astype("<u4").view(np.uint8).reshape(-1, 4).T
-    return pa.compress(np.ascontiguousarray(planes), codec="zstd", asbytes=True)
+def _parts(words: pa.Array, parts: int) -> np.ndarray:
+    """The part of the word table that each word belongs to."""
+    data, ends = utf8_bytes(words)
+    return (range_hashes(prefix_hashes(data), ends[:-1], ends[1:]) % np.uint64(parts)).astype(np.int64)
 
 
-def unpacked(data: bytes, n: int) -> np.ndarray:
-    planes = np.frombuffer(pa.decompress(data, 4 * n, codec="zstd", asbytes=True), np.uint8)
-    return np.ascontiguousarray(planes.reshape(4, n).T).view("<u4").reshape(n)
-
-
-def _coded(docs: DataFrame, kept: list[T.StructField], vocabulary: Vocabulary) -> DataFrame:
-    """Rows of documents (kept columns, chunk, n, codes) and of words (chunk, code, word)."""
+def _coded(docs: DataFrame, kept: list[T.StructField], vocabulary: Vocabulary, parts: int) -> DataFrame:
+    """Of each chunk: a row for each document (kept columns and its number of words), one with the codes
+    of all words in order and the part of each code's word, and one for each part of the word table with
+    the chunk's words there, in order of their codes.
+    """
     schema = T.StructType([*kept, *[T.StructField(k, t) for k, t in (
-        ("chunk", T.LongType()), ("n", T.IntegerType()), ("codes", T.BinaryType()), ("code", T.IntegerType()), ("word", T.StringType()))]])
+        ("chunk", T.LongType()), ("at", T.IntegerType()), ("n", T.IntegerType()), ("part", T.IntegerType()), ("data", T.BinaryType()))]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrow, chunk = to_arrow_schema(schema), TaskContext.get().partitionId() << 32
 
         def batch(rows: int, /, **columns) -> pa.RecordBatch:
+            columns["chunk"] = pa.array(np.full(rows, chunk))
             return pa.RecordBatch.from_arrays([columns[f.name].cast(f.type) if f.name in columns else pa.nulls(rows, f.type)
                                                for f in arrow], schema=arrow)
 
-        def coded(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            lists = pa.chunked_array([split(b) for b in held]).combine_chunks()
-            table = lists.flatten().dictionary_encode()
-            ends, found = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())]), table.indices.to_numpy()
-            often = np.argsort(-np.bincount(found, minlength=len(table.dictionary)), kind="stable")
-            rank = np.empty(len(often), np.uint32)
-            rank[often] = np.arange(len(often))
-            codes = rank[found]
+        def coded(held: list[tuple]) -> Iterator[pa.RecordBatch]:
             place = 0
-            for b in held:
-                own = [packed(codes[ends[i]:ends[i + 1]]) for i in range(place, place + b.num_rows)]
-                yield batch(b.num_rows, **{f.name: b.column(i) for i, f in enumerate(kept)},
-                            chunk=pa.array(np.full(b.num_rows, chunk)), n=pa.array(np.diff(ends[place:place + b.num_rows + 1])),
-                            codes=pa.array(own, pa.binary()))
-                place += b.num_rows
-            for i in range(0, len(often), 100_000):
-                part = table.dictionary.take(pa.array(often[i:i + 100_000]))
-                yield batch(len(part), chunk=pa.array(np.full(len(part), chunk)), code=pa.array(np.arange(i, i + len(part))), word=part)
+            for columns, counts, _, _ in held:
+                yield batch(len(counts), **{f.name: c for f, c in zip(kept, columns)}, n=counts,
+                            at=pa.array(np.arange(place, place + len(counts))))
+                place += len(counts)
+            table = pa.concat_arrays([words for _, _, words, _ in held]).dictionary_encode()
+            firsts = np.cumsum([0, *[len(words) for _, _, words, _ in held]])
+            found, where = np.concatenate([codes + np.int32(k) for (*_, codes), k in zip(held, firsts)]), table.indices.to_numpy()
+            held.clear()
+            found = where[found]
+            # the most frequent words first, others by name: both compress best
+            often = np.bincount(found, minlength=len(table.dictionary))
+            order = pc.sort_indices(table.dictionary).to_numpy()
+            order = order[np.argsort(-often[order], kind="stable")]
+            code = np.empty(len(order), np.int32)
+            code[order] = np.arange(len(order))
+            words = table.dictionary.take(pa.array(order)).cast(pa.binary())
+            of = _parts(words, parts)
+            yield batch(1, data=pa.array([pack([code[found], of])], pa.binary()))
+            by_part = np.argsort(of, kind="stable")
+            words, ends = words.take(pa.array(by_part)), np.searchsorted(of[by_part], np.arange(parts + 1))
+            full = np.flatnonzero(np.diff(ends))
+            for i in range(0, len(full), 256):
+                some = full[i:i + 256]
+                data = [pack(pack_words(words.slice(ends[k], ends[k + 1] - ends[k]))) for k in some]
+                yield batch(len(some), part=pa.array(some), data=pa.array(data, pa.binary()))
 
         def split(b: pa.RecordBatch) -> pa.Array:
             lists, text = b.column(len(kept)), b.column(len(kept) + 1)
@@ -159,9 +173,14 @@ def _coded(docs: DataFrame, kept: list[T.StructField], vocabulary: Vocabulary) -
         held, size = [], 0
         for b in batches:
             for i in range(0, b.num_rows, 500):
-                part = b.slice(i, 500)
-                held.append(part)
-                size += part.column(len(kept)).flatten().nbytes
+                own = b.slice(i, 500)
+                lists = split(own)
+                words = lists.flatten()
+                size += words.nbytes
+                table = words.dictionary_encode()
+                rows = pa.array(np.arange(own.num_rows))  # copies, so that no batch is held
+                held.append(([own.column(k).take(rows) for k in range(len(kept))], lists.value_lengths(), table.dictionary,
+                             table.indices.to_numpy()))
                 if size >= CHUNK_BYTES:
                     yield from coded(held)
                     held, size, chunk = [], 0, chunk + 1
@@ -174,18 +193,37 @@ def _coded(docs: DataFrame, kept: list[T.StructField], vocabulary: Vocabulary) -
         .mapInArrow(run, schema)
 
 
-def word_ids(distinct: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(word, ids): each word encoded once; ids are 32-bit numbers end to end."""
-    def run(batches):
-        import os
+def _by_chunk(coded: DataFrame, buckets: int) -> DataFrame:
+    """The rows as a table in buckets of chunks, so that the codes are not shuffled after they are written."""
+    spark, name = coded.sparkSession, f"bpe_codes_{uuid.uuid4().hex}"
+    coded.write.bucketBy(min(buckets, 50_000), "chunk").option("path", scratch_path(spark, "bpe-codes")).saveAsTable(name)
+    return spark.table(name)
+
+
+def encoded_words(lists: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """(list, part, ids): the ids of the words of each row of ``lists`` (chunk, part, data), in their order.
+
+    All words of a part are in one group, so each distinct word is encoded once.
+    """
+    def run(group: pa.Table) -> pa.Table:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encode = vocabulary.tokenizer().encode_batch
-        for batch in batches:
-            for i in range(0, batch.num_rows, 5000):
-                part = batch.column(0).slice(i, 5000)
-                ids = [np.array(x.ids, "<i4").tobytes() for x in encode(part.to_pylist(), add_special_tokens=False)]
-                yield pa.RecordBatch.from_arrays([part, pa.array(ids, pa.binary())], names=["word", "ids"])
-    return distinct.select("word").mapInArrow(run, "word string, ids binary")
+        own = [unpack_words(*unpack(x)) for x in group.column("data").to_pylist()]
+        table = pa.concat_arrays(own).dictionary_encode()
+        encode, found, counts = vocabulary.tokenizer().encode_batch, [], []
+        for i in range(0, len(table.dictionary), 2000):
+            some = [x.ids for x in encode(table.dictionary.slice(i, 2000).cast(pa.string()).to_pylist(), add_special_tokens=False)]
+            found.append(np.fromiter(chain.from_iterable(some), np.int32))
+            counts.append(np.fromiter(map(len, some), np.int64, len(some)))
+        sizes = np.concatenate(counts)
+        ids, starts = np.concatenate(found), np.cumsum(sizes) - sizes
+        codes, at, data = table.indices.to_numpy(), 0, []
+        for words in own:
+            mine = codes[at:at + len(words)]
+            data.append(pack([sizes[mine], taken(ids, starts, sizes, mine)[0]]))
+            at += len(words)
+        return pa.table([group.column("chunk"), group.column("part"), pa.array(data, pa.binary())], names=["list", "part", "ids"])
+
+    return lists.select("chunk", "part", "data").groupBy("part").applyInArrow(run, "list long, part int, ids binary")
 
 
 def taken(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -207,24 +245,30 @@ def encode(docs: DataFrame, path: str, keep: list[str], text: str = "text") -> D
     vocabulary = Vocabulary(path)
     kept = [T.StructField(f"_k{i}", docs.schema[c].dataType) for i, c in enumerate(keep)]
     inner = docs.select(*[F.col(f"`{c}`").alias(f.name) for c, f in zip(keep, kept)], F.col(f"`{text}`").alias("_text"))
-    coded = stored(_coded(inner, kept, vocabulary), "bpe-codes")
-    lists = coded.where("word IS NOT NULL").select("chunk", "code", "word")
-    found = lists.join(word_ids(lists.select("word").distinct(), vocabulary), "word").select(F.col("chunk").alias("list"), "code", "ids")
-    texts = coded.where("codes IS NOT NULL").select(*[f.name for f in kept], "chunk", "n", "codes")
+    size = inner.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
+    coded = _by_chunk(_coded(inner, kept, vocabulary, -(-size // PART_BYTES) or 1), max(8, 2 * (size // CHUNK_BYTES)))
+    ids = encoded_words(coded.where("part IS NOT NULL"), vocabulary)
     schema = T.StructType([*kept, T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        order = np.argsort(right.column("code").to_numpy())
-        ids, ends = utf8_bytes(right.column("ids").take(pa.array(order)))
-        starts, sizes = ends[:-1] // 4, np.diff(ends) // 4
-        n = left.column("n").to_numpy()
-        codes = [unpacked(x, k) for x, k in zip(left.column("codes").to_pylist(), n)]
-        found, ends = taken(np.frombuffer(ids.tobytes(), "<i4"), starts, sizes, np.concatenate(codes) if codes else np.zeros(0, np.uint32))
-        offsets = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(n)])]
-        column = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(found, pa.int32()))
-        return pa.table([*[left.column(f.name) for f in kept], column], schema=to_arrow_schema(schema))
-
-    met = texts.groupBy("chunk").cogroup(found.groupBy("list")).applyInArrow(run, schema)
+        docs = left.filter(pc.is_valid(left.column("n"))).sort_by("at")
+        lists = [unpack(x) for x in right.sort_by("part").column("ids").to_pylist()]
+        codes, of = unpack(left.filter(pc.is_valid(left.column("data"))).column("data")[0].as_py())
+        by_part = np.concatenate([np.zeros(0, np.int64), *[x for x, _ in lists]])
+        data = np.concatenate([np.zeros(0, np.int32), *[x for _, x in lists]]).astype(np.int32)
+        sizes, starts = np.empty(len(of), np.int64), np.empty(len(of), np.int64)
+        place = np.argsort(of, kind="stable")
+        sizes[place], starts[place] = by_part, np.cumsum(by_part) - by_part
+        edges, found, ends = np.concatenate([[0], np.cumsum(docs.column("n").to_numpy())]), [], [np.zeros(1, np.int64)]
+        for first, last in blocks(edges):
+            ids, own = taken(data, starts, sizes, codes[edges[first]:edges[last]])
+            found.append(ids)
+            ends.append(ends[-1][-1] + np.concatenate([[0], own])[edges[first + 1:last + 1] - edges[first]])
+        column = pa.ListArray.from_arrays(pa.array(np.concatenate(ends), pa.int32()), pa.array(np.concatenate([data[:0], *found]), pa.int32()))
+        return pa.table([*[docs.column(f.name) for f in kept], column], schema=to_arrow_schema(schema))
+
+    texts = coded.where("part IS NULL").select(*[f.name for f in kept], "chunk", "at", "n", "data")
+    met = texts.groupBy("chunk").cogroup(ids.groupBy("list")).applyInArrow(run, schema)
     return met.withColumnsRenamed({f.name: c for f, c in zip(kept, keep)})
 
 
@@ -245,18 +289,16 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", text: str = "text")
         data = np.frombuffer(b"".join(x or b"" for x in pieces), np.uint8)
         sizes = np.array([len(x or b"") for x in pieces] + [0], np.int64)  # the last for ids without a piece
         starts = np.concatenate([[0], np.cumsum(sizes[:-1])])
-        for batch in batches:
-            lists = batch.column(at)
-            flat, counts = lists.flatten().to_numpy(zero_copy_only=False), lists.value_lengths().fill_null(0).to_numpy()
-            codes = np.where((flat >= 0) & (flat < len(pieces)), flat, len(pieces)).astype(np.int64)
-            edges = np.concatenate([[0], np.cumsum(counts)])
-            texts: list[str | None] = []
-            for first, last in blocks(edges):
-                got, ends = taken(data, starts, sizes, codes[edges[first]:edges[last]])
-                cut = np.concatenate([[0], ends])[edges[first:last + 1] - edges[first]]
-                whole = got.tobytes()
-                texts += [whole[a:b].decode("utf-8", "replace") for a, b in zip(cut, cut[1:])]
-            texts = [t if ok else None for t, ok in zip(texts, lists.is_valid().to_pylist())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], schema=arrow)
+        for whole in batches:
+            for first, last in blocks(np.concatenate([[0], np.cumsum(whole.column(at).value_lengths().fill_null(0).to_numpy())])):
+                batch = whole.slice(first, last - first)
+                lists = batch.column(at)
+                flat, counts = lists.flatten().to_numpy(zero_copy_only=False), lists.value_lengths().fill_null(0).to_numpy()
+                codes = np.where((flat >= 0) & (flat < len(pieces)), flat, len(pieces)).astype(np.int64)
+                got, ends = taken(data, starts, sizes, codes)
+                cut = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
+                spelled = got.tobytes()
+                texts = [spelled[a:b].decode("utf-8", "replace") if ok else None for a, b, ok in zip(cut, cut[1:], lists.is_valid().to_pylist())]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], schema=arrow)
 
     return encoded.select(*[F.col(f"`{f.name}`") for f in kept]).mapInArrow(run, schema)

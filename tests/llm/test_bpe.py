@@ -1,13 +1,16 @@
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from dayline.llm import bpe
 from dayline.llm.queries import op12_bpe
+from dayline.llm.text import pack, pack_words, unpack, unpack_words
 from tests.llm.cases import documents, frame
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -42,6 +45,7 @@ def test_against_the_library(spark, tmp_path):
 
 def test_small_chunks(spark, monkeypatch):
     monkeypatch.setattr(bpe, "CHUNK_BYTES", 300)
+    monkeypatch.setattr(bpe, "PART_BYTES", 9000)
     rows = corpus()
     docs = frame(spark, rows).repartition(3).withColumnsRenamed({"lang": "chunk", "source": "word", "n_chars": "codes"})
     got = bpe.encode(docs, PATH, ["doc_id", "chunk", "word", "codes"])
@@ -50,11 +54,32 @@ def test_small_chunks(spark, monkeypatch):
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
 
 
-def test_each_word_is_encoded_once(spark):
-    rows = [("the cat",), ("the the",), (" cat",), ("the cat",)]
-    words = spark.createDataFrame(rows, "text string").select(F.explode(bpe.words(F.col("text"), bpe.Vocabulary(PATH))).alias("word"))
-    assert sorted(r.word for r in words.distinct().collect()) == [" cat", " the", "the"]
-    assert sorted(r.word for r in bpe.word_ids(words.distinct(), bpe.Vocabulary(PATH)).collect()) == [" cat", " the", "the"]
+def test_each_word_is_encoded_once(spark, tmp_path):
+    """Rows of one part hold a word several times; the tokenizer sees it once."""
+    lists = [(1, 0, [" cat", "the"]), (2, 0, [" cat", " dog", "the"]), (3, 1, ["!"])]
+    rows = [(c, p, bytearray(pack(pack_words(pa.array(w, pa.string()))))) for c, p, w in lists]
+    tokenizer = Tokenizer.from_file(PATH)
+
+    class Counting(bpe.Vocabulary):
+        def tokenizer(self):
+            class Noted:
+                def encode_batch(_, words, **more):
+                    with open(f"{tmp_path}/seen", "a") as f:
+                        f.writelines(f"{w!r}\n" for w in words)
+                    return super(Counting, self).tokenizer().encode_batch(words, **more)
+            return Noted()
+    got = bpe.encoded_words(spark.createDataFrame(rows, "chunk long, part int, data binary"), Counting(PATH)).collect()
+    want = {c: [i for x in w for i in tokenizer.encode(x, add_special_tokens=False).ids] for c, _, w in lists}
+    assert {r.list: unpack(bytes(r.ids))[1].tolist() for r in got} == want
+    assert sorted(open(f"{tmp_path}/seen").read().splitlines()) == sorted(map(repr, [" cat", "the", " dog", "!"]))
+
+
+def test_packed_arrays():
+    rng = np.random.default_rng(1)
+    arrays = [rng.integers(0, 1 << b, n) for b, n in ((8, 5), (17, 1000), (31, 7), (40, 9), (3, 0), (62, 4))]
+    assert [x.tolist() for x in unpack(pack(arrays))] == [x.tolist() for x in arrays]
+    words = pa.array([b"", b"a", "\u00e9".encode(), b"\x00x"], pa.binary())
+    assert unpack_words(*unpack(pack(pack_words(words)))).to_pylist() == words.to_pylist()
 
 
 def test_characters_that_the_jvm_splits_otherwise_are_unknown_to_it(spark):
