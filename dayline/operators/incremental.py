@@ -18,7 +18,13 @@ def new_rows(source: DataFrame, target: DataFrame, keys: Sequence[str], date: st
     Of a new key all rows, or with ``epoch`` those from that day on. ``measured`` writes the marks
     first, so that few marks are broadcast; sources of a row per key and day do without.
     """
-    marks = high_water_mark(target, date, keys, "_latest")
+    return rows_after(source, high_water_mark(target, date, keys, date), keys, date, epoch, measured)
+
+
+def rows_after(source: DataFrame, marks: DataFrame, keys: Sequence[str], date: str,
+               epoch: str | None = None, measured: bool = True) -> DataFrame:
+    """The same from a table of marks, the newest stored ``date`` of each key: no history is read."""
+    marks = marks.select(*keys, F.col(date).alias("_latest"))
     marked = attach_lookup(source, marks, list(keys), ["_latest"], measured)
     latest = F.col("_latest").cast("date")
     fresh = latest.isNull() if epoch is None else \

@@ -11,13 +11,12 @@ from pyspark.sql import functions as F
 from dayline.functions.columns import AGE_BANDS, RISK_ORDER, reband, row_sum
 from dayline.operators.aggregates import pivot_sum
 from dayline.operators.filters import gate_complete, scan_between
-from dayline.operators.incremental import new_rows
+from dayline.operators.incremental import rows_after
 from dayline.operators.joins import attach_lookup, cover_flag, left_join_all
 from dayline.operators.projections import columns_like
 from dayline.operators.windows import daily_change, latest_row, running_total, share_of
-from dayline.plans.loading import stored
-from dayline.schemas import conform, empty_table
-from dayline.sinks.tables import append_checked, overwrite
+from dayline.schemas import conform
+from dayline.sinks.loads import Latest, append_load, read_latest
 
 KEYS = ["region"]
 ON = ["region", "date"]
@@ -25,6 +24,10 @@ ON = ["region", "date"]
 # The dose columns of the curated table.
 _DOSES = {"first_dose": "new_first_doses", "second_dose": "new_second_doses"}
 _NEW_DOSES = [f"{name}{suffix}" for name in _DOSES.values() for suffix in ("_ag0", "_ag1", "_ag2", "")]
+_TOTALS = {c: c.removeprefix("new_") for c in _NEW_DOSES}
+
+# the last row of each region: its date is the mark, its totals go on
+SEED = Latest(KEYS, "date", [*_TOTALS.values(), "deaths"])
 
 
 class Sources(NamedTuple):
@@ -52,31 +55,32 @@ def dose_table(vaccines: DataFrame) -> DataFrame:
                      name="{col}_ag{value}")
 
 
-def curate(sources: Sources, curated: DataFrame | None = None, lo=None, hi=None) -> DataFrame:
+def curate(sources: Sources, curated: DataFrame | None = None, lo=None, hi=None,
+           seed: DataFrame | None = None) -> DataFrame:
     """Rows to append to ``curated``: everything when it is None or empty, else newer days only.
 
+    ``seed`` has the last curated row of each region; it is looked up in ``curated`` if not given.
+
     A region yields rows only if status, risk, stringency and vaccines all have new days.
     Appending increments gives the same table as one run over all days.
     """
     bounded = {name: scan_between(df, "date", lo, hi)
                for name, df in sources._asdict().items() if name not in ("holidays", "population")}
-    totals = {c: c.removeprefix("new_") for c in _NEW_DOSES}
-    seed = None
-    if curated is not None:
-        # the last row of each region: its date is the mark, its totals go on
-        seed = latest_row(curated.select(*ON, *totals.values(), "deaths"), KEYS, "date")
+    if seed is None and curated is not None:
+        seed = latest_row(curated.select(*ON, *SEED.cols), KEYS, "date")
+    if seed is not None:
         for name in ("status", "risk", "vaccines"):
-            bounded[name] = new_rows(bounded[name], seed, KEYS, "date", lo, measured=False)
+            bounded[name] = rows_after(bounded[name], seed, KEYS, "date", lo, measured=False)
 
     status = gate_complete(bounded["status"], [bounded["risk"], bounded["vaccines"]], KEYS)
     stringency = bounded["stringency"]
     if _keyed(stringency):
-        if curated is not None:
-            stringency = new_rows(stringency, seed, KEYS, "date", lo, measured=False)
+        if seed is not None:
+            stringency = rows_after(stringency, seed, KEYS, "date", lo, measured=False)
         status = gate_complete(status, [stringency], KEYS)
     else:
         status = attach_lookup(status, stringency.agg(F.max("date").alias("_until")), [], ["_until"])
-        if curated is not None:
+        if seed is not None:
             status = attach_lookup(status, seed.select("region", F.col("date").alias("_after")),
                                    KEYS, ["_after"])
         else:
@@ -99,7 +103,7 @@ def curate(sources: Sources, curated: DataFrame | None = None, lo=None, hi=None)
 
     joined = joined.withColumns({c: F.coalesce(F.col(c), F.lit(0)).cast("long") for c in _NEW_DOSES})
     joined = joined.withColumn("hospitalized", row_sum(columns_like(joined, "hospitalized")))
-    out = running_total(joined, KEYS, "date", totals, seed)
+    out = running_total(joined, KEYS, "date", _TOTALS, seed)
     out = daily_change(out, KEYS, "date", {"deaths": "new_deaths"}, seed)
     out = attach_lookup(out, sources.population, KEYS, ["population"])
     out = share_of(out, {"first_doses": "vaccinated_population",
@@ -109,8 +113,12 @@ def curate(sources: Sources, curated: DataFrame | None = None, lo=None, hi=None)
 
 def run_curation(spark: SparkSession, sources: Sources, path: str, reprocess_all: bool = False,
                  lo=None, hi=None, partition_by: Sequence[str] = ()) -> int:
-    """Append the new days to the stored curated table, or build it anew; returns rows written."""
+    """Load the new days into the stored curated table, or build it anew; returns rows written.
+
+    Totals go on from the seeds that the last load has left; curated rows are not read again.
+    :func:`dayline.sinks.loads.read_loads` reads the table.
+    """
     if reprocess_all:
-        return overwrite(curate(sources, None, lo, hi), path, partition_by)
-    curated = stored(spark, path, empty_table(spark, "curated"), partition_by)
-    return append_checked(curate(sources, curated, lo, hi), path, partition_by)
+        return append_load(curate(sources, None, lo, hi), path, partition_by=partition_by, latest=SEED, replace=True)
+    fresh = curate(sources, None, lo, hi, read_latest(spark, path, SEED))
+    return append_load(fresh, path, partition_by=partition_by, latest=SEED)

@@ -9,10 +9,10 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayline.operators.incremental import new_rows
+from dayline.operators.incremental import rows_after
 from dayline.operators.joins import inner_on, via_links
 from dayline.schemas import conform
-from dayline.sinks.tables import append_checked
+from dayline.sinks.loads import Latest, append_load, read_latest
 
 
 class Entity(NamedTuple):
@@ -35,13 +35,20 @@ def stored(spark: SparkSession, path: str, like: DataFrame, partition_by: Sequen
 
 
 def update_entity(spark: SparkSession, entity: Entity) -> int:
-    """Append what is newer than the stored rows; returns how many rows that were."""
-    fresh = entity.landed
+    """Load what is newer than the stored rows; returns how many rows that were.
+
+    The newest stored date of each key comes from the marks that the last load has left; the stored
+    rows are not read. :func:`dayline.sinks.loads.read_loads` reads the table.
+    """
+    fresh, kept = entity.landed, Latest(entity.keys, entity.date)
     if entity.links is not None:
         fresh = via_links(fresh, entity.links.select(*entity.keys).distinct(), entity.keys, "left_semi")
-    have = stored(spark, entity.path, entity.landed, entity.partition_by)
-    fresh = new_rows(fresh, have, entity.keys, entity.date, entity.epoch)
-    return append_checked(fresh, entity.path, entity.partition_by)
+    marks = read_latest(spark, entity.path, kept)
+    if marks is not None:
+        fresh = rows_after(fresh, marks, entity.keys, entity.date, entity.epoch)
+    elif entity.epoch is not None:
+        fresh = fresh.filter(F.col(entity.date) >= F.lit(entity.epoch).cast("date"))
+    return append_load(fresh, entity.path, partition_by=entity.partition_by, latest=kept)
 
 
 def update_all(spark: SparkSession, entities: Mapping[str, Entity],

@@ -14,6 +14,7 @@ from dayline.plans.stations import link_stations, station_table
 from dayline.queries import query
 from dayline.queries.tables import customer_points, event_days, event_days_sql, supplier_shapes, table
 from dayline.session import scratch_path
+from dayline.sinks.loads import Latest, append_load, read_latest, read_loads
 from dayline.streaming.totals import read_totals, totals_stream
 
 _STATUS = ["F", "O", "P"]
@@ -159,7 +160,7 @@ def curated_in_two_increments(spark, sf_dir):
     path = scratch_path(spark, "curated")
     run_curation(spark, sources, path, lo="1990-01-01", hi="1998-06-30")
     run_curation(spark, sources, path, lo="1990-01-01")
-    return _curated_columns(spark.read.parquet(path))
+    return _curated_columns(read_loads(spark, path))
 
 
 @query("""
@@ -234,6 +235,30 @@ def two_updates_add_up(spark, sf_dir):
         F.sum("records").alias("records"), F.max("error").alias("error"))
 
 
+@query(f"""
+    SELECT event_type, date, n, value FROM ({event_days_sql("event_type")})""")
+def updated_table(spark, sf_dir):
+    """Three updates, one of them repeated and one with nothing new: the stored days are all days once."""
+    days, path = event_days(spark, sf_dir, "event_type"), scratch_path(spark, "days")
+    for until in ("2024-01-09", "2024-01-20", "2024-01-20", "2024-12-31"):
+        update_all(spark, {"days": Entity(days.filter(F.col("date") <= until), path, ["event_type"])})
+    return read_loads(spark, path)
+
+
+@query("""
+    SELECT o_custkey, CAST(max(o_orderdate) AS DATE) AS date, max_by(o_orderkey, (o_orderdate, o_orderkey)) AS o_orderkey
+    FROM orders GROUP BY 1""")
+def marks_kept_with_loads(spark, sf_dir):
+    """The newest order of each customer, kept up to date by loads of one status after another."""
+    orders = table(spark, sf_dir, "orders").select(
+        "o_custkey", F.to_date("o_orderdate").alias("date"), "o_orderkey", "o_orderstatus",
+        F.struct("o_orderdate", "o_orderkey").alias("newest"))
+    path, kept = scratch_path(spark, "marks"), Latest(["o_custkey"], "newest", ["date", "o_orderkey"])
+    for status in ("F", "P", "O", "P"):
+        append_load(orders.filter(F.col("o_orderstatus") == status), path, status, latest=kept)
+    return read_latest(spark, path).select("o_custkey", "date", "o_orderkey")
+
+
 @query("""
     SELECT CAST(n_nationkey AS SMALLINT) AS code, n_name AS name, 'TN' AS province,
            CAST(n_regionkey AS DOUBLE) AS lat, CAST(n_nationkey AS DOUBLE) AS lon,

@@ -11,6 +11,7 @@ from dayline.session import scratch_path
 from dayline.sinks.audit import audit_keys, load_report, orphans
 from dayline.sinks.changes import (apply_changes, change_counts, count_where, delete_where, find,
                                    modified_count, update_where)
+from dayline.sinks.loads import append_load, read_loads
 from dayline.sinks.tables import (append_checked, insert_if_absent, overwrite, replace_by_key,
                                   replace_partitions)
 
@@ -22,12 +23,28 @@ from dayline.sinks.tables import (append_checked, insert_if_absent, overwrite, r
 def append_with_row_count(spark, sf_dir):
     path = scratch_path(spark, "orders")
     orders = table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
-    written = append_checked(orders.filter("o_orderstatus = 'F'"), path, ["year"])
-    written += append_checked(orders.filter("o_orderstatus <> 'F'"), path, ["year"])
-    return (spark.read.parquet(path).groupBy("year").agg(F.count(F.lit(1)).alias("n"))
+    written = append_load(orders.filter("o_orderstatus = 'F'"), path, partition_by=["year"])
+    written += append_load(orders.filter("o_orderstatus <> 'F'"), path, partition_by=["year"])
+    return (read_loads(spark, path).groupBy("year").agg(F.count(F.lit(1)).alias("n"))
             .withColumn("written", F.lit(written).cast("long")))
 
 
+@query("""
+    SELECT c_nationkey, count(*) AS n, (SELECT count(*) FROM customer WHERE c_acctbal < 0) AS refused
+    FROM customer WHERE c_acctbal >= 0 GROUP BY 1""")
+def refused_loads_leave_no_rows(spark, sf_dir):
+    """A load with a wrong count is refused; the same rows loaded twice under one name count once."""
+    path, customers = scratch_path(spark, "customers"), table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    good, bad = customers.filter("c_acctbal >= 0"), customers.filter("c_acctbal < 0")
+    append_load(good, path, "good")
+    try:
+        append_load(bad, path, "bad", expected=-1)
+    except ValueError:
+        append_load(good, path, "good")
+    return (read_loads(spark, path).groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n"))
+            .withColumn("refused", bad.agg(F.count(F.lit(1)).alias("n")).scalar()))
+
+
 @query("""
     WITH e AS (SELECT user_id, CAST(ts AS DATE) AS date, event_id, value FROM events),
     stored AS (SELECT DISTINCT user_id, date FROM e WHERE date < DATE '2024-01-11'),

@@ -14,6 +14,7 @@ from dayline.plans.modelling import (forecast_run, model_series, read_forecasts,
 from dayline.plans.stations import link_stations, station_table
 from dayline.schemas import empty_table, schema_of
 from dayline.session import scratch_path
+from dayline.sinks.loads import read_loads
 from dayline.sinks.tables import replace_by_key
 from dayline.streaming.totals import read_totals, totals_stream, write_batch
 
@@ -88,10 +89,10 @@ def test_stored_curation_appends_once_and_reprocesses(spark, sources, rows):
     first = run_curation(spark, sources, path, hi=at(9))
     rest = run_curation(spark, sources, path)
     assert run_curation(spark, sources, path) == 0
-    grown = rows(spark.read.parquet(path))
+    grown = rows(read_loads(spark, path))
     assert first > 0 and len(grown) == first + rest
     assert run_curation(spark, sources, path, reprocess_all=True) == len(grown)
-    assert rows(spark.read.parquet(path)) == grown
+    assert rows(read_loads(spark, path)) == grown
 
 
 @pytest.mark.parametrize("name", ["risk", "stringency", "vaccines", "status"])
@@ -142,7 +143,7 @@ def test_update_all_reports_and_is_idempotent(spark, rows):
     report = update_all(spark, entities, skip=["skipped"])
     assert rows(report, "entity", "status", "records") == [("bad", "failed", 0), ("good", "success", 5)]
     assert rows(update_all(spark, entities, selected=["good"]), "records") == [(0,)]
-    assert spark.read.parquet(path).count() == 5
+    assert read_loads(spark, path).count() == 5
     split = {"split": Entity(df.filter(F.col("date") < at(3)), scratch_path(spark, "split"), ["k"],
                              partition_by=["date"])}
     assert rows(update_all(spark, split), "status", "records") == [("success", 3)]
