@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from dayline.operators.aggregates import availability, best_per_key, histogram, pivot_sum, top_k
 from dayline.operators.filters import gate_complete
 from dayline.operators.joins import attach_lookup, cover_flag, newest_per_key
-from dayline.operators.spatial import _boxes, cells_size, contains_join, polygon_cells
+from dayline.operators.spatial import cells_size, contains_join, join_cells, match_through_polygons, polygon_cells
+from dayline.session import scratch_path
 
 
 def day(n, month=1):
@@ -110,12 +111,68 @@ def test_random_points_against_brute_force(spark):
         (i, p) for i, x, y in points for p, ring in polys.items() if inside(x, y, ring)}
 
 
-def test_cell_table_is_never_larger_than_its_bound(spark):
+def odd(px, py, edges):
+    return sum((y1 <= py) != (y2 <= py) and px < x1 + (py - y1) * (x2 - x1) / (y2 - y1) for x1, y1, x2, y2 in edges) % 2 == 1
+
+
+def test_cells_hold_what_touches_them(spark):
     shapes = frame(spark, [(p, r, s, float(x), float(y)) for p, r, s, x, y in SQUARES],
                    "poly_id int, ring int, seq int, x double, y double")
-    made = polygon_cells(shapes, 0.5).selectExpr("sum(88 + 32 * size(edges)) AS n").first()["n"]
-    assert made <= cells_size(_boxes(shapes, 0.5, "poly_id"))
-    assert cells_size(_boxes(shapes.filter("false"), 0.5, "poly_id")) == 0
+    cells = polygon_cells(shapes, 0.5)
+    for c in cells.collect():
+        for x1, y1, x2, y2 in c["edges"]:
+            assert min(x1, x2) <= c.cx / 2 + 0.5 + 1e-6 and max(x1, x2) >= c.cx / 2 - 1e-6
+            assert min(y1, y2) <= c.cy / 2 + 0.5 + 1e-6 and max(y1, y2) >= c.cy / 2 - 1e-6
+    inner = cells.filter("size(edges) = 0 AND corner = 1 AND poly_id = 1").count()
+    assert inner and not cells.filter("size(edges) = 0 AND corner = 0").count()
+    assert cells_size(cells) == cells.selectExpr("sum(88 + 32 * size(edges)) AS n").first()["n"]
+    assert cells_size(polygon_cells(shapes.filter("false"), 0.5)) == 0
+
+
+@pytest.mark.parametrize("cell", [0.1, 0.7, 5.0])
+def test_shapes_on_grid_lines_against_brute_force(spark, cell):
+    """Rings with holes, horizontal and repeated vertices, one-point rings; points on vertices, edges and lines."""
+    rng = random.Random(17)
+    rings = {}
+    for p in range(25):
+        for r in range(rng.choice([1, 1, 2, 3])):
+            rings[p, r] = [(rng.randrange(-20, 20) * 0.1, rng.randrange(-20, 20) * 0.1) for _ in range(rng.choice([1, 2, 3, 5, 9]))]
+    edges = {}
+    for (p, _), v in rings.items():
+        edges.setdefault(p, []).extend((*a, *b) for a, b in zip(v, v[1:] + v[:1]))
+    points = [(x * 0.1, y * 0.1) for x in range(-21, 21, 2) for y in range(-21, 21, 3)] + [v for ring in rings.values() for v in ring]
+    points += [(rng.uniform(-2, 2), rng.uniform(-2, 2)) for _ in range(200)]
+    shapes = frame(spark, [(p, r, i * 3, x, y) for (p, r), v in rings.items() for i, (x, y) in enumerate(v)],
+                   "poly_id int, ring int, seq int, x double, y double")
+    out = contains_join(frame(spark, [(i, *p) for i, p in enumerate(points)], "point_id int, x double, y double"), shapes, cell)
+    assert {tuple(r) for r in out.collect()} == {(i, p) for i, (x, y) in enumerate(points) for p, e in edges.items() if odd(x, y, e)}
+
+
+def test_a_polygon_of_ten_thousand_edges(spark):
+    rng = random.Random(3)
+    n = 5000
+    ring = [(float(i), rng.randrange(0, 90) / 10) for i in range(n)] + [(float(n - i), 20 + rng.randrange(0, 90) / 10) for i in range(n)]
+    edges = [(*a, *b) for a, b in zip(ring, ring[1:] + ring[:1])]
+    points = [(i, rng.uniform(-5, n + 5), rng.uniform(-2, 32)) for i in range(1500)]
+    shapes = frame(spark, [(1, 0, i, x, y) for i, (x, y) in enumerate(ring)], "poly_id int, ring int, seq int, x double, y double")
+    cells = polygon_cells(shapes, 4.0).cache()
+    assert cells.selectExpr("max(size(edges)) AS n").first()["n"] < 20
+    out = join_cells(frame(spark, points, "point_id int, x double, y double"), cells, 4.0)
+    assert {r.point_id for r in out.collect()} == {i for i, x, y in points if odd(x, y, edges)}
+    cells.unpersist()
+
+
+def test_polygons_are_read_once_for_both_sides(spark):
+    shapes = frame(spark, [(p, r, s, float(x), float(y)) for p, r, s, x, y in SQUARES],
+                   "poly_id int, ring int, seq int, x double, y double")
+    path = scratch_path(spark, "shapes")
+    shapes.write.parquet(path)
+    points = frame(spark, [(1, 3.0, 3.0), (2, 5.0, 1.0)], "point_id int, x double, y double")
+    towns = points.withColumnRenamed("point_id", "town")
+    out = match_through_polygons(points, towns, spark.read.parquet(path), 0.5, "point_id", "town")
+    assert sorted(map(tuple, out.select("point_id", "town", "poly_id").collect())) == [(1, 1, 1), (2, 2, 2)]
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert "shapes-" not in text and "Window" not in text and "cells-" in text
 
 
 def test_ties_stay_and_threshold_is_strict(spark, rows):
