@@ -13,7 +13,7 @@ from dayline.sources import landed
 from dayline.sources.documents import (explode_country_index, explode_events, html_rows,
                                        scan_stations, station_days)
 from dayline.sources.files import scan, scan_csv, scan_json_records
-from dayline.sources.snapshots import latest_snapshot_per_day
+from dayline.sources.snapshots import latest_snapshot_per_day, scan_newest
 
 
 @query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
@@ -138,6 +138,48 @@ def newest_snapshot_rows(spark, sf_dir):
                                    "1996-01-01", "2000-12-31")
 
 
+@query("""
+    SELECT s_suppkey, CASE WHEN s_suppkey % 3 <> 1 THEN s_name END AS s_name, s_nationkey,
+           CASE WHEN s_suppkey % 3 <> 2 THEN s_acctbal END AS s_acctbal FROM supplier""")
+def suppliers_from_csv_of_three_headers(spark, sf_dir):
+    """One folder of files with all columns, with another order and one less, and with one less and one more."""
+    source, path = table(spark, sf_dir, "supplier"), scratch_path(spark, "supplier-csv")
+    third = F.col("s_suppkey") % 3
+    for n, columns in enumerate((["s_suppkey", "s_name", "s_nationkey", "s_acctbal"], ["s_acctbal", "s_nationkey", "s_suppkey"],
+                                 ["s_nationkey", "s_suppkey", "'x' AS note", "s_name"])):
+        source.filter(third == n).selectExpr(*columns).write.mode("append").option("header", True).csv(path)
+    return scan_csv(spark, path, source.schema)
+
+
+@query("""
+    SELECT s_suppkey, CAST(n AS INTEGER) AS row, CASE n WHEN 0 THEN 'name' ELSE s_name END AS first_cell,
+           CASE n WHEN 0 THEN 'nested' WHEN 1 THEN 'nation ' || s_nationkey || ' of 25 ≤ 25' ELSE 'none' END AS last_cell
+    FROM supplier, range(3) t(n)""")
+def rows_around_tables_in_cells(spark, sf_dir):
+    """Pages whose first table has a table in a cell, with rows of its own."""
+    inner = F.concat(F.lit("<table><tr><td>nation </td><td>"), F.col("s_nationkey").cast("string"), F.lit("</td></tr><tr><td> of 25 &le; 25</td></tr></table>"))
+    page = F.concat(F.lit("<h1>x</h1><table><tr><th>name</th><th>nested</th></tr><tr><td>"), "s_name", F.lit("</td><td>"), inner,
+                    F.lit("</td></tr><tr><td>"), "s_name", F.lit("</td><td>none</td></tr></table><table><tr><td>next</td></tr></table>"))
+    rows = html_rows(table(spark, sf_dir, "supplier").select("s_suppkey", page.alias("html")))
+    return rows.select("s_suppkey", "row", F.get("cells", F.lit(0)).alias("first_cell"), F.get("cells", F.lit(1)).alias("last_cell"))
+
+
+@query("""
+    WITH v AS (SELECT CAST(ts AS DATE) AS day, user_id % 7 AS version, * FROM events)
+    SELECT day, CAST(version AS VARCHAR) AS version, event_id, user_id, event_type, value FROM v
+    WHERE day BETWEEN DATE '2024-01-03' AND DATE '2024-01-28'
+    QUALIFY version = max(version) OVER (PARTITION BY day)""")
+def newest_landed_files(spark, sf_dir):
+    """Seven versions of each day as files; only those of the newest are read."""
+    path = scratch_path(spark, "history")
+    events = table(spark, sf_dir, "events").select(
+        F.to_date("ts").alias("day"), (F.col("user_id") % 7).alias("version"), "event_id", "user_id", "event_type", "value")
+    events.repartition("day", "version").write.partitionBy("day", "version").option("header", True).csv(path)
+    rows = scan_newest(spark, path, "event_id long, user_id long, event_type string, value double", lo="2024-01-03", hi="2024-01-28",
+                       day=r"day=([^/]+)/", version=r"version=([^/]+)/", header=True)
+    return rows.withColumnsRenamed({"_day": "day", "_version": "version"})
+
+
 @query("""
     SELECT o_orderkey, o_totalprice FROM orders
     WHERE o_orderdate BETWEEN TIMESTAMP '1997-01-01' AND TIMESTAMP '1998-12-31'""")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
+from html.entities import html5
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -55,26 +57,30 @@ def scan_stations(docs: DataFrame, text: str = "value", active_only: bool = True
     return rows.drop(*_STATION_DROPS).withColumnsRenamed({"id": "station_id", "nome": "name"})
 
 
-# Named entities of HTML that the pages use; the ampersand is decoded last.
-ENTITIES = {"nbsp": " ", "deg": "°", "agrave": "à", "egrave": "è", "eacute": "é", "igrave": "ì", "ograve": "ò",
-            "ugrave": "ù", "sup2": "²", "sup3": "³", "micro": "µ", "quot": '"', "apos": "'", "lt": "<", "gt": ">",
-            "amp": "&"}
+def _named() -> Column:
+    """The characters of all named entities of HTML, by name; a constant of the plan.
+
+    The space that does not break is a plain one here, so that it is trimmed off values.
+    """
+    names = {name: char.replace(chr(160), " ") for name, char in html5.items() if name.endswith(";")}
+    return F.from_json(F.lit(json.dumps(names)), "map<string,string>")
 
 
 def _decoded(cell: Column) -> Column:
     """Named and numeric entities as characters; a cell without an ampersand is left alone."""
-    def numbered(part: Column, i: Column) -> Column:
-        code = F.regexp_extract(part, "^(?:([0-9]{1,7})|[xX][0-9a-fA-F]{1,6});", 1)
-        hexed = F.regexp_extract(part, "^[xX]([0-9a-fA-F]{1,6});", 1)
+    def one(part: Column, i: Column) -> Column:
+        code = F.regexp_extract(part, "^#(?:([0-9]{1,7})|[xX][0-9a-fA-F]{1,6});", 1)
+        hexed = F.regexp_extract(part, "^#[xX]([0-9a-fA-F]{1,6});", 1)
         digits = F.when(code != "", F.hex(code.cast("long"))).when(hexed != "", hexed)
         char = F.decode(F.unhex(F.lpad(digits, 8, "0")), "UTF-32")
+        name = F.regexp_extract(part, "^[A-Za-z][A-Za-z0-9]*;", 0)
+        named = F.when(name != "", F.try_element_at(_named(), name))
         return F.when(i == 0, part).otherwise(F.coalesce(
-            F.concat(char, F.regexp_replace(part, "^[0-9xXa-fA-F]{1,7};", "")), F.concat(F.lit("&#"), part)))
+            F.concat(char, F.regexp_replace(part, "^#[0-9xXa-fA-F]{1,8};", "")),
+            F.concat(named, F.substring(part, F.char_length(name) + 1, F.char_length(part))),
+            F.concat(F.lit("&"), part)))
 
-    out = F.array_join(F.transform(F.split(cell, "&#"), numbered), "")
-    for name, char in ENTITIES.items():
-        out = F.replace(out, F.lit(f"&{name};"), F.lit(char))
-    return F.when(cell.contains("&"), out).otherwise(cell)
+    return F.when(cell.contains("&"), F.array_join(F.transform(F.split(cell, "&"), one), "")).otherwise(cell)
 
 
 def _plain(cell: Column) -> Column:
@@ -91,15 +97,43 @@ TABLE_ROW = r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"
 TABLE_CELL = r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]\s*>"
 
 
+def first_table(page: Column) -> Column:
+    """The inside of the first table of a page, up to its own end; of tables in it the text alone.
+
+    The page is cut before each opening and closing tag of a table, and each piece lies as deep as the
+    tags before it say.
+    """
+    pieces = F.split(page, r"(?i)(?=<table\b)|(?=</table\s*>)")
+
+    def step(state: Column, piece: Column) -> Column:
+        opens, closes = piece.rlike(r"^(?i)<table\b"), piece.rlike(r"^(?i)</table\s*>")
+        depth = state["depth"] + F.when(opens, 1).when(closes & (state["depth"] > 0), -1).otherwise(0)
+        text = F.regexp_replace(piece, r"^(?i)</?table\b[^>]*>", "")
+        text = F.when(depth > 1, F.regexp_replace(text, r"<[^>]*>", "")).otherwise(text)
+        return F.struct(
+            F.when(state["done"], state["depth"]).otherwise(depth).alias("depth"),
+            (state["done"] | ((state["depth"] == 1) & (depth == 0))).alias("done"),
+            F.when(~state["done"] & (depth > 0), F.concat(state["inside"], F.array(text))).otherwise(state["inside"]).alias("inside"))
+
+    begin = F.struct(F.lit(0).alias("depth"), F.lit(False).alias("done"), F.array().cast("array<string>").alias("inside"))
+    nested = F.aggregate(pieces, begin, step, lambda s: F.when(s["done"], F.array_join(s["inside"], "")).otherwise(""))
+    alone = F.regexp_count(page, F.lit(r"(?i)<table\b")) < 2
+    return F.when(alone, F.regexp_extract(page, TABLE, 1)).otherwise(nested)
+
+
 def html_rows(pages: DataFrame, html: str = "html", row_re: str = TABLE_ROW,
               cell_re: str = TABLE_CELL, within_re: str | None = TABLE,
               header_row: int | None = None) -> DataFrame:
     """One row per row element of the first enclosing element: its position and cell texts.
 
+    The enclosing element is the first table, unless ``within_re`` names another or is None; rows of
+    tables in its cells are not rows of it, their text belongs to the cell.
+
     With ``header_row`` the texts of that row come along as ``header``.
     """
     kept = [c for c in pages.columns if c != html]
-    body = F.col(html) if within_re is None else F.regexp_extract(F.col(html), within_re, 1)
+    body = F.col(html) if within_re is None else \
+        first_table(F.col(html)) if within_re == TABLE else F.regexp_extract(F.col(html), within_re, 1)
     found = F.regexp_extract_all(body, F.lit(row_re), F.lit(1))
     # cells are cut out before rows are, so that nothing downstream cuts them again
     pages = pages.select(*kept, F.transform(found, lambda r: _cells(r, cell_re)).alias("_rows"))

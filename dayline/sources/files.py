@@ -2,21 +2,56 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from dayline.schemas import conform
 
 
-def scan_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """Headed CSV made to fit ``schema`` by column name; values that do not fit become NULL.
+def csv_headers(spark: SparkSession, path: str | Sequence[str], **options) -> DataFrame:
+    """(header, uri): the first line of each file that has one.
+
+    One pass over the lines of the files, of which a task keeps one for each file that begins in it.
+    """
+    lines = spark.read.options(**options).text(path).select(
+        F.col("_metadata.file_path").alias("uri"), F.col("_metadata.file_block_start").alias("start"),
+        F.rtrim("value").alias("line"), F.monotonically_increasing_id().alias("at"))
+    return lines.filter("start = 0 AND line <> ''").groupBy("uri").agg(F.min_by("line", "at").alias("header")).select("header", "uri")
+
+
+def csv_frames(spark: SparkSession, path: str | Sequence[str], **options) -> list[DataFrame]:
+    """Headed CSV files as text columns: one frame for each distinct header.
+
+    The names of files come to the driver only where headers differ.
+    """
+    walk = {k: v for k, v in options.items() if k in ("recursiveFileLookup", "pathGlobFilter")}
+    headers = csv_headers(spark, path, **walk)
+    distinct = [r.header for r in headers.select("header").distinct().limit(2).collect()]
+    if not distinct:
+        return []
+    groups = [path] if len(distinct) == 1 else [
+        [unquote(uri) for uri in sorted(r.uris)] for r in headers.groupBy("header").agg(F.collect_list("uri").alias("uris")).collect()]
+    reader = spark.read.options(**options).option("header", True)
+    frames = []
+    for group in groups:
+        header = reader.csv(group).schema
+        frames.append(spark.read.options(**options).option("header", True).schema(header).option("enforceSchema", False).csv(group))
+    return frames
+
+
+def scan_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType | str, **options) -> DataFrame:
+    """Headed CSV files made to fit ``schema`` by column name; values that do not fit become NULL.
 
-    Files are read under one header; a file with other columns, or the same in another order, fails
-    when it is read. Scan such files apart and unite them.
+    Files may have their columns in any order, lack some and have others besides: each distinct header
+    is scanned apart, and all are united by name. Blank lines before a header are passed over.
     """
-    reader = spark.read.option("header", True)
-    header = reader.csv(path).schema
-    return conform(reader.schema(header).option("enforceSchema", False).csv(path), schema)
+    frames = [conform(f, schema) for f in csv_frames(spark, path, **options)]
+    return reduce(DataFrame.unionByName, frames) if frames else conform(spark.createDataFrame([], "none int"), schema)
 
 
 def scan_json_records(spark: SparkSession, path: str, schema: StructType | str,

@@ -16,7 +16,7 @@ from dayline.functions.columns import RISK_COLOURS
 from dayline.functions.dates import DAY_FIRST, ISO_DAY, date_bounds, parse_date
 from dayline.operators.projections import recode, rename, with_constants
 from dayline.schemas import RENAMES, conform
-from dayline.sources.snapshots import latest_snapshot_per_day
+from dayline.sources.snapshots import latest_snapshot_per_day, scan_newest
 
 
 def _within(df: DataFrame, lo, hi, lo_open: bool = False) -> DataFrame:
@@ -49,6 +49,15 @@ def municipality_data(raw: DataFrame, version: str, committed: str, lo=None, hi=
     return conform(out.withColumn("date", parse_date("date", *DAY_FIRST)), "municipality_data")
 
 
+def municipality_files(spark: SparkSession, path: str, lo=None, hi=None, **scan) -> DataFrame:
+    """The same from the files of a history: of each day only the newest version is read."""
+    columns = ", ".join(f"`{c}` string" for c in RENAMES["municipality_data"])
+    low, high = [None if x is None else str(x) for x in (lo, hi)]
+    newest = scan_newest(spark, path, columns, lo=low, hi=high, **{"header": True, **scan})
+    out = rename(newest.drop("_day", "_version"), RENAMES["municipality_data"])
+    return conform(out.withColumn("date", parse_date("date", *DAY_FIRST)), "municipality_data")
+
+
 def region_risk(raw: DataFrame, lo=None, hi=None, names: Mapping[str, str] | None = None,
                 only_named: bool = False, lo_open: bool = False) -> DataFrame:
     out = rename(raw, RENAMES["region_risk"]).withColumn("date", parse_date("date", *ISO_DAY))

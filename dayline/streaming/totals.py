@@ -33,25 +33,60 @@ def totals_batch(batch: DataFrame, before: DataFrame | None, keys: Sequence[str]
     return rows.filter(F.col(date) >= F.col("_first")).drop("_first")
 
 
+def blocks_before(n: int) -> list[tuple[int, int]]:
+    """Ranges ``[a, b)`` of batches that together are the first ``n``: a power of two each, falling."""
+    out, first = [], 0
+    for k in reversed(range(n.bit_length())):
+        if n >> k & 1:
+            out.append((first, first + (1 << k)))
+            first += 1 << k
+    return out
+
+
+def _block(state: str, first: int, end: int) -> str:
+    return os.path.join(state, f"first={first}-end={end}")
+
+
 def write_batch(batch: DataFrame, batch_id: int, target: str, state: str, keys: Sequence[str],
                 date: str, cols: Mapping[str, str], epoch: str | None = None) -> None:
-    """Write the days that one batch changes, and its daily sums as one more part of the state.
+    """Write the days that one batch changes, and its daily sums as a part of the state.
 
-    The state is a folder of daily sums per batch. A repeated batch starts from the parts before it
-    and overwrites its own, so nothing is counted twice after a failure.
+    The state holds daily sums by blocks of 1, 2, 4, ... batches: a batch writes its own and, where it
+    fills a larger block, the sum of that one, so that ``n`` batches are read from at most log2(n)
+    folders, and a sum is written once for each size of block. Blocks are never changed: a repeated
+    batch starts from the blocks before it and writes its own again, also if it failed in a merge, so
+    nothing is counted twice. Smaller blocks stay until :func:`drop_merged` removes them.
     """
-    session, before = batch.sparkSession, None
+    session = batch.sparkSession
     if epoch is not None:
         batch = batch.filter(F.col(date) >= F.lit(epoch).cast("date"))
-    daily = batch.groupBy(*keys, date).agg(*[F.sum(c).alias(c) for c in cols])
-    place = os.path.join(state, f"batch_id={batch_id}")
-    daily.write.mode("overwrite").parquet(place)
-    own = session.read.schema(daily.schema).parquet(place)
-    if batch_id > 0:
-        before = session.read.schema(daily.schema).parquet(
-            *[os.path.join(state, f"batch_id={n}") for n in range(batch_id)])
-    rows = totals_batch(own, before, keys, date, cols)
+    sums = [F.sum(c).alias(c) for c in cols]
+    daily = batch.groupBy(*keys, date).agg(*sums)
+
+    def read(blocks: Sequence[tuple[int, int]]) -> DataFrame:
+        return session.read.schema(daily.schema).parquet(*[_block(state, *b) for b in blocks])
+
+    daily.write.mode("overwrite").parquet(_block(state, batch_id, batch_id + 1))
+    own, earlier = [(batch_id, batch_id + 1)], blocks_before(batch_id)
+    rows = totals_batch(read(own), read(earlier) if earlier else None, keys, date, cols)
     rows.write.mode("overwrite").parquet(os.path.join(target, f"batch_id={batch_id}"))
+    whole = blocks_before(batch_id + 1)[-1]
+    if whole not in own:
+        parts = [b for b in earlier if b[0] >= whole[0]] + own
+        read(parts).groupBy(*keys, date).agg(*sums).write.mode("overwrite").parquet(_block(state, *whole))
+
+
+def drop_merged(spark: SparkSession, state: str, batches: int) -> list[str]:
+    """Remove the blocks that neither the last of ``batches`` finished ones, repeated, nor any later one reads."""
+    needed = {_block(state, *b) for n in (batches - 1, batches) for b in blocks_before(n)}
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(state)
+    fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [x.getPath().getName() for x in fs.listStatus(hadoop)] if fs.exists(hadoop) else []
+    gone = [x for x in names if x.startswith("first=") and os.path.join(state, x) not in needed
+            and int(x.rpartition("=")[2]) <= batches]
+    for name in gone:
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(os.path.join(state, name)), True)
+    return gone
 
 
 def read_totals(spark: SparkSession, target: str, keys: Sequence[str], date: str) -> DataFrame:

@@ -1,8 +1,10 @@
 import datetime as dt
 import os
 import random
+from contextlib import suppress
 
 import pytest
+from pyspark.sql import DataFrameReader, DataFrameWriter
 from pyspark.sql import functions as F
 
 from dayline.models.grid import Config
@@ -16,7 +18,7 @@ from dayline.schemas import empty_table, schema_of
 from dayline.session import scratch_path
 from dayline.sinks.loads import read_loads
 from dayline.sinks.tables import replace_by_key
-from dayline.streaming.totals import read_totals, totals_stream, write_batch
+from dayline.streaming.totals import blocks_before, drop_merged, read_totals, totals_stream, write_batch
 
 FIRST = dt.date(2021, 1, 1)
 
@@ -253,6 +255,52 @@ def test_batches_do_not_change_totals(spark, rows, tmp_path, max_files):
     assert rows(read_totals(spark, target, ["k"], "date"), "date", "v", "t") == [(at(0), 16, 16), (at(1), 16, 32)]
 
 
+def test_blocks_of_batches():
+    for n in range(300):
+        blocks = blocks_before(n)
+        assert [i for a, b in blocks for i in range(a, b)] == list(range(n)) and len(blocks) <= n.bit_length()
+        sizes = [b - a for a, b in blocks]
+        assert sizes == sorted(set(sizes), reverse=True) and all(s & (s - 1) == 0 for s in sizes)
+
+
+@pytest.mark.parametrize("fails_at", range(8))
+def test_state_is_merged_and_a_batch_that_fails_in_a_merge_is_repeated(spark, rows, tmp_path, monkeypatch, fails_at):
+    target, state = str(tmp_path / "out"), str(tmp_path / "state")
+    rng = random.Random(fails_at)
+    batches = [[("ab"[rng.randrange(2)], at(rng.randrange(4)), rng.randrange(9)) for _ in range(5)] for _ in range(8)]
+    frames = [spark.createDataFrame(b, "k string, date date, v long") for b in batches]
+    write, read, opened = DataFrameWriter.parquet, DataFrameReader.parquet, []
+
+    def failing(self, place, *a, **b):
+        write(self, place, *a, **b)
+        if "first=" in place and f"end={fails_at + 1}" in place and f"first={fails_at}-" not in place:
+            raise RuntimeError("the merge fails")
+
+    def noted(self, *places, **b):
+        opened.append([p for p in places if "first=" in p])
+        return read(self, *places, **b)
+    for n, batch in enumerate(frames):
+        if n == fails_at:
+            with monkeypatch.context() as m:
+                m.setattr(DataFrameWriter, "parquet", failing)
+                with suppress(RuntimeError):
+                    write_batch(batch, n, target, state, ["k"], "date", {"v": "t"})
+        with monkeypatch.context() as m:
+            m.setattr(DataFrameReader, "parquet", noted)
+            write_batch(batch, n, target, state, ["k"], "date", {"v": "t"})
+        assert max(map(len, opened)) <= 4
+        if n % 3 == 2:
+            drop_merged(spark, state, n + 1)
+    sums = {}
+    for k, d, v in (r for b in batches for r in b):
+        sums[k, d] = sums.get((k, d), 0) + v
+    want = [(k, d, v, sum(x for (q, e), x in sums.items() if q == k and e <= d)) for (k, d), v in sorted(sums.items())]
+    assert rows(read_totals(spark, target, ["k"], "date"), "k", "date", "v", "t") == sorted(want, key=repr)
+    drop_merged(spark, state, 8)
+    assert sorted(x for x in os.listdir(state) if x.startswith("first=")) == sorted(
+        f"first={a}-end={b}" for a, b in {*blocks_before(7), *blocks_before(8)})
+
+
 def test_forecasts_of_other_series_stay(spark, tmp_path):
     path = str(tmp_path / "f")
     made = spark.createDataFrame([(k, "y", at(n), float(n)) for k in ("01", "02") for n in range(3)],

@@ -1,5 +1,7 @@
 import datetime as dt
 import json
+from html import unescape
+from html.entities import html5
 
 import pytest
 
@@ -7,7 +9,7 @@ from dayline.operators.filters import scan_between
 from dayline.sources import landed
 from dayline.sources.documents import (explode_country_index, explode_events, html_rows, scan_stations,
                                        station_days)
-from dayline.sources.files import scan, scan_csv, scan_documents, scan_json_records
+from dayline.sources.files import csv_headers, scan, scan_csv, scan_documents, scan_json_records
 from dayline.sources.snapshots import latest_snapshot_per_day
 
 
@@ -102,3 +104,54 @@ def test_landed_tables(spark, rows):
     assert landed.region_risk(risk, "2021-01-05", lo_open=True).count() == 2
     towns = spark.createDataFrame([(1, "A", 10), (2, "B", 20)], "codice int, comune string, abitanti int")
     assert rows(landed.municipality_codes(towns)) == [(1, "A", 10), (2, "B", 20)]
+
+
+def test_csv_files_with_other_headers(spark, tmp_path, rows):
+    """Columns in another order, missing ones, more of them, an empty file and blank lines."""
+    (tmp_path / "a.csv").write_text("name,extra,code,population\nX,1,7,12\n")
+    (tmp_path / "b.csv").write_text("population,name\r\n5,Y\r\n6,Z\r\n")
+    (tmp_path / "c d+e%20.csv").write_text("\n\ncode,name,population\n9,W,\n")
+    (tmp_path / "d.csv").write_text("name,extra,code,population\nV,,8,1\n")
+    (tmp_path / "e.csv").write_text("")
+    out = scan_csv(spark, str(tmp_path), "province")
+    assert rows(out) == [("V", 8, 1), ("W", 9, None), ("X", 7, 12), ("Y", None, 5), ("Z", None, 6)]
+    headers = csv_headers(spark, str(tmp_path))
+    assert rows(headers.groupBy("header").count(), "count") == [(1,), (1,), (2,)]
+
+
+def test_csv_without_files(spark, tmp_path):
+    (tmp_path / "e.csv").write_text("")
+    assert scan_csv(spark, str(tmp_path), "province").count() == 0
+
+
+def test_one_header_needs_no_list_of_files(spark, tmp_path, rows):
+    """A large file is cut in splits; only the first has a header."""
+    (tmp_path / "a.csv").write_text("code,name\n" + "".join(f"{i},n{i}\n" for i in range(5000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10k")
+    try:
+        assert rows(csv_headers(spark, str(tmp_path)), "header") == [("code,name",)]
+        out = scan_csv(spark, str(tmp_path), "province")
+        assert out.rdd.getNumPartitions() > 3 and out.count() == 5000 and out.filter("name IS NULL OR code IS NULL").count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+NESTED = ("<table><tr><th>a</th><th>b</th></tr>"
+          "<tr><td>1<TABLE class=x><tr><td>in</td><td>ner</td></tr><tr><td><table><tr><td>most</td></tr></table></td></tr></TABLE >!</td><td>2</td></tr>"
+          "<tr><td>3</td><td>4</td></tr></table><table><tr><td>second</td></tr></table>")
+
+
+def test_tables_in_cells(spark, rows):
+    pages = spark.createDataFrame([(1, NESTED), (2, "<p><table><tr><td>x<table>y"), (3, "</table><table><tr><td>z</td></tr></table><table></table>"),
+                                   (4, ""), (5, None)], "page int, html string")
+    assert rows(html_rows(pages)) == [(1, 0, ["a", "b"]), (1, 1, ["1innermost!", "2"]), (1, 2, ["3", "4"]), (3, 0, ["z"])]
+
+
+def test_all_entities(spark):
+    """Every named entity with a semicolon, numbers, and what is none, as the standard library reads them."""
+    cells = [f"x&{n}y" for n in html5 if n.endswith(";")] + ["&#233;&#xE9;&#x1F600;", "&amp;lt;", "a & b", "&nosuch;", "&;", "&#;", "&&lt;", "&amp;#65;"]
+    pages = spark.createDataFrame([(i, f"<table><tr><td>{c}</td></tr></table>") for i, c in enumerate(cells)], "page int, html string")
+    got = {r.page: r.cells[0] for r in html_rows(pages).collect()}
+    for i, cell in enumerate(cells):
+        assert got[i] == unescape(cell).replace(chr(160), " ").strip(" "), cell
