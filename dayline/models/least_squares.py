@@ -95,11 +95,19 @@ def design_matrix(cfg: Config, w: np.ndarray, x: np.ndarray, e: np.ndarray | Non
     return np.column_stack(blocks), names
 
 
+def first_day(cfg: Config, n: int) -> int:
+    """The first of ``n`` days that a configuration can use: differences, innovations and lags come before it."""
+    lost = cfg.d + cfg.sd * cfg.m
+    before = long_order(cfg, n - lost) + max(cfg.ma_lags) if cfg.ma_lags else 0
+    return lost + max([before, 0, *cfg.ar_lags])
+
+
 def fit_series(cfg: Config, y: np.ndarray, x: np.ndarray,
-               noise: dict | None = None) -> Solution | None:
+               noise: dict | None = None, first: int = 0) -> Solution | None:
     """Fit one configuration to one series; None if it is invalid or the series too short.
 
-    ``noise`` remembers innovations between configurations fitted to the same rows.
+    ``noise`` remembers innovations between configurations fitted to the same rows. Days before
+    ``first`` serve as lags only.
     """
     if not cfg.valid or len(y) <= cfg.d + cfg.sd * cfg.m + 2:
         return None
@@ -114,7 +122,9 @@ def fit_series(cfg: Config, y: np.ndarray, x: np.ndarray,
         if e is None:
             return None
     design, names = design_matrix(cfg, w, dx, e)
-    done = regress(w, design)
+    target = w.copy()
+    target[:max(0, first - (len(y) - len(w)))] = np.nan
+    done = regress(target, design)
     if done is None:
         return None
     coef, resid, n = done

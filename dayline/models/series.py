@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from dayline.functions.columns import (Z95, aic, back_transform, rmse, same_set, standard_error,
                                        transform_column)
 from dayline.models.grid import Config, config_array, config_columns, config_struct
-from dayline.models.least_squares import Solution, fit_series, forecast_path, forecast_series
+from dayline.models.least_squares import Solution, first_day, fit_series, forecast_path, forecast_series
 from dayline.operators.joins import attach_lookup
 from dayline.operators.windows import hold_last
 
@@ -142,7 +142,8 @@ def forecast(df: DataFrame, keys: Sequence[str], date: str, y: str, x: Sequence[
              scenario: DataFrame | None = None, compat: bool = False) -> DataFrame:
     """``(keys, date, forecast, se, lower_ci, upper_ci)`` for the days after each series.
 
-    Regressors follow ``scenario`` (keys, date and the regressors), or stay at their last value.
+    Regressors follow ``scenario`` (keys, date and the regressors), or stay at their last value. A
+    scenario is met by date: other days are not looked at, and a day that it lacks fails.
     """
     n_x = len(x)
     rows = _prepared(df, keys, date, y, x, kind).withColumn("ahead", F.lit(False))
@@ -158,15 +159,22 @@ def forecast(df: DataFrame, keys: Sequence[str], date: str, y: str, x: Sequence[
         past, yy, xx = _arrays(pdf[~pdf["ahead"]], n_x)
         if past.empty:
             return pd.DataFrame({**{k: [] for k in keys}, "date": [], "forecast": [], "se": []})
-        coming = _arrays(pdf[pdf["ahead"]], n_x)[2][:steps] if n_x else np.zeros((steps, 0))
+        last = pd.Timestamp(past["date"].iloc[-1])
+        days = [(last + pd.Timedelta(days=h + 1)).date() for h in range(steps)]
+        coming = np.zeros((steps, 0))
+        if n_x:
+            plan = pdf[pdf["ahead"]]
+            by_day = dict(zip(pd.to_datetime(plan["date"]).dt.date, plan[[f"x{j}" for j in range(n_x)]].to_numpy(float)))
+            missing = [str(day) for day in days if day not in by_day or not np.isfinite(by_day[day]).all()]
+            if missing:
+                raise ValueError(f"the scenario of {[past[k].iloc[0] for k in keys]} has no values for {', '.join(missing)}")
+            coming = np.array([by_day[day] for day in days])
         config = _config(past.iloc[0])
         done = fit_series(config, yy, xx)
         if done is None:
             mean = se = np.full(len(coming), np.nan)
         else:
             mean, se = forecast_series(config, done, yy, xx, coming)
-        last = pd.Timestamp(past["date"].iloc[-1])
-        days = [(last + pd.Timedelta(days=h + 1)).date() for h in range(len(coming))]
         out = pd.DataFrame({"date": days, "forecast": mean, "se": se})
         for k in keys:
             out[k] = past[k].iloc[0]
@@ -244,8 +252,13 @@ def cross_validate(df: DataFrame, keys: Sequence[str], date: str, y: str, x: Seq
 
 
 def aic_scores(df: DataFrame, keys: Sequence[str], date: str, y: str, x: Sequence[str],
-               configs: Sequence[Config], kind: str | None = None, block: int = 16) -> DataFrame:
-    """``(keys, cfg_id, score_mean, score_se)`` from whole-series fits, without folds."""
+               configs: Sequence[Config], kind: str | None = None, block: int = 16,
+               common: bool = True) -> DataFrame:
+    """``(keys, cfg_id, score_mean, score_se)`` from whole-series fits, without folds.
+
+    All configurations of a series are fitted to the same days, those that the one with the longest
+    lags can use, so that their values compare; without ``common`` each uses all days it can.
+    """
     n_x, configs = len(x), list(configs)
     n_blocks = (len(configs) + block - 1) // block
     rows = _blocks(_prepared(df, keys, date, y, x, kind), keys, n_blocks)
@@ -253,7 +266,8 @@ def aic_scores(df: DataFrame, keys: Sequence[str], date: str, y: str, x: Sequenc
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf, yy, xx = _arrays(pdf, n_x)
         at, noise = int(pdf["block"].iloc[0]) * block, {}
-        fits = {i: fit_series(configs[i], yy, xx, noise)
+        first = max((first_day(c, len(yy)) for c in configs if c.valid), default=0) if common else 0
+        fits = {i: fit_series(configs[i], yy, xx, noise, first)
                 for i in range(at, min(at + block, len(configs)))}
         out = pd.DataFrame([(i, f.n, f.rss, len(f.coef) + 1) for i, f in fits.items() if f],
                            columns=["cfg_id", "n", "rss", "params"])
@@ -270,10 +284,13 @@ def aic_scores(df: DataFrame, keys: Sequence[str], date: str, y: str, x: Sequenc
 def grid_search(df: DataFrame, keys: Sequence[str], date: str, y: str, x: Sequence[str],
                 configs: Sequence[Config], metric: str | Metric = "rmse", n_splits: int = 10,
                 max_test: int | None = None, kind: str | None = None,
-                block: int = 16) -> DataFrame:
-    """Scored configurations of each series, best (smallest) first: ``rank`` 1."""
+                block: int = 16, common: bool = True) -> DataFrame:
+    """Scored configurations of each series, best (smallest) first: ``rank`` 1.
+
+    ``common`` is for ``aic``: see :func:`aic_scores`.
+    """
     if metric == "aic":
-        scores = aic_scores(df, keys, date, y, x, configs, kind, block)
+        scores = aic_scores(df, keys, date, y, x, configs, kind, block, common)
     elif metric == "rmse" or callable(metric):
         scores = cross_validate(df, keys, date, y, x, configs, n_splits, max_test, kind,
                                 rmse if metric == "rmse" else metric, block).drop("folds")

@@ -12,7 +12,7 @@ from dayline.functions.columns import AGE_BANDS, RISK_ORDER, reband, row_sum
 from dayline.operators.aggregates import pivot_sum
 from dayline.operators.filters import gate_complete, scan_between
 from dayline.operators.incremental import rows_after
-from dayline.operators.joins import attach_lookup, cover_flag, left_join_all
+from dayline.operators.joins import attach_lookup, cover_flag, left_join_all, written
 from dayline.operators.projections import columns_like
 from dayline.operators.windows import daily_change, latest_row, running_total, share_of
 from dayline.schemas import conform
@@ -72,7 +72,9 @@ def curate(sources: Sources, curated: DataFrame | None = None, lo=None, hi=None,
         for name in ("status", "risk", "vaccines"):
             bounded[name] = rows_after(bounded[name], seed, KEYS, "date", lo, measured=False)
 
-    status = gate_complete(bounded["status"], [bounded["risk"], bounded["vaccines"]], KEYS)
+    # doses are summed once, written small, and serve the gate as well
+    doses = written(dose_table(bounded["vaccines"]), "doses")
+    status = gate_complete(bounded["status"], [bounded["risk"], doses], KEYS)
     stringency = bounded["stringency"]
     if _keyed(stringency):
         if seed is not None:
@@ -95,7 +97,7 @@ def curate(sources: Sources, curated: DataFrame | None = None, lo=None, hi=None,
     risk = bounded["risk"].groupBy(*ON).agg(worst["risk"].alias("risk"))
     index = stringency.groupBy(*_keyed(stringency), "date").agg(
         F.max("value").alias("stringency_index"))
-    joined = left_join_all(status, [risk, dose_table(bounded["vaccines"])], ON)
+    joined = left_join_all(status, [risk, doses], ON)
     joined = joined.join(index, [*_keyed(stringency), "date"], "left")
     per = [*_keyed(sources.holidays), "date"]
     flagged = cover_flag(bounded["status"].select(*per).distinct(), sources.holidays, keys=per[:-1])

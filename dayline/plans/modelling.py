@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import logging
+import time
 from collections.abc import Mapping, Sequence
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +13,7 @@ from pyspark.sql import functions as F
 
 from dayline.models.grid import configurations
 from dayline.models.series import best_config, forecast, grid_search, nest_leaderboard
-from dayline.operators.aggregates import fold_stats, series_profile
+from dayline.operators.aggregates import fold_stats, null_profile, series_profile
 from dayline.operators.filters import crop_from, scan_between
 from dayline.operators.joins import attach_lookup
 from dayline.operators.projections import select_roles
@@ -18,6 +21,7 @@ from dayline.operators.windows import densify, ffill, folds_of
 from dayline.plans.loading import stored
 from dayline.schemas import schema_of
 from dayline.session import scratch_path
+from dayline.sinks.loads import append_load
 from dayline.sinks.tables import append_checked, replace_by_key, replace_partitions
 
 # The shipped search space.
@@ -72,17 +76,46 @@ def tune(curated: DataFrame, conf: Mapping = DEFAULT_CONF, keys: Sequence[str] =
     return run.select(*keys, log.alias("log"), configuration.alias("configuration"), "results")
 
 
+def run_tuning(curated: DataFrame, path: str, conf: Mapping = DEFAULT_CONF, keys: Sequence[str] = ("region",),
+               date: str = "date", kind: str | None = "sqrt", block: int = 16, name: str | None = None) -> int:
+    """Tune, and add the run documents to the stored ones with the time that it took; returns how many.
+
+    Columns with missing values are reported as warnings before they are filled. The documents are
+    written aside first, which is where the work is done and timed; :func:`read_loads` of
+    :mod:`dayline.sinks.loads` reads the table, and a run of a ``name`` that is there is not repeated.
+    """
+    spark, began = curated.sparkSession, time.perf_counter()
+    asked = {**DEFAULT_CONF, **conf}
+    warn_nulls(curated, [asked["outputs"][0], *asked["regressors"]])
+    aside = scratch_path(spark, "runs")
+    made = tune(curated, conf, keys, date, kind, block)
+    made.write.parquet(aside)
+    took = str(timedelta(seconds=time.perf_counter() - began))
+    done = spark.read.schema(made.schema).parquet(aside)
+    return append_load(done.withColumn("log", F.col("log").withField("elapsed_time", F.lit(took))), path, name)
+
+
+def warn_nulls(df: DataFrame, cols: Sequence[str]) -> None:
+    """A warning for each column that has missing values, with their number."""
+    for row in null_profile(df, cols).filter("nulls > 0").collect():
+        logging.getLogger(__name__).warning("%s has %d missing values, which are filled forward", row["column"], row["nulls"])
+
+
 def forecast_run(curated: DataFrame, runs: DataFrame, models: Sequence[Mapping], steps: int = 7,
                  keys: Sequence[str] = ("region",), date: str = "date",
-                 kind: str | None = "sqrt", compat: bool = False) -> DataFrame:
+                 kind: str | None = "sqrt", compat: bool = False, report_nulls: bool = False) -> DataFrame:
     """Forecasts of every model and series with its best stored configuration.
 
+    ``report_nulls`` warns of missing values, at the price of one more pass over the columns.
+
     ``models`` is a list of ``{"output": ..., "regressors": [...]}``. The result replaces the
     stored rows of the same output variable (``sinks.tables.replace_by_key``).
     """
     parts = []
     for model in models:
         y, x = model["output"], list(model.get("regressors", []))
+        if report_nulls:
+            warn_nulls(curated, [y, *x])
         series = model_series(curated, keys, date, y, x)
         cfg = best_config(runs, y, x, keys)
         made = forecast(series, keys, date, y, x, cfg, steps, kind, compat=compat)

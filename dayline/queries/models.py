@@ -13,6 +13,8 @@ from dayline.queries.analysis import KEY, _DENSE, dense_orders
 from dayline.queries.tables import order_days, table
 from dayline.session import scratch_path
 
+# Models without coefficients: tomorrow is as today, or as the same weekday last week.
+_NAIVE = [Config(p=0, d=1), Config(p=0, sd=1, m=7)]
 # The shipped search space.
 SPACE = dict(p=range(6), d=[1], q=range(6), sp=range(3), sd=[0], sq=range(3), m=[7], trend=["n"])
 
@@ -98,12 +100,28 @@ def random_walk_scores(spark, sf_dir):
            CAST(row_number() OVER (PARTITION BY {KEY} ORDER BY aic, cfg_id) AS INTEGER) AS "rank" FROM a""")
 def leaderboard_by_information(spark, sf_dir):
     configs = [Config(p=1, trend="c"), Config(p=0, sp=1, m=7, trend="c")]
+    out = grid_search(dense_orders(spark, sf_dir), [KEY], "date", "n", [], configs, "aic", common=False)
+    return out.select(KEY, "cfg_id", F.round("score_mean", 4).alias("score_mean"), "rank")
+
+
+@query(f"""
+    WITH {_DENSE},
+    l AS (SELECT {KEY}, date, n, lag(n) OVER w AS x1, lag(n, 7) OVER w AS x7 FROM f
+          WINDOW w AS (PARTITION BY {KEY} ORDER BY date) QUALIFY lag(n, 7) OVER w IS NOT NULL),
+    r AS (SELECT {KEY}, 0 AS cfg_id, count(*) AS n, regr_syy(n, x1) * (1 - regr_r2(n, x1)) AS rss, 6 AS cost FROM l GROUP BY 1
+          UNION ALL SELECT {KEY}, 1, count(*), regr_syy(n, x7) * (1 - regr_r2(n, x7)), 6 FROM l GROUP BY 1
+          UNION ALL SELECT {KEY}, 2, count(*), sum((n - x1) ** 2), 2 FROM l GROUP BY 1
+          UNION ALL SELECT {KEY}, 3, count(*), sum((n - x7) ** 2), 2 FROM l GROUP BY 1),
+    a AS (SELECT {KEY}, cfg_id, n * ln(rss / n) + cost AS aic FROM r)
+    SELECT {KEY}, CAST(cfg_id AS INTEGER) AS cfg_id, round(aic, 4) AS score_mean,
+           CAST(row_number() OVER (PARTITION BY {KEY} ORDER BY aic, cfg_id) AS INTEGER) AS "rank" FROM a""")
+def leaderboard_on_the_same_days(spark, sf_dir):
+    """Two lags and two differences, all judged on the days that the longest can use."""
+    configs = [Config(p=1, trend="c"), Config(p=0, sp=1, m=7, trend="c"), *_NAIVE]
     out = grid_search(dense_orders(spark, sf_dir), [KEY], "date", "n", [], configs, "aic")
     return out.select(KEY, "cfg_id", F.round("score_mean", 4).alias("score_mean"), "rank")
 
 
-# Models without coefficients: tomorrow is as today, or as the same weekday last week.
-_NAIVE = [Config(p=0, d=1), Config(p=0, sd=1, m=7)]
 _NAIVE_SQL = f"""
     {_DENSE},
     p AS (SELECT {KEY}, n, row_number() OVER (PARTITION BY {KEY} ORDER BY date) - 1 AS i,

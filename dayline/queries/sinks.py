@@ -8,7 +8,7 @@ from dayline.queries import query
 from dayline.queries.tables import table
 from dayline.schemas import conform
 from dayline.session import scratch_path
-from dayline.sinks.audit import audit_keys, load_report, orphans
+from dayline.sinks.audit import audit_entities, audit_keys, load_report, orphans
 from dayline.sinks.changes import (apply_changes, change_counts, count_where, delete_where, find,
                                    modified_count, update_where)
 from dayline.sinks.loads import append_load, read_loads
@@ -220,6 +220,25 @@ def lines_without_parent(spark, sf_dir):
                    {"l_suppkey": "s_suppkey"})
 
 
+@query("""
+    WITH s AS (SELECT s_suppkey % 40 AS station_id, s_nationkey AS mun FROM supplier),
+    link AS (SELECT DISTINCT c_nationkey AS code, c_custkey % 50 AS station_id FROM customer)
+    SELECT 'municipality' AS entity, 'key' AS "check", 'code' AS columns, CAST(NULL AS VARCHAR) AS parent, 0 AS n
+    UNION ALL SELECT 'weather_station', 'key', 'station_id', NULL,
+                     (SELECT count(*) FROM (SELECT station_id FROM s GROUP BY 1 HAVING count(*) > 1))
+    UNION ALL SELECT 'municipality_station_link', 'reference', 'municipality_code', 'municipality',
+                     (SELECT count(*) FROM link WHERE code NOT IN (SELECT n_nationkey FROM nation WHERE n_regionkey < 4))
+    UNION ALL SELECT 'municipality_station_link', 'reference', 'station_id', 'weather_station',
+                     (SELECT count(*) FROM link WHERE station_id NOT IN (SELECT station_id FROM s))""")
+def declared_keys_and_references(spark, sf_dir):
+    """What the schema declares, checked on towns, stations and links made from the tables."""
+    towns = table(spark, sf_dir, "nation").filter("n_regionkey < 4").select(F.col("n_nationkey").alias("code"))
+    stations = table(spark, sf_dir, "supplier").select((F.col("s_suppkey") % 40).alias("station_id"))
+    links = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("municipality_code"),
+                                                    (F.col("c_custkey") % 50).alias("station_id")).distinct()
+    return audit_entities({"municipality": towns, "weather_station": stations, "municipality_station_link": links})
+
+
 @query("""
     SELECT 'orders' AS entity, 'loaded' AS status, count(*) AS records,
            CAST(min(o_orderdate) AS DATE) AS first_date, CAST(max(o_orderdate) AS DATE) AS last_date

@@ -56,23 +56,25 @@ _DDL = {
         lower_ci double, upper_ci double""",
 }
 
-# Declared keys, and references as (child columns, parent table, parent columns).
+# Declared keys, and references as (child columns, parent table, parent columns). Tables
+# by day are kept for many provinces or regions here, so these are part of their keys.
 KEYS = {
     "province": ["name"],
-    "province_data": ["date"],
+    "province_data": ["name", "date"],
     "municipality": ["code"],
-    "region_risk": ["date"],
+    "region_risk": ["region", "date"],
     "weather_station": ["station_id"],
 }
 REFERENCES = {
-    "province_data": (["name"], "province", ["name"]),
-    "municipality": (["province"], "province", ["name"]),
-    "municipality_data": (["code"], "municipality", ["code"]),
-    "region_risk": (["region"], "province", ["name"]),
-    "vaccines_administration": (["region"], "province", ["name"]),
-    "vaccines_delivery": (["region"], "province", ["name"]),
-    "weather_data": (["station_id"], "weather_station", ["station_id"]),
-    "municipality_station_link": (["station_id"], "weather_station", ["station_id"]),
+    "province_data": [(["name"], "province", ["name"])],
+    "municipality": [(["province"], "province", ["name"])],
+    "municipality_data": [(["code"], "municipality", ["code"])],
+    "region_risk": [(["region"], "province", ["name"])],
+    "vaccines_administration": [(["region"], "province", ["name"])],
+    "vaccines_delivery": [(["region"], "province", ["name"])],
+    "weather_data": [(["station_id"], "weather_station", ["station_id"])],
+    "municipality_station_link": [(["municipality_code"], "municipality", ["code"]),
+                                  (["station_id"], "weather_station", ["station_id"])],
 }
 
 # Names of the landed columns and what they are called here.

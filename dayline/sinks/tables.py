@@ -14,7 +14,8 @@ def append_checked(df: DataFrame, path: str, partition_by: Sequence[str] = (),
                    expected: int | None = None, mode: str = "append") -> int:
     """Write ``df`` and return how many rows went out, counted while they were written.
 
-    A count other than ``expected`` raises, but the rows are in the table by then: it reports.
+    A count other than ``expected`` raises, but the rows are in the table by then: it reports. Where a
+    wrong count must leave the table as it was, use :func:`dayline.sinks.loads.append_load`.
     """
     seen = Observation()
     out = df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode(mode)
@@ -50,9 +51,16 @@ def insert_if_absent(new: DataFrame, existing: DataFrame, keys: Sequence[str],
                      newest_by: str | None = None) -> DataFrame:
     """Rows of ``new`` whose key is not stored yet, one per key.
 
-    Among several new rows with one key the largest ``newest_by`` wins.
+    Among several new rows with one key the largest ``newest_by`` wins, without it the largest by all
+    other columns, from the first on: runs agree.
     """
-    one = newest_per_key(new, keys, newest_by) if newest_by else new.dropDuplicates(list(keys))
+    rest = [c for c in new.columns if c not in keys]
+    if newest_by:
+        one = newest_per_key(new, keys, newest_by)
+    elif rest:
+        one = new.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_row")).select(*keys, "_row.*").select(*new.columns)
+    else:
+        one = new.distinct()
     return one.join(existing.select(*keys), list(keys), "left_anti")
 
 

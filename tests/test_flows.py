@@ -12,7 +12,7 @@ from dayline.models.series import fit
 from dayline.plans.curation import Sources, curate, run_curation
 from dayline.plans.loading import Entity, load_static, update_all
 from dayline.plans.modelling import (forecast_run, model_series, read_forecasts, store_forecasts,
-                                     tune)
+                                     run_tuning, tune)
 from dayline.plans.stations import link_stations, station_table
 from dayline.schemas import empty_table, schema_of
 from dayline.session import scratch_path
@@ -216,6 +216,19 @@ def test_forecast_run_uses_best_config_and_replaces(spark, curated, rows):
     assert fit(series, ["region"], "date", "new_cases", [], Config(1, 1, 1), "sqrt").count() == 2
 
 
+def test_a_stored_run_knows_its_time(spark, curated, caplog):
+    path = scratch_path(spark, "runs")
+    gap = curated.withColumn("new_cases", F.when(F.col("date") != at(40), F.col("new_cases")))
+    missing = gap.filter("new_cases IS NULL").count()
+    for _ in range(2):
+        assert run_tuning(gap, path, CONF, name="first") == 2
+    assert f"new_cases has {missing} missing values" in caplog.text
+    runs = read_loads(spark, path)
+    assert runs.count() == 2 and runs.schema.simpleString() == tune(gap, CONF).schema.simpleString()
+    assert all(r.log.elapsed_time.startswith("0:") for r in runs.collect())
+    assert run_tuning(gap, path, CONF, name="second") == 2 and read_loads(spark, path).count() == 4
+
+
 def test_no_stored_run_gives_no_forecast(spark, curated):
     runs = empty_table(spark, "hyperparameters").withColumn("region", F.lit("A"))
     assert forecast_run(curated, runs, [{"output": "new_cases", "regressors": []}]).count() == 0

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dayline.models.grid import Config, config_grid, configurations, cross, valid_configs
-from dayline.models.least_squares import difference as np_difference
+from dayline.models.least_squares import first_day, difference as np_difference
 from dayline.models.least_squares import fit_series, forecast_series, shifted
 from dayline.models.series import (best_config, compare, cross_validate, fit, fitted_values, fold_bounds,
                                    forecast, grid_search, interval, nest_leaderboard, training_error)
@@ -97,6 +97,30 @@ def test_regressor_default_scenario_holds_the_last_value(spark):
     assert out[0]["date"] == FIRST + dt.timedelta(60)
 
 
+def test_a_scenario_is_met_by_date(spark):
+    """Days before and after the forecast, in any order, change nothing; a day that is not there fails."""
+    x = np.r_[RNG.normal(size=59), 4.0]
+    df = frame(spark, 1.0 + x, x, names=("y", "x"))
+    key = df.first()["k"]
+    days = [(key, FIRST + dt.timedelta(60 + n), float(10 * n)) for n in range(-3, 9)]
+    plan = spark.createDataFrame(days[::-1], df.select("k", "date", "x").schema)
+    cfg = Config(0, 0, 0, trend="c")
+    out = forecast(df, ["k"], "date", "y", ["x"], cfg, 4, scenario=plan).orderBy("date").collect()
+    assert [r["forecast"] for r in out] == pytest.approx([1.0, 11.0, 21.0, 31.0])
+    hole = plan.filter(F.col("date") != FIRST + dt.timedelta(62))
+    with pytest.raises(Exception, match="no values for 2"):
+        forecast(df, ["k"], "date", "y", ["x"], cfg, 4, scenario=hole).collect()
+
+
+def test_information_is_compared_on_the_same_days():
+    y = np.cumsum(RNG.normal(size=200))
+    configs = [Config(1, 0, 0, trend="c"), Config(3, 1, 0), Config(0, 1, 2), Config(0, 1, 0, 1, 0, 0, 7), Config(0, 0, 0, 0, 1, 0, 7)]
+    first = max(first_day(c, len(y)) for c in configs)
+    assert {fit_series(c, y, np.zeros((200, 0)), None, first).n for c in configs} == {200 - first}
+    for c in configs:  # the first day is the first that the fit uses by itself
+        assert fit_series(c, y, np.zeros((200, 0))).n == 200 - first_day(c, 200)
+
+
 def test_intervals_after_squaring(spark):
     df = spark.createDataFrame([(3.0, 1.0), (1.0, 1.0)], "forecast double, se double")
     ours, squared = interval(df, "sqrt").collect(), interval(df, "sqrt", compat=True).collect()
