@@ -1,7 +1,9 @@
 """Line dedup by a segment-partition edit join.
 
-Two lines within ``EDITS`` edits: cut the shorter into ``EDITS`` + 1 segments, and one of them stands
-unchanged in the other, near its own place. So each line is indexed under its segments, with their
+Two lines link if the shorter one has ``SYMBOLS`` symbols for each edit between them, up to ``EDITS``:
+below 10 symbols only equal lines are the same, below 20 one edit may lie between them, else two. Cut
+the shorter into ``EDITS`` + 1 segments, and one of them stands unchanged in the other, near its own
+place. So each line is indexed under its segments, with their
 number and the line's length, and probes the segments of lines up to ``EDITS`` shorter with the few
 substrings that may match. Index and probe meet by hash in one shuffle of hashes. Only lines that
 meet another there are fetched as text, and pairs are verified by a banded bit-parallel automaton.
@@ -27,7 +29,7 @@ from dayline.llm.components import components
 from dayline.llm.text import prefix_hashes, range_hashes, scramble, stored
 
 EDITS = 2
-LEAST = 1  # code points; of lines with no more than EDITS, some segments are empty and all such lines meet
+SYMBOLS = 10  # code points of the shorter line for each edit; shorter lines link to none, so they are not indexed
 SLICE = 1 << 22  # code points of distinct lines that a task signs at a time
 POINTS = 1 << 18  # code points that one vector operation works on
 FILTER_WORDS = 1 << 18
@@ -35,6 +37,11 @@ REFINE_ABOVE = 1000
 _WORD = (1 << 64) - 1
 
 
+def allowed(length: int, edits: int = EDITS) -> int:
+    """Edits that may lie between a line of this length and one that is as long or longer."""
+    return min(edits, length // SYMBOLS)
+
+
 def has_word(line: str) -> bool:
     return bool(line.strip(" \t\n\v\f\r"))
 
@@ -113,7 +120,7 @@ def signatures(lines: list[str], edits: int = EDITS) -> tuple[np.ndarray, np.nda
             for i in range(edits + 1):
                 start, size = segment(length, i, edits)
                 for shift in probes(i, shorter, edits):
-                    ok = (start + shift >= 0) & (start + shift + size <= lengths) & (length >= LEAST)
+                    ok = (start + shift >= 0) & (start + shift + size <= lengths) & (length >= SYMBOLS)
                     own = shorter == 0 and shift == 0  # its own segment: indexed, and probes lines as long
                     key = _key(sums, begins, np.where(ok, start + shift, 0), np.where(ok, size, 0), length, i)
                     who.append(every[ok])
@@ -176,6 +183,8 @@ def _first_shared(r: str, s: str, edits: int, beside: int | None = None) -> int:
     for i in range(edits + 1):
         start, size = segment(len(r), i, edits) if beside is None else piece(len(r), beside, i, edits)
         want = r[start:start + size]
+        if edits and not want:  # an empty piece stands everywhere: no key
+            continue
         for shift in probes(i, shorter, edits):
             if start + shift >= 0 and s[start + shift:start + shift + size] == want:
                 return i
@@ -207,15 +216,16 @@ def _group_links(ids: list[int], lines: list[str], parts: list[int], edits: int,
 
     for r, part in enumerate(parts):
         a = lines[r]
+        most = allowed(len(a), edits)
         i, j = part % 16, part // 16 - 1  # without a piece: -1
         for s in range(len(ids)):
             b = lines[s]
             # of lines of equal length, the lesser id is the indexed one
-            if len(b) < len(a) or len(b) > len(a) + edits or ids[s] == ids[r] or (len(a) == len(b) and ids[s] < ids[r]):
+            if len(b) < len(a) or len(b) > len(a) + most or ids[s] == ids[r] or (len(a) == len(b) and ids[s] < ids[r]):
                 continue
             if j >= 0 and _first_shared(a, b, edits, i) != j:
                 continue
-            if _first_shared(a, b, edits) != i or not within(a, b, edits):
+            if _first_shared(a, b, edits) != i or not within(a, b, most):
                 continue
             degree[ids[r]] = degree.get(ids[r], 0) + 1
             degree[ids[s]] = degree.get(ids[s], 0) + 1
@@ -238,6 +248,8 @@ def _dealt_anew(i: int, line: str, own: bool, key: int, spots: set, edits: int)
             continue
         for j in range(edits + 1):
             start, size = piece(length, part, j, edits)
+            if edits and not size:
+                continue
             for shift in probes(j, len(line) - length, edits):
                 at = start + shift
                 if at >= 0 and at + size <= len(line):
@@ -309,7 +321,7 @@ def _signed(edits: int):
 
         for batch in batches:
             for _, _, line in _split(batch.column("text").to_pylist(), edits):
-                if len(line) >= LEAST and line not in lines:
+                if len(line) >= SYMBOLS and line not in lines:
                     lines[line] = None
                     size += len(line)
                     if size >= SLICE:
@@ -335,7 +347,7 @@ def _fetcher(words):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """(id, line) of the lines that the filter of ids lets through, each once a batch."""
         for batch in batches:
-            lines = list({x: None for _, _, x in _split(batch.column("text").to_pylist(), EDITS) if len(x) >= LEAST})
+            lines = list({x: None for _, _, x in _split(batch.column("text").to_pylist(), EDITS) if len(x) >= SYMBOLS})
             ids = line_ids(lines)
             bit = ids & (FILTER_WORDS * 64 - 1)
             at = np.flatnonzero(words.value[bit >> 6] >> (bit & 63).astype(np.uint64) & np.uint64(1))
@@ -377,9 +389,10 @@ def repeated_lines(docs: DataFrame, edits: int = EDITS, refine_above: int = REFI
     """One row per row of ``docs`` (doc_id, text): which of its lines go.
 
     Columns: doc_id, text_hash, n_lines (with a word), n_links (of its lines to other distinct lines),
-    removed_lines (numbers from 0, ascending) and n_removed. Lines link if at most ``edits`` edits lie
-    between them, however short they are; of each class of linked lines
-    the first goes on, by doc_id and line number. Null and empty texts have no lines; a null doc_id
+    removed_lines (numbers from 0, ascending), n_removed, and classes: of each line that is removed or
+    linked its number, the class, the distinct line (a hash) and its links, so that every class can be
+    put together from the result. Lines link if no more edits lie between them than :func:`allowed`
+    says of the shorter one; of each class of linked lines the first goes on, by doc_id and line number. Null and empty texts have no lines; a null doc_id
     comes last; rows that share a doc_id are one document, so repeated rows fare alike; an empty table
     gives an empty result; further columns are not looked at.
     """
@@ -395,17 +408,20 @@ def repeated_lines(docs: DataFrame, edits: int = EDITS, refine_above: int = REFI
     lines = stored(lines, "line-classes")
     place = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc"), "no")
     first = placed.groupBy("id").agg(F.min(place).alias("own")).join(lines, "id").groupBy("class").agg(F.min("own").alias("first"))
-    known = stored(lines.join(first, "class").select("id", "n_links", "first"), "line-firsts")
+    known = stored(lines.join(first, "class").select("id", "class", "n_links", "first"), "line-firsts")
     judged = placed.distinct().join(known, "id").withColumn("gone", place != F.col("first"))
+    entry = F.struct("no", "class", F.col("id").alias("line"), "n_links")
     per = judged.groupBy("doc_id", "text_hash").agg(
         F.count("*").alias("n_lines"), F.sum("n_links").alias("n_links"),
-        F.sort_array(F.collect_list(F.when(F.col("gone"), F.col("no")))).alias("removed_lines")) \
+        F.sort_array(F.collect_list(F.when(F.col("gone"), F.col("no")))).alias("removed_lines"),
+        F.sort_array(F.collect_list(F.when(F.col("gone") | (F.col("n_links") > 0), entry))).alias("classes")) \
         .withColumnsRenamed({"doc_id": "_doc", "text_hash": "_hash"})
     zero = F.lit(0).cast("long")
     return rows.select("doc_id", "text_hash").join(
         per, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("text_hash") == F.col("_hash")), "left").select(
         "doc_id", "text_hash", F.coalesce("n_lines", zero).alias("n_lines"), F.coalesce("n_links", zero).alias("n_links"),
-        F.coalesce("removed_lines", F.array().cast("array<int>")).alias("removed_lines")) \
+        F.coalesce("removed_lines", F.array().cast("array<int>")).alias("removed_lines"),
+        F.coalesce("classes", F.array().cast("array<struct<no: int, class: bigint, line: bigint, n_links: bigint>>")).alias("classes")) \
         .withColumn("n_removed", F.size("removed_lines").cast("long"))
 
 

@@ -165,9 +165,9 @@ def op9_lm_scoring(spark, sf_dir):
 
 @query()
 def op10_line_dedup(spark, sf_dir):
-    """The lines of each document that repeat an earlier line of the corpus, up to two edits."""
+    """The lines of each document that repeat an earlier line of the corpus, with their classes."""
     found = lines.repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return found.select("doc_id", "n_lines", "n_removed", "n_links", "removed_lines")
+    return found.select("doc_id", "n_lines", "n_removed", "n_links", "removed_lines", "classes")
 
 
 @query()

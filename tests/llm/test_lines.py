@@ -1,5 +1,5 @@
 import random
-from itertools import combinations
+from itertools import combinations, product
 
 import numpy as np
 import pytest
@@ -64,8 +64,9 @@ def plain(rows, edits=2):
         while root[x] != x:
             x = root[x]
         return x
-    for a, b in combinations([x for x in places if len(x) >= lines.LEAST], 2):
-        if abs(len(a) - len(b)) <= edits and distance(a, b) <= edits:
+    for a, b in combinations([x for x in places if len(x) >= 10], 2):
+        most = min(edits, min(len(a), len(b)) // 10)
+        if abs(len(a) - len(b)) <= most and distance(a, b) <= most:
             degree[a], degree[b] = degree.get(a, 0) + 1, degree.get(b, 0) + 1
             root[find(a)] = find(b)
     first = {}
@@ -121,6 +122,44 @@ def test_short_lines_against_plain(spark, refine_above):
     assert distance(*short[:2]) <= 2 and {r.doc_id: r.n_links for r in got}[101] >= 1
 
 
+def test_short_lines_are_the_same_only_if_equal(spark):
+    """All 17,576 lines of three letters, some of them twice: one class for each."""
+    words = ["".join(x) for x in product("abcdefghijklmnopqrstuvwxyz", repeat=3)]
+    rows = [(i, "\n".join(words[i * 50:i * 50 + 50]), "en", "a", 0) for i in range(352)] + [(1000, "abc\nnine sign\nx", "en", "a", 0), (1001, "nine sig\nabd", "en", "a", 0)]
+    got = {r.doc_id: r for r in lines.repeated_lines(frame(spark, rows)).collect()}
+    assert {k: r.removed_lines for k, r in got.items() if r.removed_lines} == {1000: [0], 1001: [1]}
+    assert not any(r.n_links for r in got.values())
+
+
+def test_edits_grow_with_the_shorter_line(spark):
+    """9, 10, 19 and 20 symbols, with one and with two edits, as replaced and as added symbols."""
+    rows, want = [], {}
+    for n in (9, 10, 19, 20):
+        for k in range(4):
+            one, other = chr(0x4e00 + 8 * n + k), chr(0x5e00 + 8 * n + k)
+            changed = [one * (n - 1) + other, one * n + other, one * (n - 2) + 2 * other, one * n + 2 * other][k]
+            rows.append((len(rows), f"{one * n}\n{changed}", "en", "a", 0))
+            want[rows[-1][0]] = [1] if (1 if k < 2 else 2) <= min(2, n // 10) else []
+    got = {r.doc_id: r.removed_lines for r in lines.repeated_lines(frame(spark, rows)).collect()}
+    assert got == want and sorted(map(len, want.values())) == [0] * 8 + [1] * 8
+
+
+def test_classes_can_be_put_together_from_the_result(spark):
+    rows = cases()
+    docs = {(r[0], no): x for r in rows for no, x in enumerate((r[1] or "").split("\n"))}
+    members, of, gone = {}, {}, 0
+    for r in lines.repeated_lines(frame(spark, rows)).collect():
+        gone += len(r.removed_lines)
+        assert {c.no for c in r.classes} >= set(r.removed_lines)
+        for c in r.classes:
+            members.setdefault(c["class"], set()).add(c.line)
+            text = docs.get((r.doc_id, c.no))
+            if r.doc_id is not None and [x[0] for x in rows].count(r.doc_id) == 1:
+                assert of.setdefault(c.line, text) == text
+            assert (c.n_links > 0) or c.no in r.removed_lines
+    assert gone > 50 and any(len(m) > 2 for m in members.values())
+
+
 def test_texts(spark):
     rows = [(1, "one and the same line for all of them\nown", "en", "a", 0), (2, "one and the same line for all of then\nx", "en", "b", 0),
             (3, None, "en", "a", 0)]
