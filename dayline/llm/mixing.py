@@ -1,6 +1,6 @@
 """Mixing sources to target weights, by DataFrame functions alone.
 
-Documents get hash-random keys. Each source is cut into ranges of those keys, about ``RANGE_ROWS``
+Documents get hash-random keys from doc_id and text, so rows without an id spread as well. Each source is cut into ranges of those keys, about ``RANGE_ROWS``
 documents each; the prefix sum of a document is the sum of the ranges before its own, from a table
 with a row per range, and the running sum inside its range. So a source with a third of all rows
 is as many tasks as it has ranges. The source is then cut at its exact budget, after as many whole
@@ -57,13 +57,14 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, limit: float = L
     Columns: doc_id, source, size, source_size, target, epochs (whole passes over the source) and
     taken (words, repeats counted); with ``whole`` also document, a struct of the row's columns.
     Null and empty texts have size 0 and give nothing; a null source is a source of its own; rows
-    that repeat are rows like others, and equal rows are exchangeable; an empty table gives an
+    that repeat are rows like others, equal rows share a range and are exchangeable, and null ids are
+    told apart by their texts; an empty table gives an
     empty result; further columns are not looked at.
     """
     # nulls as a name of their own, so that joins by source keep them
     name = F.when(F.col("source").isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), "source"))
     keyed = [name.alias("name"), "doc_id", "source", word_count(F.col("text")).alias("size"),
-             unit_hash(seed, F.col("doc_id")).alias("key")]
+             unit_hash(seed, F.col("doc_id"), F.col("text")).alias("key")]
     sizes = stored(docs.select(*keyed), "mix-sizes")
     document = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document")] if whole else []
     targets = stored(source_targets(sizes, weights, share, limit).select(

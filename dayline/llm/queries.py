@@ -14,7 +14,8 @@ from dayline.queries import query
 # cut in the order of MD5 keys, with plain window sums over whole sources.
 MIX_SQL = """
     WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
-                      CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS k
+                      CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 8)
+                           AS BIGINT) AS k
                FROM documents),
     s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
     w AS (SELECT *, [3.0, 1.0, 2.0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] :: DOUBLE AS weight,
@@ -121,8 +122,7 @@ RULES_SQL = """
     l AS (SELECT host, doc_id, text, len(regexp_extract_all(x, '[^\\x20\\x09-\\x0D]+')) AS n,
                  lower(regexp_replace(trim(regexp_replace(x, '[\\x20\\x09-\\x0D]+', ' ', 'g')), '[0-9]', '0', 'g')) AS line
           FROM (SELECT host, doc_id, text, unnest(lines) AS x FROM w)),
-    c AS (SELECT host, line FROM l JOIN (SELECT host, count(*) AS rows FROM d GROUP BY host) USING (host)
-          GROUP BY host, line, rows HAVING count(DISTINCT text) > 10 AND count(DISTINCT text) > 0.001 * rows),
+    c AS (SELECT host, line FROM l GROUP BY host, line HAVING count(DISTINCT text) > 10),
     lost AS (SELECT doc_id, sum(n) AS gone FROM l JOIN c USING (host, line) GROUP BY doc_id),
     m AS (SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
                  CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,

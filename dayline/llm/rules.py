@@ -3,8 +3,8 @@
 Counts within a text come from arrays of its own words and lines. Across documents, normalised lines
 are hashed and the distinct texts of a host that hold each are counted; what is counted and joined
 is a narrow table of hashes, never text. A line is boilerplate of its host if more than
-``LINE_DOCS`` texts and more than ``LINE_SHARE`` of the host's rows hold it; a document that loses
-more than ``DEPLETED`` of its words with those lines is rejected.
+``LINE_DOCS`` distinct texts hold it, however large the host; a document that loses more than
+``DEPLETED`` of its words with those lines is rejected.
 """
 
 from __future__ import annotations
@@ -19,7 +19,6 @@ WINDOW = 8
 LEAST_WORDS = 20
 MOST_REPEATED = 30  # per cent of the words
 LINE_DOCS = 10
-LINE_SHARE = 0.001
 DEPLETED = 0.5
 
 
@@ -64,16 +63,13 @@ def measures(docs: DataFrame) -> DataFrame:
                            | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words")))
 
 
-def common_lines(lines: DataFrame, rows: DataFrame, line_docs: int = LINE_DOCS,
-                 line_share: float = LINE_SHARE) -> DataFrame:
-    """(host, line): the lines above the limits, from lines (host, line, text_hash) and rows (host)."""
-    counts = lines.groupBy("host", "line").agg(F.countDistinct("text_hash").alias("docs")).where(F.col("docs") > line_docs)
-    hosts = rows.groupBy("host").agg(F.count("*").alias("host_docs"))
-    return counts.join(hosts, "host").where(F.col("docs") > line_share * F.col("host_docs")).select("host", "line")
+def common_lines(lines: DataFrame, line_docs: int = LINE_DOCS) -> DataFrame:
+    """(host, line): the lines above the limit, from lines (host, line, text_hash)."""
+    texts = lines.groupBy("host", "line").agg(F.countDistinct("text_hash").alias("docs"))
+    return texts.where(F.col("docs") > line_docs).select("host", "line")
 
 
-def judge(docs: DataFrame, line_docs: int = LINE_DOCS, line_share: float = LINE_SHARE,
-          depleted: float = DEPLETED) -> DataFrame:
+def judge(docs: DataFrame, line_docs: int = LINE_DOCS, depleted: float = DEPLETED) -> DataFrame:
     """One row per row of ``docs`` (doc_id, source, text): its counts, removed_lines and the verdict.
 
     Columns: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
@@ -90,7 +86,7 @@ def judge(docs: DataFrame, line_docs: int = LINE_DOCS, line_share: float = LINE_
         F.xxhash64(normal_line(x)).alias("line"), F.regexp_count(x, F.lit(WORD)).cast("long").alias("words")))
     lines = stored(base.select("host", "doc_id", "text_hash", F.posexplode(lines).alias("at", "x")).select(
         "host", "doc_id", "text_hash", "at", "x.line", "x.words").where("words > 0"), "lines")
-    common = common_lines(lines, rows, line_docs, line_share)
+    common = common_lines(lines, line_docs)
     hits = lines.join(common, ["host", "line"]).select("host", "doc_id", "text_hash", "at", "line", "words").distinct()
     lost = hits.groupBy("host", "doc_id", "text_hash").agg(
         F.sum("words").alias("removed_words"), F.sort_array(F.collect_set("line")).alias("removed_lines")) \

@@ -53,6 +53,17 @@ def test_rerun_and_partitioning_agree(spark):
     assert a == sorted(map(tuple, mixing.mix(docs.repartition(7), range_rows=2).collect()), key=repr)
 
 
+def test_null_ids_spread_over_ranges(spark):
+    """Rows without an id get keys of their own, so no range of keys holds them all."""
+    rows = [(None, f"text {i} of many", "en", "hot", 0) for i in range(3000)]
+    docs = frame(spark, rows)
+    keys = docs.select(mixing.unit_hash("mix", F.col("doc_id"), F.col("text")).alias("k"))
+    per = keys.groupBy(F.shiftright("k", 27)).count().agg(F.max("count"), F.count("*")).first()
+    assert per[0] < 200 and per[1] == 32
+    got = mixing.mix(docs, range_rows=100).collect()
+    assert sum(r.taken for r in got) == 18_000 and {r.target for r in got} == {18_000.0}
+
+
 def test_many_sources_without_broadcast(spark, monkeypatch):
     want = sorted(map(tuple, mixing.mix(frame(spark)).collect()), key=repr)
     monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
