@@ -37,7 +37,7 @@ PIECE = 4 << 20  # longer texts are cut into pieces of so many starts
 BLOCK_SEGMENTS = 512  # of several grams; a gram with up to LARGE is a block of its own
 LARGE = 2048
 FILTER_WORDS = 1 << 18  # 64-bit words of the filter of ids
-NO_ID = (1 << 63) - 1  # a null doc_id comes last
+NO_ID = 1 << 62  # null doc_ids are numbers from here, by the hash of their text
 
 
 def segments(data: np.ndarray, offsets: np.ndarray):
@@ -82,8 +82,10 @@ def _pieces(data: np.ndarray, offsets: np.ndarray):
                 break
 
 
-_RUN = ("kh", "ch", "doc", "spot")  # spot: start, strings (8 bits) and whether it is a repeat (1 bit)
-_RUN_TYPE = "kh long, ch long, doc long, spot long"
+# doc is the order of documents and th, the hash of the text, tells rows of one doc apart;
+# spot: start, strings (8 bits) and whether it is a repeat (1 bit)
+_RUN = ("kh", "ch", "doc", "th", "spot")
+_RUN_TYPE = "kh long, ch long, doc long, th long, spot long"
 
 
 def _first_of_slice(parts: list[tuple]) -> pa.RecordBatch:
@@ -91,16 +93,16 @@ def _first_of_slice(parts: list[tuple]) -> pa.RecordBatch:
 
     Those need no group any more and get a gram of their own, so that they spread over all tasks.
     """
-    kh, ch, doc, at, n, _ = (np.concatenate(x) for x in zip(*parts))
-    order = np.lexsort((at, doc, scramble(kh ^ scramble(ch))))
-    kh, ch, doc, at, n = (x[order] for x in (kh, ch, doc, at, n))
+    kh, ch, doc, th, at, n = (np.concatenate(x) for x in zip(*parts))
+    order = np.lexsort((th, at, doc, scramble(kh ^ scramble(ch))))
+    kh, ch, doc, th, at, n = (x[order] for x in (kh, ch, doc, th, at, n))
     same = np.concatenate(([False], (kh[1:] == kh[:-1]) & (ch[1:] == ch[:-1])))
     # a repeated row has equal positions: it is the same document, not an earlier one
-    tie = np.concatenate(([False], same[1:] & (doc[1:] == doc[:-1]) & (at[1:] == at[:-1])))
+    tie = np.concatenate(([False], same[1:] & (doc[1:] == doc[:-1]) & (at[1:] == at[:-1]) & (th[1:] == th[:-1])))
     head = np.maximum.accumulate(np.where(same, 0, np.arange(len(kh))))
     again = same & ~((doc == doc[head]) & (at == at[head]))
     kh = np.where(again, scramble(scramble(doc.astype(np.uint64)) + at.astype(np.uint64)), kh) >> np.uint64(16)
-    columns = (kh.view(np.int64), ch.view(np.int64), doc, (at << 9) | (n << 1) | again)
+    columns = (kh.view(np.int64), ch.view(np.int64), doc, th, (at << 9) | (n << 1) | again)
     return pa.RecordBatch.from_arrays([pa.array(x[~tie]) for x in columns], names=list(_RUN))
 
 
@@ -108,9 +110,9 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     parts, size = [], 0
     for batch in batches:
         data, offsets = utf8_bytes(batch.column("text"))
-        docs = batch.column("doc").to_numpy()
-        for kh, ch, row, at, n, place in _pieces(data, offsets):
-            parts.append((kh, ch, docs[row], at, n, place))
+        docs, hashes = batch.column("doc").to_numpy(), batch.column("th").to_numpy()
+        for kh, ch, row, at, n, _ in _pieces(data, offsets):
+            parts.append((kh, ch, docs[row], hashes[row], at, n))
             size += int(n.sum())
             if size >= SLICE:
                 yield _first_of_slice(parts)
@@ -179,21 +181,22 @@ def _with_company(kh: np.ndarray, data: np.ndarray, base: np.ndarray) -> np.ndar
     return out
 
 
-_GONE = "kh long, doc long, lo long, hi long, ch long, open boolean"
+_GONE = "kh long, doc long, th long, lo long, hi long, ch long, open boolean"
 
 
-def _gone(kh, doc, lo, hi, ch, open_) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.asarray(x, np.int64)) for x in (kh, doc, lo, hi)]
+def _gone(kh, doc, th, lo, hi, ch, open_) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.asarray(x, np.int64)) for x in (kh, doc, th, lo, hi)]
                                       + [pa.array(np.asarray(ch, np.uint64).view(np.int64)), pa.array(np.full(len(doc), open_))],
-                                      names=["kh", "doc", "lo", "hi", "ch", "open"])
+                                      names=["kh", "doc", "th", "lo", "hi", "ch", "open"])
 
 
-def _resolve(kh: np.ndarray, doc: np.ndarray, at: np.ndarray, texts: list[bytes], part_of_large: bool) -> Iterator[pa.RecordBatch]:
+def _resolve(kh: np.ndarray, doc: np.ndarray, th: np.ndarray, at: np.ndarray, texts: list[bytes],
+             part_of_large: bool) -> Iterator[pa.RecordBatch]:
     """Repeated strings of whole groups of segments with one gram, in blocks; strings of groups that
     are too large for a block come out open, with their hashes."""
     if not part_of_large:
         keep = _with_company(kh, np.frombuffer(b"".join(texts), np.uint8), np.concatenate(([0], np.cumsum([len(t) for t in texts]))))
-        kh, doc, at = kh[keep], doc[keep], at[keep]
+        kh, doc, th, at = kh[keep], doc[keep], th[keep], at[keep]
         texts = [t for t, k in zip(texts, keep.tolist()) if k]
     if not len(kh):
         return
@@ -212,7 +215,7 @@ def _resolve(kh: np.ndarray, doc: np.ndarray, at: np.ndarray, texts: list[bytes]
             for i in range(len(part)):
                 s = np.arange(base[i], base[i + 1] - LENGTH + 1)
                 place = at[lo + i] + np.arange(len(s))
-                yield _gone(np.full(len(s), kh[lo]), np.full(len(s), doc[lo + i]), place, place + LENGTH,
+                yield _gone(np.full(len(s), kh[lo]), np.full(len(s), doc[lo + i]), np.full(len(s), th[lo + i]), place, place + LENGTH,
                             range_hashes(sums, s, s + LENGTH), True)
         else:
             rows: list[tuple] = []
@@ -221,7 +224,8 @@ def _resolve(kh: np.ndarray, doc: np.ndarray, at: np.ndarray, texts: list[bytes]
                 rows += [(i, s, e + LENGTH - 1) for s, e in zip(edges[::2].tolist(), edges[1::2].tolist())]
             if rows:
                 i, s, e = np.array(rows).T
-                yield _gone(kh[lo + i], doc[lo + i], at[lo + i] + s, at[lo + i] + e, range_hashes(sums, base[i] + s, base[i] + e), False)
+                yield _gone(kh[lo + i], doc[lo + i], th[lo + i], at[lo + i] + s, at[lo + i] + e,
+                            range_hashes(sums, base[i] + s, base[i] + e), False)
         a = b
 
 
@@ -232,11 +236,11 @@ def _in_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def drain(rows):
         if rows:
-            yield from _resolve(*(np.concatenate([r[k] for r in rows]) for k in range(3)), [t for r in rows for t in r[3]],
+            yield from _resolve(*(np.concatenate([r[k] for r in rows]) for k in range(4)), [t for r in rows for t in r[4]],
                                 rows[0][0][0] == large)
 
     for batch in batches:
-        kh, doc, at = (batch.column(c).to_numpy() for c in ("kh", "doc", "at"))
+        kh, doc, th, at = (batch.column(c).to_numpy() for c in ("kh", "doc", "th", "at"))
         texts = batch.column("segment").to_pylist()
         if not len(kh):
             continue
@@ -248,7 +252,7 @@ def _in_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if held and held[-1][0][-1] != kh[lo]:
                 yield from drain(held)
                 held = []
-            held.append((kh[lo:hi], doc[lo:hi], at[lo:hi], texts[lo:hi]))
+            held.append((kh[lo:hi], doc[lo:hi], th[lo:hi], at[lo:hi], texts[lo:hi]))
             if held[0][0][0] == held[-1][0][-1] and sum(len(r[0]) for r in held) > LARGE:
                 large = held[0][0][0]
                 yield from drain(held)
@@ -262,17 +266,17 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data, offsets = utf8_bytes(batch.column("text"))
         wanted = batch.column("wanted").to_pylist()
         rows = []
-        for i, doc in enumerate(batch.column("doc").to_pylist()):
+        for i, (doc, th) in enumerate(zip(batch.column("doc").to_pylist(), batch.column("th").to_pylist())):
             text = data[offsets[i]:offsets[i + 1]]
             sums = prefix_hashes(text)
             for w in wanted[i]:
                 lo, hi = w["at"], w["at"] + w["n"] + LENGTH - 1
-                # rows of one doc_id may differ in text
+                # two texts of one doc_id may share a hash
                 if hi <= len(text) and int(range_hashes(sums, np.array([lo]), np.array([hi])).view(np.int64)[0]) == w["ch"]:
-                    rows.append((w["kh"], doc, lo, text[lo:hi].tobytes()))
-        kh, doc, at, segment = zip(*rows) if rows else ((), (), (), ())
-        yield pa.RecordBatch.from_arrays([pa.array(kh, pa.int64()), pa.array(doc, pa.int64()), pa.array(at, pa.int64()),
-                                          pa.array(segment, pa.binary())], names=["kh", "doc", "at", "segment"])
+                    rows.append((w["kh"], doc, th, lo, text[lo:hi].tobytes()))
+        kh, doc, th, at, segment = zip(*rows) if rows else ((), (), (), (), ())
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (kh, doc, th, at)] + [pa.array(segment, pa.binary())],
+                                         names=["kh", "doc", "th", "at", "segment"])
 
 
 def _kept(text: np.ndarray, spans: list | None) -> tuple[list[tuple[int, int]], bytes]:
@@ -311,17 +315,15 @@ def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _split_by_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` with ``may``: false only for documents whose doc is surely not among ``ids``.
+    """``docs`` with ``may``: false only for documents whose doc and th are surely not among ``ids``.
 
     The filter has ``FILTER_WORDS`` rows at most, which bounds what is broadcast; with very many ids
     it lets all documents through.
     """
-    def bit(doc):
-        return F.pmod(F.xxhash64(doc), F.lit(FILTER_WORDS * 64))
-
-    words = ids.select(bit("doc").alias("bit")).groupBy(F.shiftright("bit", 6).alias("word")).agg(
+    bit = F.pmod(F.xxhash64("doc", "th"), F.lit(FILTER_WORDS * 64))
+    words = ids.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits"))
-    joined = docs.withColumn("bit", bit("doc")).withColumn("word", F.shiftright("bit", 6)).join(
+    joined = docs.withColumn("bit", bit).withColumn("word", F.shiftright("bit", 6)).join(
         F.broadcast(stored(words, "id-filter")), "word", "left")
     set_ = F.expr("coalesce(shiftrightunsigned(bits, cast(bit & 63 as int)) & 1, 0) = 1")
     return joined.withColumn("may", set_).drop("bit", "word", "bits")
@@ -332,38 +334,43 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     Columns: doc_id, n_bytes, n_removed, n_spans, kept_sha256, removed (byte ranges) and kept (bytes).
     A byte goes if a string of ``LENGTH`` bytes over it also starts earlier: in a smaller doc_id, or
-    earlier in the same document. Null texts are empty; shorter texts keep all. A null doc_id comes
-    after all others. Rows that share a doc_id are one document: a string at the same place of two of
+    earlier in the same document. Null texts are empty; shorter texts keep all. Rows with a null doc_id
+    come after the others (below ``NO_ID``), by the hash of their text. Rows that share a doc_id, and
+    rows without one that share their text, are one document: a string at the same place of two of
     them is not earlier in either, so repeated rows fare alike. An empty table gives an empty result;
     further columns are not looked at.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("doc_id", F.lit(NO_ID)).cast("long").alias("doc"),
-                       F.coalesce("text", F.lit("")).alias("text"))
-    long = rows.where(F.octet_length("text") >= LENGTH)
-    found = long.select("doc", "text").mapInArrow(_find, _RUN_TYPE)
+    text = F.coalesce("text", F.lit(""))
+    unnamed = F.lit(NO_ID) + F.shiftrightunsigned("th", 2)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("th")) \
+        .withColumn("doc", F.coalesce("doc_id", unnamed))
+    long = rows.where(F.octet_length("text") >= LENGTH).select("doc", "th", "text")
+    found = long.mapInArrow(_find, _RUN_TYPE)
     same = Window.partitionBy("kh", "ch").orderBy("doc", "spot")
     whole = Window.partitionBy("kh")
-    # dealt once, by gram, for both windows
+    # dealt once, by gram, for both windows; rows of one doc at the first place are all first
     marked = found.repartition("kh").withColumn("first", F.first(F.struct("doc", "spot")).over(same)) \
         .withColumn("varied", F.min("ch").over(whole) != F.max("ch").over(whole)) \
         .withColumn("again", (F.col("spot").bitwiseAND(F.lit(1).cast("long")) == 1) | (F.col("first") != F.struct("doc", "spot")))
     marked = stored(marked.where(F.col("again") | F.col("varied")).select(
-        "kh", "ch", "doc", F.shiftright("spot", 9).alias("at"),
+        "kh", "ch", "doc", "th", F.shiftright("spot", 9).alias("at"),
         F.shiftright("spot", 1).bitwiseAND(F.lit(255).cast("long")).alias("n"), "again", "varied"), "segments")
-    varied = marked.where("varied and not again").select("doc", F.struct("kh", "at", "n", "ch").alias("w")).distinct() \
-        .groupBy("doc").agg(F.collect_list("w").alias("wanted"))
+    varied = marked.where("varied and not again").select("doc", "th", F.struct("kh", "at", "n", "ch").alias("w")).distinct() \
+        .groupBy("doc", "th").agg(F.collect_list("w").alias("wanted"))
     varied = stored(varied, "wanted")
-    texts = _split_by_ids(long.select("doc", "text"), varied).where("may").select("doc", "text").join(varied, "doc")
-    cut = texts.mapInArrow(_cut, "kh long, doc long, at long, segment binary")
+    # of rows that repeat one text is cut, with the partitioning of the join
+    texts = _split_by_ids(long, varied).where("may").select("doc", "th", "text").dropDuplicates(["doc", "th"]).join(varied, ["doc", "th"])
+    cut = texts.mapInArrow(_cut, "kh long, doc long, th long, at long, segment binary")
     resolved = stored(cut.repartition("kh").sortWithinPartitions("kh", "doc", "at").mapInArrow(_in_groups, _GONE), "resolved")
-    gone = marked.where("again").select("doc", F.col("at").alias("lo"), (F.col("at") + F.col("n") + (LENGTH - 1)).alias("hi"), "ch") \
-        .unionByName(resolved.where("not open").select("doc", "lo", "hi", "ch"))
+    gone = marked.where("again").select("doc", "th", F.col("at").alias("lo"), (F.col("at") + F.col("n") + (LENGTH - 1)).alias("hi"), "ch") \
+        .unionByName(resolved.where("not open").select("doc", "th", "lo", "hi", "ch"))
     if not (large := resolved.where("open")).isEmpty():
         firsts = large.groupBy("kh", "ch").agg(F.min(F.struct("doc", "lo")).alias("first"))
         later = large.join(firsts, ["kh", "ch"]).where(F.struct("doc", "lo") != F.col("first"))
-        gone = gone.unionByName(later.select("doc", "lo", "hi", "ch"))
-    spans = stored(gone.groupBy("doc").agg(F.collect_list(F.struct("lo", "hi", "ch")).alias("spans")), "spans")
+        gone = gone.unionByName(later.select("doc", "th", "lo", "hi", "ch"))
+    # repeated rows yield equal spans
+    spans = stored(gone.groupBy("doc", "th").agg(F.collect_set(F.struct("lo", "hi", "ch")).alias("spans")), "spans")
     split = _split_by_ids(rows, spans)
-    met = split.where("may").drop("may").join(spans, "doc", "left").select("doc_id", "text", "spans")
+    met = split.where("may").drop("may").join(spans, ["doc", "th"], "left").select("doc_id", "text", "spans")
     none = split.where("not may").select("doc_id", "text", F.lit(None).cast("array<struct<lo:long,hi:long,ch:long>>").alias("spans"))
     return met.mapInArrow(_finish, f"doc_id long, {_RESULT}").unionByName(none.mapInArrow(_finish, f"doc_id long, {_RESULT}"))

@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from dayline.llm import repeats
@@ -11,7 +12,8 @@ from tests.llm.cases import documents, frame, prose
 
 def plain(rows, n=repeats.LENGTH):
     """Each string by its first (doc, start); a byte goes if a string over it has an earlier one."""
-    key = [(repeats.NO_ID if r[0] is None else r[0], (r[1] or "").encode()) for r in rows]
+    texts = [(r[1] or "").encode() for r in rows]
+    key = [(repeats.NO_ID + (xxhash.xxh64(t, seed=42).intdigest() >> 2) if r[0] is None else r[0], t) for r, t in zip(rows, texts)]
     first: dict[bytes, tuple[int, int]] = {}
     for doc, text in key:
         for i in range(len(text) - n + 1):
@@ -57,6 +59,19 @@ def test_against_plain(spark):
     assert all(hashlib.sha256(bytes(r.kept)).hexdigest() == r.kept_sha256 and sum(x.hi - x.lo for x in r.removed) == r.n_removed for r in got)
 
 
+@pytest.mark.parametrize("doc", [None, 5])
+def test_rows_of_one_key(spark, doc):
+    """Many rows without an id lose what they share; rows of one id do so where it stands elsewhere."""
+    rng = random.Random(12)
+    passage = prose(rng, 30)
+    rows = [(doc, prose(rng, 3 + i % 7) + passage + prose(rng, 5), "en", "a", 0) for i in range(200)]
+    rows += [rows[0]] * 40 + [(7, passage, "en", "a", 0)]
+    got = repeats.remove_repeats(frame(spark, rows)).collect()
+    assert sorted([(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got], key=repr) == plain(rows)
+    if doc is None:
+        assert all(r.n_removed >= len(passage) for r in got if r.doc_id is None)
+
+
 def test_pieces_of_long_texts(monkeypatch):
     rng = random.Random(9)
     text = prose(rng, 3000).encode()
@@ -97,8 +112,8 @@ def test_groups_in_blocks_and_open(block, monkeypatch):
         kh, _, _, at, n, _ = repeats.segments(data, np.array([0, len(data)]))
         rows += [(int(k.view(np.int64)), doc, int(x), data[x:x + y + 99].tobytes()) for k, x, y in zip(kh, at, n)]
     rows.sort(key=lambda r: r[:3])
-    batches = [pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows[i:i + 4]], t) for k, t in enumerate(
-        (pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names=["kh", "doc", "at", "segment"]) for i in range(0, len(rows), 4)]
+    batches = [pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows[i:i + 4]], t) for k, t in (
+        (0, pa.int64()), (1, pa.int64()), (1, pa.int64()), (2, pa.int64()), (3, pa.binary()))], names=["kh", "doc", "th", "at", "segment"]) for i in range(0, len(rows), 4)]
     closed, opened = set(), []
     for out in repeats._in_groups(iter(batches)):
         for r in out.to_pylist():
