@@ -12,7 +12,7 @@ from dayline.session import scratch_path
 from dayline.sources import landed
 from dayline.sources.documents import (explode_country_index, explode_events, html_rows,
                                        scan_stations, station_days)
-from dayline.sources.files import scan, scan_csv, scan_json_records
+from dayline.sources.files import scan, scan_csv, scan_json_array, scan_json_records
 from dayline.sources.snapshots import latest_snapshot_per_day, scan_newest
 
 
@@ -32,6 +32,22 @@ def suppliers_from_json(spark, sf_dir):
     return scan_json_records(spark, path, source.schema, multi_line=False)
 
 
+@query("""
+    SELECT c_custkey, c_name || '}, {"a\\"' AS name, CASE WHEN c_custkey % 3 <> 0 THEN c_acctbal END AS balance,
+           c_nationkey AS nation, '{' || c_mktsegment AS segment FROM customer""")
+def customers_from_one_json_array(spark, sf_dir):
+    """One file of one array; strings hold braces, quotes and backslashes, and records are nested."""
+    path = scratch_path(spark, "customer-array")
+    place = F.struct(F.struct(F.col("c_nationkey").alias("nation")).alias("at"), F.concat(F.lit("{"), "c_mktsegment").alias("segment"))
+    record = F.to_json(F.struct("c_custkey", F.concat("c_name", F.lit('}, {"a\\"')).alias("name"),
+                                F.when(F.col("c_custkey") % 3 != 0, F.col("c_acctbal")).alias("balance"), place.alias("place")))
+    lines = table(spark, sf_dir, "customer").select(F.concat(record, F.lit(",")).alias("value"))
+    ends = spark.createDataFrame([("[", 0), ("{}]", 2)], "value string, part int")
+    lines.withColumn("part", F.lit(1)).unionByName(ends).coalesce(1).sortWithinPartitions("part").select("value").write.text(path)
+    rows = scan_json_array(spark, path, "c_custkey long, name string, balance double, place struct<at:struct<nation:long>,segment:string>")
+    return rows.filter("c_custkey IS NOT NULL").select("c_custkey", "name", "balance", F.col("place.at.nation").alias("nation"), "place.segment")
+
+
 @query("SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part")
 def parts_stored_and_scanned(spark, sf_dir):
     path = scratch_path(spark, "part")

@@ -4,12 +4,13 @@ from html import unescape
 from html.entities import html5
 
 import pytest
+from pyspark.sql import functions as F
 
 from dayline.operators.filters import scan_between
 from dayline.sources import landed
 from dayline.sources.documents import (explode_country_index, explode_events, html_rows, scan_stations,
                                        station_days)
-from dayline.sources.files import csv_headers, scan, scan_csv, scan_documents, scan_json_records
+from dayline.sources.files import csv_headers, scan, scan_csv, scan_documents, scan_json_array, scan_json_records
 from dayline.sources.snapshots import latest_snapshot_per_day
 
 
@@ -30,6 +31,28 @@ def test_json_records_and_documents(spark, tmp_path, rows):
     assert scan_documents(spark, str(tmp_path)).count() == 1
 
 
+@pytest.mark.parametrize("indent", [None, 2])
+@pytest.mark.parametrize("block", ["128MB", "700"])
+def test_one_large_json_array(spark, tmp_path, rows, indent, block):
+    """Blocks that end within records, strings and escapes; braces and quotes in strings; nested records."""
+    texts = ["plain", "", '}, {"a": 1', "{{", "}}]", '\\', '\\"', 'a\\\\"}', "[{]", "é漢\n}", None]
+    found = [{"n": i, "t": texts[i % len(texts)], "in": {"x": [i, i + 1], "s": texts[i % 7]} if i % 4 else None} for i in range(300)]
+    (tmp_path / "a.json").write_text(json.dumps(found, indent=indent, ensure_ascii=False))
+    (tmp_path / "b.json").write_text("\n" + json.dumps([{"n": 1000 + i, "other": {}} for i in range(50)], indent=indent) + "\n\n")
+    for name, text in (("c", "[]"), ("d", ""), ("e", ' [ {"n": 2000} , {} ] ')):
+        (tmp_path / f"{name}.json").write_text(text)
+    schema = "n int, t string, in struct<x:array<int>,s:string>"
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    try:
+        tasks = spark.read.text(str(tmp_path), lineSep="}").select(F.spark_partition_id()).distinct().count()
+        got = rows(scan_json_array(spark, str(tmp_path), schema))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == rows(spark.read.schema(schema).json(str(tmp_path), multiLine=True)) and len(got) == 352
+    assert block != "700" or tasks > 20
+
+
 def test_stored_table_fits_its_schema(spark, tmp_path):
     path = str(tmp_path / "p")
     spark.createDataFrame([("X", 1, "5")], "name string, code int, population string").write.parquet(path)
