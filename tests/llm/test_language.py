@@ -57,6 +57,33 @@ def test_buckets_are_those_of_each_gram():
     assert sorted(language.buckets(data).tolist()) == want
 
 
+def plain_answer(text, model):
+    """Language and score from their definition, one n-gram at a time."""
+    if not any(map(str.isalpha, text or "")):
+        return "und", 0.0
+    padded = b" " + text.encode().lower() + b" "  # bytes.lower is A-Z alone
+    total, n = np.zeros(len(model["langs"])), 0
+    for size in (1, 2, 3, 4):
+        for i in range(len(padded) - size + 1):
+            total += model["table"][((int.from_bytes(padded[i:i + size], "big") + (size << 40)) * 0x9E3779B97F4A7C15 % (1 << 64)) >> 50]
+            n += 1
+    e = np.exp((total / n + model["bias"]) / model["temperature"])
+    return model["langs"][int(e.argmax())], float((e / e.sum()).max())
+
+
+def test_predictions_against_their_definition(spark):
+    rng = np.random.default_rng(6)
+    model = {"langs": ["de", "en", "fr"], "table": rng.normal(size=(language.BUCKETS, 3)).astype(np.float32) * 3,
+             "bias": np.array([0.1, -0.2, 0.0]), "temperature": 0.7, "reject": 0.6}
+    texts = [r[1] for r in rows(60)] + [None, "", "12 !? 34", "漢", "x", "ÀÉ Ñandú", "\t\n", "Sch EIN ich ungen " * 400, *"abcdefghijklmnop"]
+    got = language.predict(frame(spark, [(i, t, None, "a", 0) for i, t in enumerate(texts)]), model).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        lang, score = plain_answer(r.text, model)
+        assert r.lang_pred == lang and abs(r.score - score) < 1e-4 and r.accepted == (lang != "und" and r.score >= 0.6)
+    assert {r.lang_pred for r in got} == {"de", "en", "fr", "und"} and {r.accepted for r in got} == {True, False}
+
+
 def test_many_languages(spark):
     letters = [chr(0x4E00 + i) for i in range(70 * 6)]
     rng = random.Random(4)
