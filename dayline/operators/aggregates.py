@@ -54,12 +54,10 @@ def unbanded_count(df: DataFrame, by: str, values: Sequence,
     return df.groupBy(*keys).agg(F.count_if(~kept).alias("rejected"))
 
 
-def best_per_key(df: DataFrame, keys: Sequence[str], order_by: Mapping[str, str]) -> DataFrame:
-    """Rows that come first in their group, all of them on a tie.
+def order_parts(df: DataFrame, order_by: Mapping[str, str], name: str = "_o") -> dict[str, Column]:
+    """Numbers by which rows come first when they are least, named ``name`` and their turn.
 
-    ``order_by`` maps numeric or date columns to ``asc`` or ``desc``. The best tuple of each
-    group is a partial aggregate; joining on the whole tuple spreads a hot group over tasks,
-    which a rank window cannot.
+    ``order_by`` maps numeric or date columns to ``asc`` or ``desc``.
     """
     def rank_value(c: str, direction: str) -> Column:
         v = F.col(c)
@@ -69,10 +67,20 @@ def best_per_key(df: DataFrame, keys: Sequence[str], order_by: Mapping[str, str]
             v = F.unix_micros(v.cast("timestamp"))
         return -v if direction == "desc" else v
 
+    return {f"{name}{i}": rank_value(c, d) for i, (c, d) in enumerate(order_by.items())}
+
+
+def best_per_key(df: DataFrame, keys: Sequence[str], order_by: Mapping[str, str]) -> DataFrame:
+    """Rows that come first in their group, all of them on a tie.
+
+    ``order_by`` maps numeric or date columns to ``asc`` or ``desc``. The best tuple of each
+    group is a partial aggregate; joining on the whole tuple spreads a hot group over tasks,
+    which a rank window cannot.
+    """
     ranked = df.filter(F.lit(True))
     for c in order_by:
         ranked = ranked.filter(F.col(c).isNotNull())
-    parts = {f"_o{i}": rank_value(c, d) for i, (c, d) in enumerate(order_by.items())}
+    parts = order_parts(df, order_by)
     ranked = ranked.withColumns(parts)
     best = (ranked.groupBy(*keys).agg(F.min(F.struct(*parts)).alias("_best"))
             .select(*keys, "_best.*"))

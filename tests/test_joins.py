@@ -1,4 +1,5 @@
 import datetime as dt
+import math
 import random
 
 import pytest
@@ -175,6 +176,34 @@ def test_polygons_are_read_once_for_both_sides(spark):
     assert "shapes-" not in text and "Window" not in text and "cells-" in text
 
 
+@pytest.mark.parametrize("limit", [1 << 26, 0])
+def test_pairs_are_counted_in_generated_code(spark, limit):
+    """No function over an array for cells of few edges; cells of more edges count them all."""
+    star = [(1, 0, i, (2.0 if i % 2 else 0.3) * math.cos(i * math.pi / 8), (2.0 if i % 2 else 0.3) * math.sin(i * math.pi / 8)) for i in range(16)]
+    edges = [(*star[i][3:], *star[(i + 1) % 16][3:]) for i in range(16)]
+    places = [(i, random.Random(i).uniform(-2, 2), random.Random(-i - 1).uniform(-2, 2)) for i in range(300)]
+    points = frame(spark, places, "point_id int, x double, y double")
+    for cell, whole in ((4.0, True), (0.05, False)):
+        cells = polygon_cells(frame(spark, star, "poly_id int, ring int, seq int, x double, y double"), cell).cache()
+        found = join_cells(points, cells, cell, broadcast_limit=limit)
+        assert {r.point_id for r in found.collect()} == {i for i, x, y in places if odd(x, y, edges)}
+        if not whole:
+            few = cells.filter("size(edges) <= 4")
+            assert "lambda" not in join_cells(points, few, cell, broadcast_limit=limit)._jdf.queryExecution().executedPlan().toString()
+        cells.unpersist()
+
+
+def test_matches_are_steps_in_lists(spark, monkeypatch):
+    """Points that share a polygon: each pair once a polygon and repeat, the join has a row for each list."""
+    monkeypatch.setattr("dayline.operators.spatial.LIST", 7, raising=False)
+    shapes = frame(spark, [(p, r, s, float(x), float(y)) for p, r, s, x, y in SQUARES], "poly_id int, ring int, seq int, x double, y double")
+    points = frame(spark, [(i, 3.0 + i / 100, 3.0) for i in range(40)] + [(1, 3.0, 3.0), (None, 3.0, 3.0)], "point_id int, x double, y double")
+    towns = frame(spark, [(i, 0.5, 0.5) for i in range(30)] + [(2, 0.5, 0.5), (None, 0.5, 0.5)], "town int, x double, y double")
+    out = match_through_polygons(points, towns, shapes, 0.5, "point_id", "town")
+    assert out.count() == 42 * 32 and out.filter("town IS NULL").count() == 42 and out.filter("town = 2 AND point_id = 1").count() == 4
+    assert "Generate explode" in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_ties_stay_and_threshold_is_strict(spark, rows):
     df = frame(spark, [("m", "s1", 5, 300), ("m", "s2", 5, 200), ("m", "s3", 5, 200), ("m", "s4", 4, 10),
                        ("n", "s5", 1, 1599), (None, "s6", 9, 1)],
