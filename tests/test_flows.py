@@ -136,6 +136,26 @@ def test_stations_are_placed_and_linked(spark, rows):
         link_stations(table, rule="nearest")
 
 
+def test_stations_are_linked_without_the_joined_table(spark, rows):
+    """Overlapping polygons, ties, repeated and unplaced rows: the links are those of the joined table."""
+    rng = random.Random(4)
+    square = [(m, 0, i, x + 2.0 * (m % 4), y + 2.0 * (m // 4)) for m in range(12)
+              for i, (x, y) in enumerate([(0.0, 0.0), (5.0, 0.0), (5.0, 5.0), (0.0, 5.0)])]
+    vertices = spark.createDataFrame(square, "poly_id int, ring int, seq int, x double, y double")
+    towns = spark.createDataFrame([(c, rng.uniform(0, 10), rng.uniform(0, 12)) for c in [*range(15), 3, None, 40_000]], "code int, lat double, lon double")
+    stations = spark.createDataFrame([(f"s{i % 50}" if i else None, "n", rng.uniform(0, 10), rng.uniform(0, 12), rng.choice([None, 100, 200, 1700]))
+                                      for i in range(60)], "station_id string, name string, lat double, lon double, elev int")
+    seen = spark.createDataFrame([(f"s{i}", at(0), 1.0 if i % 3 else None, 1.0 if i % 2 else None) for i in range(45)],
+                                 "station_id string, date date, a double, b double")
+    args = stations, seen, towns, vertices, 3.0, at(0), at(2), {"a": "precipitation_available", "b": "temperature_available"}
+    path = scratch_path(spark, "stations-joined")
+    station_table(*args).write.parquet(path)
+    want = rows(link_stations(spark.read.parquet(path)))
+    found = link_stations(station_table(*args, joined=False))
+    assert rows(found) == want and len(want) > 15 and len(set(want)) < len(want)
+    assert "stations-joined" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_update_all_reports_and_is_idempotent(spark, rows):
     df = spark.createDataFrame([("a", at(n), n) for n in range(5)], "k string, date date, v int")
     path = scratch_path(spark, "entity")
