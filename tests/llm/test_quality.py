@@ -123,6 +123,15 @@ def test_copies_stay_on_one_side(spark):
     assert len(sample) == len(set(sample)) and not kept & set(sample) and len(kept) + len(sample) == 40 and kept
 
 
+def test_the_model_is_of_all_trusted_texts(spark):
+    """Long texts, and more of one language than a bounded sample had room for."""
+    rows = [(i, f"text {i} of one language", "en", "a", 0) for i in range(900)] + [(2000, "long words " * 3000, "de", "a", 0)]
+    labels = spark.createDataFrame([(r[0], 1, 0) for r in rows], "doc_id long, quality int, toxic int")
+    got = sorted(r.text for r in q.trusted_sample(frame(spark, rows), labels).collect())
+    assert got == sorted(r.text for r in frame(spark, rows).where(~q.kept_out(F.xxhash64("text"))).collect())
+    assert len(got) > 500
+
+
 def test_every_language_is_in_the_sample(spark):
     rows = [(i, f"text {i} of language {i % 12}", f"l{i % 12}" if i % 12 else None, "a", 0) for i in range(120)]
     labels = spark.createDataFrame([(i, 1, 0) for i in range(120)], "doc_id long, quality int, toxic int")
