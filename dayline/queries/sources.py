@@ -41,11 +41,13 @@ def customers_from_one_json_array(spark, sf_dir):
     place = F.struct(F.struct(F.col("c_nationkey").alias("nation")).alias("at"), F.concat(F.lit("{"), "c_mktsegment").alias("segment"))
     record = F.to_json(F.struct("c_custkey", F.concat("c_name", F.lit('}, {"a\\"')).alias("name"),
                                 F.when(F.col("c_custkey") % 3 != 0, F.col("c_acctbal")).alias("balance"), place.alias("place")))
-    lines = table(spark, sf_dir, "customer").select(F.concat(record, F.lit(",")).alias("value"))
+    customers = table(spark, sf_dir, "customer")
+    lines = customers.select(F.concat(record, F.lit(",")).alias("value"))
     ends = spark.createDataFrame([("[", 0), ("{}]", 2)], "value string, part int")
     lines.withColumn("part", F.lit(1)).unionByName(ends).coalesce(1).sortWithinPartitions("part").select("value").write.text(path)
     rows = scan_json_array(spark, path, "c_custkey long, name string, balance double, place struct<at:struct<nation:long>,segment:string>")
-    return rows.filter("c_custkey IS NOT NULL").select("c_custkey", "name", "balance", F.col("place.at.nation").alias("nation"), "place.segment")
+    nation = F.col("place.at.nation").cast(customers.schema["c_nationkey"].dataType)
+    return rows.filter("c_custkey IS NOT NULL").select("c_custkey", "name", "balance", nation.alias("nation"), "place.segment")
 
 
 @query("SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part")
