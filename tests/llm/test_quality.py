@@ -1,5 +1,6 @@
 import math
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -132,6 +133,23 @@ def test_the_model_is_of_all_trusted_texts(spark):
     assert len(got) > 500
 
 
+def test_only_chosen_texts_are_shuffled(spark, capsys):
+    """Where labels are not broadcast, texts still go through one exchange only, behind a filter of ids."""
+    rows = [(i, f"text {i % 300} of some words", "en", "a", 0) for i in range(900)] + [(None, "text 7 of some words", "en", "a", 0)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 900, 3)], "doc_id long, quality int, toxic int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = q.trusted_sample(frame(spark, rows), labels)
+        got.explain("formatted")
+        texts = sorted(r.text for r in got.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    trusted = frame(spark, rows).where(F.col("doc_id") % 3 == 0)
+    assert texts == sorted(r.text for r in trusted.where(~q.kept_out(F.xxhash64("text"))).select("text").distinct().collect())
+    exchanged = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", capsys.readouterr().out)
+    assert len(exchanged) == 2 and sum("text#" in x or "min#" in x for x in exchanged) == 1
+
+
 def test_every_language_is_in_the_sample(spark):
     rows = [(i, f"text {i} of language {i % 12}", f"l{i % 12}" if i % 12 else None, "a", 0) for i in range(120)]
     labels = spark.createDataFrame([(i, 1, 0) for i in range(120)], "doc_id long, quality int, toxic int")
