@@ -150,6 +150,17 @@ def test_only_chosen_texts_are_shuffled(spark, capsys):
     assert len(exchanged) == 2 and sum("text#" in x or "min#" in x for x in exchanged) == 1
 
 
+def test_a_carried_text_is_written_once(spark, monkeypatch):
+    """Scores are stored with the documents: each column of theirs once."""
+    written, stored = {}, q.stored
+    monkeypatch.setattr(q, "stored", lambda df, name: written.setdefault(name, df.schema) and stored(df, name))
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(5)], "doc_id long, quality int, toxic int")
+    docs = frame(spark).withColumn("name", F.lit("x")).withColumn("n_bytes", F.lit("y")).withColumn("a.b", F.lit("z"))
+    kept = q.accepted_documents(docs, labels)
+    assert kept.columns == docs.columns and {(r.name, r.n_bytes, r["a.b"]) for r in kept.collect()} == {("x", "y", "z")}
+    assert written["scores"].simpleString().count("text:string") == 1
+
+
 def test_every_language_is_in_the_sample(spark):
     rows = [(i, f"text {i} of language {i % 12}", f"l{i % 12}" if i % 12 else None, "a", 0) for i in range(120)]
     labels = spark.createDataFrame([(i, 1, 0) for i in range(120)], "doc_id long, quality int, toxic int")
