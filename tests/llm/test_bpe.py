@@ -54,6 +54,33 @@ def test_small_chunks(spark, monkeypatch):
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
 
 
+def test_words_go_to_python_in_small_batches(spark, monkeypatch, tmp_path):
+    """No batch of words is larger than ``BATCH_ROWS``, and the session keeps its own setting."""
+    monkeypatch.setattr(bpe, "BATCH_ROWS", 7)
+    seen = f"{tmp_path}/seen"
+
+    class Noting:
+        def __init__(self, df):
+            self.df, self.sparkSession = df, df.sparkSession
+
+        @property
+        def write(self):
+            def note(batches):
+                for b in batches:
+                    with open(seen, "a") as f:
+                        f.write(f"{b.num_rows}\n")
+                    yield b
+            return self.df.mapInArrow(note, self.df.schema).write
+
+    monkeypatch.setattr(bpe, "_by_chunk", lambda df, buckets, own=bpe._by_chunk: own(Noting(df), buckets))
+    before = spark.conf.get(bpe.ARROW_ROWS)
+    rows = [(i, f"text {i} of words", "en", "a", 0) for i in range(100)]
+    got = bpe.encode(frame(spark, rows).coalesce(1), PATH, ["doc_id"])
+    assert got.count() == 100 and spark.conf.get(bpe.ARROW_ROWS) == before
+    sizes = [int(x) for x in open(seen)]
+    assert sum(sizes) > 100 and max(sizes) <= 7
+
+
 def test_each_word_is_encoded_once(spark, tmp_path):
     """Rows of one part hold a word several times; the tokenizer sees it once."""
     lists = [(1, 0, [" cat", "the"]), (2, 0, [" cat", " dog", "the"]), (3, 1, ["!"])]
