@@ -99,3 +99,65 @@ def test_empty_and_untrained(spark):
     held = next(i for i in range(100) if out(i))
     r = lm.score(frame(spark, [(held, "a b", None, None, None), (held, None, None, None, None)])).collect()
     assert sorted((x.n_tokens, x.n_known, x.train_tokens, x.base_score) for x in r) == [(1, 0, 0, 0.0), (3, 0, 0, 0.0)]
+
+
+def test_every_text_is_predicted_in_its_order(spark):
+    """Texts of the same tokens: what stands before a token counts, also beyond it."""
+    taught = [i for i in range(400) if not out(i)][:200]
+    held = [i for i in range(400) if out(i)][:2]
+    rows = [(i, "red green blue " * 8, None, None, None) for i in taught]
+    rows += [(held[0], "red green blue " * 8, None, None, None), (held[1], "green red blue " * 8, None, None, None)]
+    got = {r.doc_id: r for r in lm.score(frame(spark, rows)).collect()}
+    usual, turned = got[held[0]], got[held[1]]
+    assert usual.n_tokens == turned.n_tokens and usual.base_score == pytest.approx(turned.base_score)
+    assert usual.score > turned.score + 3
+    assert usual.score > usual.base_score  # which knows the tokens but not what follows what
+
+
+def taught_model(texts):
+    counts = np.zeros(lm._STARTS[-1], np.int64)
+    lm.add_fours(*lm.spell_texts(texts), None, counts)
+    return lm.learn(texts, *lm.by_bit(counts))
+
+
+def test_next_bytes_sum_to_one_and_texts_stand_alone():
+    texts = [b"the cat sat on the mat"] * 20 + ["été élève Zoë 7%".encode()] * 5
+    model = taught_model(texts)
+    for before in (b"", b"the ", b"the cat s", b"the cat sat on the mat \xc3"):
+        pieces = [before + bytes([x]) + b" " for x in range(256)]
+        ends = np.cumsum([len(p) for p in pieces])
+        scores = lm.byte_scores(np.frombuffer(b"".join(pieces), np.uint8), np.concatenate(([0], ends)), model)
+        assert 0.99 < sum(10 ** scores[ends - 2]) <= 1 + 1e-6  # the longest code can spell usual bytes as well
+    together, sizes = next(lm.text_scores(texts[-8:], model))
+    alone = [next(lm.text_scores([t], model))[0] for t in texts[-8:]]
+    assert (together == np.concatenate(alone)).all() and sizes.tolist() == [len(lm.tokens(t)) for t in texts[-8:]]
+
+
+def test_plain_version_of_counts_and_mix():
+    """Counts bit by bit and the mix of one text, in plain loops over what each predictor looks back on."""
+    texts = [b"one two one two three", "Où 3 % one".encode()]
+    data, offsets = lm.spell_texts(texts)
+    hashes = np.stack(lm.context_hashes(data, offsets))
+    k, zeros, ones = len(lm.CONTEXTS), np.zeros(lm._STARTS[-1]), np.zeros(lm._STARTS[-1])
+    for _, bit, _, base, within in lm.bits(data, hashes):
+        for i in range(k):
+            for s, b in zip(base[i] + within, bit):
+                (ones if b else zeros)[s] += 1
+    counts = np.zeros(lm._STARTS[-1], np.int64)
+    lm.add_fours(data, offsets, None, counts)
+    assert all((a == b).all() for a, b in zip(lm.by_bit(counts), (zeros, ones)))
+    model, want = lm.learn(texts, zeros, ones), np.zeros(len(data))
+    for where, bit, node, base, within in lm.bits(data, hashes):
+        for j, at in enumerate(np.arange(len(data))[where]):
+            own = [int(model["table"][base[i, j] + within[j]]) for i in range(k)]
+            gate = (own[-1] % 4 + 4 * (own[-2] % 4)) * lm.NODES + node[j]
+            x = min(max(sum((v // 4) / lm._FINE * model["weights"][gate, i] for i, v in enumerate(own)), -12), 12)
+            place = (x + 12) * 2
+            low = min(int(place), 47)
+            r = model["refined"][gate]
+            p = (1 / (1 + math.exp(-x)) + r[low] + (r[low + 1] - r[low]) * (place - low)) / 2
+            want[at] += math.log10(p if bit[j] else 1 - p)
+    assert lm.byte_scores(data, offsets, model) == pytest.approx(want, abs=1e-4)
+    whole = lm.context_hashes(*lm.spell_texts([b"a b c", b"x b c", b"y z"]))
+    assert whole[-1][2] != whole[-1][9] and whole[-1][4] == whole[-1][11]  # the token before, not the one before that
+    assert whole[1][0] == whole[1][7] == whole[1][14] != whole[1][1]  # contexts do not run on from text to text
